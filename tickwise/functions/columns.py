@@ -112,7 +112,14 @@ def symbol_list(csv: str) -> Column:
 
 
 def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame:
-    """Round the given double columns in place (used for engine-neutral output)."""
+    """Round double columns in place for engine-neutral output.
+
+    Scales by 10^digits and rounds to an integer in binary floating point,
+    i.e. ``round(x * 10^d) / 10^d`` — the rule of SQL engines that round
+    doubles natively. ``F.round`` rounds the decimal text instead, which
+    differs on exact ties such as 1037.0821875.
+    """
     cols = set(cols)
-    return df.select([F.round(F.col(c), digits).alias(c) if c in cols else F.col(c)
+    m = F.lit(float(10 ** digits))
+    return df.select([(F.round(F.col(c) * m, 0) / m).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
