@@ -1 +1,216 @@
-"""Registered queries for sources, parsing, payloads and sinks."""
+"""Registered queries for parsing, payloads, filters and connectors.
+
+Raw messages and payloads are derived from ``events`` by Spark itself (see
+``tickwise.sources.tables``); the DuckDB twins compute the expected parse
+result straight from ``events``, so each check is a JSON round trip.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tickwise.functions.columns import recent, threshold_band, time_filter
+from tickwise.operators.ticks import (
+    align_columns, parse_crypto, parse_stock, select_symbols, unify_ticks,
+)
+from tickwise.plans import oracle as O
+from tickwise.plans.catalog import _clean, register, round_cols
+from tickwise.session import scratch_path
+from tickwise.sinks.lake import read_lake, write_lake
+from tickwise.sources import payloads as P
+from tickwise.sources import tables as T
+
+
+def _ntz(df, *cols):
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def _iso(x: str) -> str:
+    return (f"(CASE WHEN microsecond({x}) % 1000000 = 0 THEN strftime({x}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({x}, '%Y-%m-%dT%H:%M:%S.%f') END || '+00:00')")
+
+
+# ---------------------------------------------------------------------------
+# parse / unify
+# ---------------------------------------------------------------------------
+
+_STOCK_SQL = """SELECT symbol, asset_type,
+  CASE WHEN coalesce(price < 2, false) THEN event_time ELSE date_trunc('second', event_time) END
+    AS event_time,
+  price, price AS open, price AS high, price AS low, price AS close, volume,
+  event_time AS kafka_timestamp
+FROM ticks WHERE asset_type = 'stock' AND NOT coalesce(price >= 450, false)"""
+
+_CRYPTO_SQL = """SELECT symbol, asset_type, event_time, price,
+  CASE WHEN symbol = 'view' THEN price END AS open, CASE WHEN symbol = 'view' THEN price END AS high,
+  CASE WHEN symbol = 'view' THEN price END AS low, CASE WHEN symbol = 'view' THEN price END AS close,
+  CASE WHEN symbol = 'view' THEN 0.0 ELSE coalesce(volume, 0.0) END AS volume,
+  event_time AS kafka_timestamp
+FROM ticks WHERE asset_type = 'crypto' AND NOT coalesce(price >= 450, false)"""
+
+_TS = ("event_time", "kafka_timestamp")
+
+
+@register("parse_stock", f"WITH {O.TICKS}\n{_STOCK_SQL}")
+def q_parse_stock(spark, sf):
+    return _ntz(align_columns(parse_stock(T.raw_stock_messages(spark, sf))), *_TS)
+
+
+@register("parse_crypto", f"WITH {O.TICKS}\n{_CRYPTO_SQL}")
+def q_parse_crypto(spark, sf):
+    return _ntz(align_columns(parse_crypto(T.raw_crypto_messages(spark, sf))), *_TS)
+
+
+@register("unify_ticks", f"WITH {O.TICKS}\n{_STOCK_SQL}\nUNION ALL\n{_CRYPTO_SQL}")
+def q_unify_ticks(spark, sf):
+    u = unify_ticks(parse_stock(T.raw_stock_messages(spark, sf)),
+                    parse_crypto(T.raw_crypto_messages(spark, sf)))
+    return _ntz(u, *_TS)
+
+
+@register("parsed_window_features", (
+    f"WITH {O.TICKS}, u AS ({_STOCK_SQL}\nUNION ALL\n{_CRYPTO_SQL}),\n"
+    "w AS (SELECT symbol, asset_type, time_bucket(INTERVAL '1 hour', event_time) AS window_start, "
+    "max(price) AS high_price, min(price) AS low_price, sum(volume) AS total_volume, "
+    "count(*) AS record_count FROM u GROUP BY 1, 2, 3)\nSELECT * FROM w"))
+def q_parsed_window_features(spark, sf):
+    """Parse -> unify -> window: the streaming job's batch body, end to end."""
+    from tickwise.operators.features import window_features
+    u = unify_ticks(parse_stock(T.raw_stock_messages(spark, sf)),
+                    parse_crypto(T.raw_crypto_messages(spark, sf)))
+    u = u.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    w = window_features(u, "1 hour")
+    return w.select("symbol", "asset_type", "window_start", "high_price", "low_price",
+                    "total_volume", "record_count")
+
+
+@register("select_symbols", (
+    f"WITH {O.TICKS} SELECT * FROM ticks WHERE symbol IN ('purchase', 'view', 'click')"))
+def q_select_symbols(spark, sf):
+    return select_symbols(T.ticks_from_events(spark, sf), " purchase, view ,, click")
+
+
+# ---------------------------------------------------------------------------
+# payloads
+# ---------------------------------------------------------------------------
+
+@register("flatten_intraday", f"""WITH {O.TICKS},
+p AS (SELECT *, max(event_time) OVER (PARTITION BY symbol, event_id // 4) AS fetched
+      FROM ticks WHERE asset_type = 'stock')
+SELECT symbol, 'stock' AS asset_type, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS timestamp,
+  coalesce(price, 0.0) AS open, coalesce(price, 0.0) AS high, coalesce(price, 0.0) AS low,
+  coalesce(price, 0.0) AS close,
+  CASE WHEN price >= 5 THEN coalesce(volume, 0.0) ELSE 0.0 END AS volume,
+  {_iso('fetched')} AS ingested_at
+FROM p""")
+def q_flatten_intraday(spark, sf):
+    return P.flatten_intraday(T.intraday_payloads(spark, sf))
+
+
+@register("latest_tick_per_symbol", f"""WITH {O.TICKS},
+p AS (SELECT *, max(event_time) OVER (PARTITION BY symbol, event_id // 4) AS fetched
+      FROM ticks WHERE asset_type = 'stock')
+SELECT symbol, fetched AS fetched_at, 'stock' AS asset_type,
+  strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS timestamp,
+  price AS open, price AS high, price AS low, price AS close,
+  CASE WHEN price >= 5 THEN volume ELSE 0.0 END AS volume, {_iso('fetched')} AS ingested_at
+FROM p QUALIFY row_number() OVER (PARTITION BY symbol, event_id // 4 ORDER BY event_time DESC) = 1""")
+def q_latest_tick_per_symbol(spark, sf):
+    flat = P.flatten_intraday(T.intraday_payloads(spark, sf), keep_fetch=True)
+    return _ntz(P.latest_tick_per_symbol(flat), "fetched_at")
+
+
+@register("classify_payload", f"""WITH {O.TICKS}
+SELECT symbol, max(event_time) AS fetched_at,
+  CASE WHEN min(price) < 1 THEN 'rate_limited' WHEN max(price) > 470 THEN 'error'
+       WHEN count(*) = 1 THEN 'empty' ELSE 'ok' END AS status
+FROM ticks WHERE asset_type = 'stock' GROUP BY symbol, event_id // 4""")
+def q_classify_payload(spark, sf):
+    return _ntz(P.classify_payload(T.intraday_payloads(spark, sf, with_defects=True))
+                .select("symbol", "fetched_at", "status"), "fetched_at")
+
+
+@register("flatten_spot_prices", f"""WITH {O.TICKS},
+pc AS (SELECT event_id // 8 AS grp, symbol, arg_max(price, event_id) AS price,
+         arg_max(volume, event_id) AS volume, arg_max(event_time, event_id) AS et,
+         max(event_time) AS t_max
+       FROM ticks WHERE asset_type = 'crypto' AND symbol <> 'view' GROUP BY 1, 2),
+g AS (SELECT *, max(t_max) OVER (PARTITION BY grp) AS fetched FROM pc)
+SELECT symbol, 'crypto' AS asset_type,
+  CASE WHEN price < 2 THEN {_iso('fetched')}
+       ELSE strftime(date_trunc('second', et), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS timestamp,
+  coalesce(price, 0.0) AS price, coalesce(price * 1000, 0.0) AS market_cap,
+  coalesce(volume, 0.0) AS volume_24h, 0.5 AS change_24h_pct, {_iso('fetched')} AS ingested_at
+FROM g""")
+def q_flatten_spot_prices(spark, sf):
+    return P.flatten_spot_prices(T.spot_payloads(spark, sf))
+
+
+@register("flatten_ohlc", f"""WITH {O.TICKS},
+p AS (SELECT *, max(event_time) OVER (PARTITION BY event_id // 4) AS fetched,
+        row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) - 1 AS pos
+      FROM ticks WHERE symbol = 'view')
+SELECT symbol, 'crypto' AS asset_type, {_iso("date_trunc('millisecond', event_time)")} AS timestamp,
+  price AS open, price AS high, price AS low, price AS close, 0.0 AS volume,
+  {_iso('fetched')} AS ingested_at, pos::INTEGER AS pos, fetched AS fetched_at
+FROM p WHERE NOT coalesce(price < 2, false)""")
+def q_flatten_ohlc(spark, sf):
+    return _ntz(P.flatten_ohlc(T.ohlc_payloads(spark, sf)), "fetched_at")
+
+
+@register("latest_candle", f"""WITH {O.TICKS},
+p AS (SELECT *, max(event_time) OVER (PARTITION BY event_id // 4) AS fetched,
+        row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) - 1 AS pos
+      FROM ticks WHERE symbol = 'view')
+SELECT symbol, fetched AS fetched_at, {_iso("date_trunc('millisecond', event_time)")} AS timestamp,
+  price AS close, pos::INTEGER AS pos
+FROM p WHERE NOT coalesce(price < 2, false)
+QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY pos DESC) = 1""")
+def q_latest_candle(spark, sf):
+    c = P.flatten_ohlc(T.ohlc_payloads(spark, sf))
+    last = P.latest_tick_per_symbol(c, order="pos")
+    return _ntz(last.select("symbol", "fetched_at", "timestamp", "close", "pos"), "fetched_at")
+
+
+# ---------------------------------------------------------------------------
+# filters and bands
+# ---------------------------------------------------------------------------
+
+@register("recent", O.with_clean(
+    "SELECT symbol, window_start, close_price FROM clean "
+    "WHERE window_start > (SELECT max(window_start) FROM clean) - INTERVAL 1 DAY"))
+def q_recent(spark, sf):
+    c = _clean(spark, sf)
+    a = c.select(F.max("window_start")).scalar()
+    return c.filter(recent("window_start", a, "1 day")).select("symbol", "window_start",
+                                                                 "close_price")
+
+
+@register("threshold_band", O.with_clean(
+    "SELECT symbol, window_start, CASE WHEN price_return_pct IS NULL THEN NULL "
+    "WHEN price_return_pct >= 5 THEN 'red' WHEN price_return_pct >= 2 THEN 'yellow' "
+    "ELSE 'green' END AS return_band FROM clean"))
+def q_threshold_band(spark, sf):
+    c = _clean(spark, sf)
+    return c.select("symbol", "window_start",
+                    threshold_band("price_return_pct", [2.0, 5.0]).alias("return_band"))
+
+
+# ---------------------------------------------------------------------------
+# lake connector: write partitioned, read back with partition pruning
+# ---------------------------------------------------------------------------
+
+@register("read_lake", O.with_clean(
+    "SELECT symbol, asset_type, window_start, close_price, volume FROM clean "
+    "WHERE asset_type = 'stock' AND window_start BETWEEN TIMESTAMP '2024-01-10 00:00:00' "
+    "AND TIMESTAMP '2024-01-20 00:00:00'"))
+def q_read_lake(spark, sf):
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    write_lake(T.windows_from_events(spark, sf), path, batch_id=0)
+    lake = read_lake(spark, path, "2024-01-10 00:00:00", "2024-01-20 00:00:00",
+                     asset_type="stock")
+    return _ntz(lake.select("symbol", "asset_type", "window_start", "close_price",
+                            F.col("total_volume").alias("volume")), "window_start")

@@ -1,0 +1 @@
+"""Sinks: Parquet lake, JDBC tables, Kafka records."""

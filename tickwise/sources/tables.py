@@ -68,3 +68,129 @@ def anomalies_from_events(spark, sf_dir, width: str = FIXTURE_WIDTH,
     a = detect_anomalies(windows_from_events(spark, sf_dir, width),
                          detected_at="window_end", lookback=lookback)
     return a.withColumn("created_at", F.col("window_end"))
+
+
+# ---------------------------------------------------------------------------
+# raw JSON messages derived from events (for the parse operators)
+# ---------------------------------------------------------------------------
+# Data-driven defects, so parse paths are exercised on every scale factor:
+#   price >= 450  -> truncated (malformed) JSON  -> row dropped
+#   price <  2    -> unparsable timestamp text   -> broker timestamp used
+MALFORMED_MIN_PRICE = 450.0
+BAD_TS_MAX_PRICE = 2.0
+CANDLE_SYMBOL = "view"
+
+
+def _message(t: DataFrame, js) -> DataFrame:
+    bad = F.coalesce(F.col("price") >= MALFORMED_MIN_PRICE, F.lit(False))
+    return t.select(F.col("symbol").alias("msg_key"),
+                    F.when(bad, F.substring(js, 1, 25)).otherwise(js).alias("json_value"),
+                    F.col("topic"),
+                    F.col("event_time").cast("timestamp").alias("kafka_timestamp"))
+
+
+def raw_stock_messages(spark, sf_dir) -> DataFrame:
+    t = ticks_from_events(spark, sf_dir).filter(F.col("asset_type") == "stock")
+    t = t.withColumn("topic", F.lit("raw_stock_ticks"))
+    bad_ts = F.coalesce(F.col("price") < BAD_TS_MAX_PRICE, F.lit(False))
+    ts = F.when(bad_ts, F.lit("not a time")).otherwise(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
+    p = F.col("price")
+    return _message(t, F.to_json(F.struct(
+        F.col("symbol"), F.col("asset_type"), ts.alias("timestamp"), p.alias("open"),
+        p.alias("high"), p.alias("low"), p.alias("close"), F.col("volume"),
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("ingested_at"))))
+
+
+def raw_crypto_messages(spark, sf_dir) -> DataFrame:
+    """Spot-shaped messages, and candle-shaped ones for the ``view`` symbol."""
+    t = ticks_from_events(spark, sf_dir).filter(F.col("asset_type") == "crypto")
+    t = t.withColumn("topic", F.lit("raw_crypto_ticks"))
+    bad_ts = F.coalesce(F.col("price") < BAD_TS_MAX_PRICE, F.lit(False))
+    iso = F.date_format(F.col("event_time").cast("timestamp"),
+                        "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    ts = F.when(bad_ts, F.lit("garbage")).otherwise(iso).alias("timestamp")
+    p = F.col("price")
+    candle = F.struct(F.col("symbol"), F.col("asset_type"), ts, p.alias("open"),
+                      p.alias("high"), p.alias("low"), p.alias("close"),
+                      F.lit(0.0).alias("volume"))
+    spot = F.struct(F.col("symbol"), F.col("asset_type"), ts, p.alias("price"),
+                    (p * 1000).alias("market_cap"), F.col("volume").alias("volume_24h"),
+                    F.lit(0.5).alias("change_24h_pct"))
+    return _message(t, F.when(F.col("symbol") == CANDLE_SYMBOL, F.to_json(candle))
+                    .otherwise(F.to_json(spot)))
+
+
+# ---------------------------------------------------------------------------
+# vendor payloads derived from events (for the payload flatteners)
+# ---------------------------------------------------------------------------
+# One response = the events of ``event_id div GROUP`` (at most GROUP ticks,
+# whatever the data size). Defects, data-driven:
+#   intraday: price < 5 -> "5. volume" missing (defaults to 0)
+#   spot:     price < 2 -> last_updated_at = 0 (falls back to the fetch time)
+#   candles:  price < 2 -> a 3-element entry (dropped)
+PAYLOAD_GROUP = 4
+SPOT_GROUP = 8
+
+
+def _grp(n):
+    return F.expr(f"event_id div {n}")
+
+
+def intraday_payloads(spark, sf_dir, with_defects: bool = False) -> DataFrame:
+    """Intraday responses per (symbol, id group). ``with_defects`` swaps in the
+    other response kinds by group rule: min price < 1 -> rate-limit note,
+    max price > 470 -> error message, a single tick -> empty series."""
+    from tickwise.schemas import INTRADAY_SERIES_KEY
+    t = ticks_from_events(spark, sf_dir).filter(F.col("asset_type") == "stock")
+    v, k = F.col("price").cast("string"), F.col("volume").cast("string")
+    fields = F.map_filter(
+        F.create_map(F.lit("1. open"), v, F.lit("2. high"), v, F.lit("3. low"), v,
+                     F.lit("4. close"), v, F.lit("5. volume"),
+                     F.when(F.col("price") >= 5, k)),
+        lambda _k, x: x.isNotNull())
+    entry = F.struct(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("k"),
+                     fields.alias("v"))
+    g = t.groupBy("symbol", _grp(PAYLOAD_GROUP).alias("grp")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("series"),
+        F.max("event_time").cast("timestamp").alias("fetched_at"),
+        F.min("price").alias("lo"), F.max("price").alias("hi"), F.count(F.lit(1)).alias("n"))
+    ok = F.to_json(F.create_map(F.lit(INTRADAY_SERIES_KEY), F.col("series")))
+    if with_defects:
+        ok = (F.when(F.col("lo") < 1, F.lit('{"Note": "API call frequency exceeded"}'))
+              .when(F.col("hi") > 470, F.lit('{"Error Message": "Invalid API call"}'))
+              .when(F.col("n") == 1, F.lit('{"%s": {}}' % INTRADAY_SERIES_KEY))
+              .otherwise(ok))
+    return g.select("symbol", ok.alias("payload"), "fetched_at")
+
+
+def spot_payloads(spark, sf_dir) -> DataFrame:
+    """Multi-coin responses: newest event per coin within each id group."""
+    t = ticks_from_events(spark, sf_dir).filter(
+        (F.col("asset_type") == "crypto") & (F.col("symbol") != CANDLE_SYMBOL))
+    per_coin = t.groupBy(_grp(SPOT_GROUP).alias("grp"), "symbol").agg(
+        F.max_by(F.struct("price", "volume", "event_time"), "event_id").alias("e"),
+        F.max("event_time").alias("t_max"))
+    upd = F.when(F.col("e.price") < 2, F.lit(0)).otherwise(
+        F.unix_seconds(F.col("e.event_time").cast("timestamp")))
+    info = F.struct(F.col("e.price").alias("usd"),
+                    (F.col("e.price") * 1000).alias("usd_market_cap"),
+                    F.col("e.volume").alias("usd_24h_vol"),
+                    F.lit(0.5).alias("usd_24h_change"), upd.alias("last_updated_at"))
+    g = per_coin.groupBy("grp").agg(
+        F.map_from_entries(F.collect_list(F.struct("symbol", info))).alias("m"),
+        F.max("t_max").cast("timestamp").alias("fetched_at"))
+    return g.select(F.lit("simple_price").alias("symbol"), F.to_json("m").alias("payload"),
+                    "fetched_at")
+
+
+def ohlc_payloads(spark, sf_dir) -> DataFrame:
+    t = ticks_from_events(spark, sf_dir).filter(F.col("symbol") == CANDLE_SYMBOL)
+    ms = F.unix_millis(F.col("event_time").cast("timestamp")).cast("double")
+    p = F.col("price")
+    arr = F.when(p < 2, F.array(ms, p, p)).otherwise(F.array(ms, p, p, p, p))
+    g = t.groupBy("symbol", _grp(PAYLOAD_GROUP).alias("grp")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", arr.alias("c")))).alias("cs"),
+        F.max("event_time").cast("timestamp").alias("fetched_at"))
+    return g.select("symbol", F.to_json(F.transform("cs", lambda x: x["c"])).alias("payload"),
+                    "fetched_at")
