@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwise import schemas as S
 from tickwise.functions.columns import pct_fallback, severity, z_score
-from tickwise.operators.rolling import FEATURES, rolling_stats
+from tickwise.operators.rolling import FEATURES, merge_moments, moments, rolling_stats
 
 
 def z_scores(stats: DataFrame, features=FEATURES) -> DataFrame:
@@ -89,6 +89,26 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
                       severity("z_score").alias("severity"))
 
 
+def score_with_history(batch: DataFrame, history: DataFrame | None,
+                       threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
+                       detected_at: Column | str | None = None,
+                       chunk_seconds: int = 86400) -> tuple[DataFrame, DataFrame]:
+    """Score a batch of new windows against stored per-symbol history.
+
+    ``history``: moments of all earlier windows per (symbol, asset_type)
+    (``moments`` output; None when empty). The history must end before the
+    batch's windows, which append-mode streaming guarantees. Returns
+    ``(anomalies, new_history)``; the z-scores equal a batch run over all
+    windows so far, with no re-read of the lake and a history of one row per
+    symbol.
+    """
+    stats = rolling_stats(batch, FEATURES, base=history, chunk_seconds=chunk_seconds)
+    anomalies = detect_anomalies(batch, threshold=threshold, mode=mode,
+                                 detected_at=detected_at, stats=stats)
+    new = moments(batch)
+    return anomalies, (new if history is None else merge_moments(history, new))
+
+
 def with_row_defaults(df: DataFrame, kind: str = "anomalies") -> DataFrame:
     """Columns the relational store fills in: id (uuid), created_at (now),
     severity 'medium' for anomalies, record_count 0 for clean rows."""

@@ -49,16 +49,68 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
                   lookback: int | None = None,
                   keys: Sequence[str] = ("symbol", "asset_type"),
                   order: str = "window_start", strategy: str = "chunked",
-                  chunk_seconds: int = 86400, block_rows: int = 4096) -> DataFrame:
-    """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``."""
+                  chunk_seconds: int = 86400, block_rows: int = 4096,
+                  base: DataFrame | None = None) -> DataFrame:
+    """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``.
+
+    ``base``: moments of earlier rows per key (``moments()`` output), e.g. the
+    stored history of a stream; they count as rows before every input row.
+    """
     if lookback is not None and lookback < 1:
         raise ValueError("lookback must be >= 1 or None")
+    if base is not None and (lookback is not None or strategy != "chunked"):
+        raise ValueError("base moments need lookback=None and the chunked strategy")
     if strategy == "direct":
         return _direct(windows, features, lookback, keys, order)
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
     return _chunked(windows, features, lookback, list(keys), order,
-                    chunk_seconds, max(block_rows, lookback or 1))
+                    chunk_seconds, max(block_rows, lookback or 1), base)
+
+
+def moments(windows: DataFrame, features: Sequence[str] = FEATURES,
+            keys: Sequence[str] = ("symbol", "asset_type"), order: str = "window_start"
+            ) -> DataFrame:
+    """Per key: ``{f}_n, {f}_sum, {f}_m2, {f}_min, {f}_max`` and the newest ``order``.
+
+    One partial/final aggregation; M2 comes from Spark's stable variance.
+    """
+    aggs = [F.max(order).alias("last_" + order)]
+    for f in features:
+        n = F.count(f)
+        aggs += [n.alias(f"{f}_n"), F.sum(f).alias(f"{f}_sum"),
+                 (F.coalesce(F.var_samp(f), F.lit(0.0)) * F.greatest(n - 1, F.lit(0)))
+                 .alias(f"{f}_m2"),
+                 F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max")]
+    return windows.groupBy(*keys).agg(*aggs)
+
+
+def merge_moments(a: DataFrame, b: DataFrame, features: Sequence[str] = FEATURES,
+                  keys: Sequence[str] = ("symbol", "asset_type"),
+                  order: str = "window_start") -> DataFrame:
+    """Combine two moment tables key by key (parallel-variance formula).
+
+    Both sides hold one row per key, so the full outer join is over the
+    number of symbols, not the number of windows.
+    """
+    j = a.alias("a").join(b.alias("b"), on=list(keys), how="full_outer")
+    last = "last_" + order
+    out = [F.col(k) for k in keys] + [F.greatest(F.col(f"a.{last}"), F.col(f"b.{last}")).alias(last)]
+    for f in features:
+        na = F.coalesce(F.col(f"a.{f}_n"), F.lit(0))
+        nb = F.coalesce(F.col(f"b.{f}_n"), F.lit(0))
+        sa = F.coalesce(F.col(f"a.{f}_sum"), F.lit(0.0))
+        sb = F.coalesce(F.col(f"b.{f}_sum"), F.lit(0.0))
+        n = na + nb
+        delta = F.try_divide(sb, nb) - F.try_divide(sa, na)
+        m2 = (F.coalesce(F.col(f"a.{f}_m2"), F.lit(0.0)) + F.coalesce(F.col(f"b.{f}_m2"), F.lit(0.0))
+              + F.when((na > 0) & (nb > 0), F.try_divide(delta * delta * na * nb, n))
+              .otherwise(F.lit(0.0)))
+        out += [n.alias(f"{f}_n"),
+                F.when(n > 0, sa + sb).alias(f"{f}_sum"), m2.alias(f"{f}_m2"),
+                F.least(F.col(f"a.{f}_min"), F.col(f"b.{f}_min")).alias(f"{f}_min"),
+                F.greatest(F.col(f"a.{f}_max"), F.col(f"b.{f}_max")).alias(f"{f}_max")]
+    return j.select(*out)
 
 
 def _frame(keys, order, lookback):
@@ -78,7 +130,10 @@ def _chunk_col(df, order, chunk_seconds) -> Column:
     return F.floor(epoch_micros(df, order) / F.lit(chunk_seconds * 1_000_000)).cast("long")
 
 
-def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows):
+_BEFORE_ALL = -(2 ** 62)  # chunk id of the base moments: before every real chunk
+
+
+def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, base=None):
     base_cols = df.columns
     df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds))
     kc = keys + ["_chunk"]
@@ -101,6 +156,16 @@ def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows):
                      F.var_samp(f).alias(f"_v{i}"), F.min(f).alias(f"_min{i}"),
                      F.max(f).alias(f"_max{i}")]
     chunks = rows.groupBy(*kc).agg(*aggs)
+    if base is not None:
+        # prior history enters as one more chunk that precedes all others
+        pseudo = [F.col(k) for k in keys] + [F.lit(_BEFORE_ALL).cast("long").alias("_chunk"),
+                                             F.lit(0).cast("long").alias("_cnt")]
+        for i, f in enumerate(features):
+            n = F.col(f"{f}_n")
+            pseudo += [n.cast("long").alias(f"_n{i}"), F.col(f"{f}_sum").alias(f"_s{i}"),
+                       F.when(n > 1, F.try_divide(F.col(f"{f}_m2"), n - 1)).alias(f"_v{i}"),
+                       F.col(f"{f}_min").alias(f"_min{i}"), F.col(f"{f}_max").alias(f"_max{i}")]
+        chunks = chunks.unionByName(base.select(*pseudo))
 
     # (3) exclusive prefix per key over the chunk table (one row per key/chunk)
     wk_all = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
