@@ -20,7 +20,7 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
                      lookback: int | None = None, mode: str = "compat",
                      detected_at: Column | str | None = None,
                      min_rows: int | None = None, strategy: str = "chunked",
-                     chunk_seconds: int = 86400, stats: DataFrame | None = None) -> DataFrame:
+                     chunk_seconds: int | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Flag windows whose feature z-score against the symbol's history is large.
 
     compat mode (as the reference computes it): a feature row is flagged when
@@ -92,7 +92,7 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
 def score_with_history(batch: DataFrame, history: DataFrame | None,
                        threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
                        detected_at: Column | str | None = None,
-                       chunk_seconds: int = 86400) -> tuple[DataFrame, DataFrame]:
+                       chunk_seconds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Score a batch of new windows against stored per-symbol history.
 
     ``history``: moments of all earlier windows per (symbol, asset_type)

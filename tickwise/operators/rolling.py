@@ -11,12 +11,12 @@ all rows of one symbol into one task, so a symbol holding a third of the
 data makes one straggler task holding a third of the data.
 
 ``strategy="chunked"`` (default) splits every key into time chunks of
-``chunk_seconds``. A chunk of one key holds at most ``chunk_seconds / width``
-window rows (288 for 5-minute windows and daily chunks) however hot the key
-is, and chunks of one key spread over all reducers:
+``chunk_rows`` window widths (or ``chunk_seconds``). A chunk of one key
+holds at most ``chunk_rows`` windows however hot the key is, and chunks of
+one key spread over all reducers:
 
 1. local running moments inside (key, chunk) by a bounded window;
-2. per-chunk moments (count, sum, M2, min, max) — one row per key and day;
+2. per-chunk moments (count, sum, M2, min, max) — one row per key and chunk;
 3. an exclusive prefix over that small table per key (sums of counts, sums
    and shifted squares; shift = the key's first chunk mean, which keeps the
    squares well conditioned);
@@ -41,6 +41,7 @@ from pyspark.sql.window import Window
 
 from tickwise import schemas as S
 from tickwise.functions.columns import epoch_micros
+from tickwise.session import materialize
 
 FEATURES = tuple(f for f, _ in S.FEATURE_LABELS)
 
@@ -49,8 +50,8 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
                   lookback: int | None = None,
                   keys: Sequence[str] = ("symbol", "asset_type"),
                   order: str = "window_start", strategy: str = "chunked",
-                  chunk_seconds: int = 86400, block_rows: int = 4096,
-                  base: DataFrame | None = None) -> DataFrame:
+                  chunk_seconds: int | None = None, block_rows: int = 4096,
+                  base: DataFrame | None = None, chunk_rows: int = 256) -> DataFrame:
     """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``.
 
     ``base``: moments of earlier rows per key (``moments()`` output), e.g. the
@@ -65,7 +66,7 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
     return _chunked(windows, features, lookback, list(keys), order,
-                    chunk_seconds, max(block_rows, lookback or 1), base)
+                    chunk_seconds, max(block_rows, lookback or 1), base, chunk_rows)
 
 
 def moments(windows: DataFrame, features: Sequence[str] = FEATURES,
@@ -126,16 +127,31 @@ def _direct(df, features, lookback, keys, order):
     return df.select("*", *cols)
 
 
-def _chunk_col(df, order, chunk_seconds) -> Column:
-    return F.floor(epoch_micros(df, order) / F.lit(chunk_seconds * 1_000_000)).cast("long")
+def _chunk_col(df, order, chunk_seconds, chunk_rows) -> Column:
+    """Chunk id: time bucket of ``chunk_seconds``, or by default ``chunk_rows``
+    window widths (the smallest width in the input, an uncorrelated scalar
+    subquery), so a chunk of one key never holds more than ``chunk_rows``
+    distinct windows whatever the width."""
+    us = epoch_micros(df, order)
+    if chunk_seconds is not None:
+        span = F.lit(int(chunk_seconds) * 1_000_000)
+    elif "window_end" in df.columns:
+        width = df.select(F.min(epoch_micros(df, "window_end") - us)).scalar()
+        span = F.greatest(width, F.lit(1)) * F.lit(int(chunk_rows))
+    else:
+        span = F.lit(86400 * 1_000_000)
+    return F.floor(us / span).cast("long")
 
 
 _BEFORE_ALL = -(2 ** 62)  # chunk id of the base moments: before every real chunk
 
 
-def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, base=None):
+def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, base=None,
+             chunk_rows=256):
+    # both branches below read the input: store it once unless it is stored
+    df = materialize(df, "rolling-input")
     base_cols = df.columns
-    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds))
+    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows))
     kc = keys + ["_chunk"]
     wl = Window.partitionBy(*kc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 

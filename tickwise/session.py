@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants; a cluster's own values win because
 # they are only applied where the key is still unset.
@@ -58,3 +59,50 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+# logical nodes that are cheap to evaluate twice (a stored or cached relation
+# behind projections and filters)
+_CHEAP_NODES = {"Project", "Filter", "LogicalRelation", "InMemoryRelation", "LocalRelation",
+                "LogicalRDD", "SubqueryAlias", "Range", "HiveTableRelation",
+                "DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingDataSourceV2Relation"}
+
+
+def _is_cheap(plan) -> bool:
+    if plan.nodeName() not in _CHEAP_NODES:
+        return False
+    kids = plan.children()
+    return all(_is_cheap(kids.apply(i)) for i in range(kids.size()))
+
+
+def is_stored(df: DataFrame) -> bool:
+    """True when ``df`` is a scan (or cache) with only projections/filters on top."""
+    return _is_cheap(df._jdf.queryExecution().optimizedPlan())
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where a plan must read its input twice (e.g. the two-level prefix
+    scan): without it Spark would recompute the whole upstream (scan + tick
+    aggregation) for the second branch. The written table also cuts the
+    lineage, so a lost executor does not replay the upstream. Inputs that are
+    already stored or cached are returned unchanged.
+    """
+    if is_stored(df):
+        return df
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (a single small file or row group). Large inputs already have enough
+    splits, so this is a no-op at scale; the check only plans, it runs no job."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

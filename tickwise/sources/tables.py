@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators.anomalies import detect_anomalies
+from tickwise.session import ensure_parallelism
 from tickwise.operators.features import to_clean, window_features
 
 STOCK_EVENT_TYPES = ("purchase", "signup")
@@ -18,7 +19,7 @@ FIXTURE_WIDTH = "1 hour"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def ticks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
