@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tickwise.session import get_session
-    s = get_session("local[8]", shuffle_partitions=8)
+    s = get_session("local[8]", shuffle_partitions=8,
+                    extra={"spark.sql.maxMetadataStringLength": "2000"})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickwise-test-"))
     yield s
