@@ -276,9 +276,14 @@ def q_time_filter(spark, sf):
     return R.price_series(c, end - F.expr("INTERVAL 7 DAYS"), end)
 
 
-@register("wide_series", None)
+_EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("wide_series", O.with_clean(
+    "PIVOT (SELECT window_start AS time, symbol, close_price FROM clean) ON symbol "
+    "IN ('click', 'error', 'purchase', 'signup', 'view') USING first(close_price) GROUP BY time"))
 def q_wide_series(spark, sf):
-    return R.wide_series(_clean(spark, sf))
+    return R.wide_series(_clean(spark, sf), _EVENT_SYMBOLS)
 
 
 _LATEST = ("(SELECT DISTINCT ON (symbol) * FROM clean "

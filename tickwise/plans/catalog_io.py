@@ -214,3 +214,13 @@ def q_read_lake(spark, sf):
                      asset_type="stock")
     return _ntz(lake.select("symbol", "asset_type", "window_start", "close_price",
                             F.col("total_volume").alias("volume")), "window_start")
+
+
+@register("lake_inventory", None)
+def q_lake_inventory(spark, sf):
+    """Write the feature windows as a lake, then inventory its files (rows-only:
+    sizes and modification times depend on the write)."""
+    from tickwise.plans.quality import lake_inventory
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    write_lake(T.windows_from_events(spark, sf), path, batch_id=0)
+    return lake_inventory(spark, path)

@@ -130,17 +130,17 @@ def volume_delta_series(clean, start=None, end=None):
     return _series(clean, "volume_delta", "volume_delta", start, end)
 
 
-def wide_series(clean, value_col="close_price", start=None, end=None,
-                symbols: list[str] | None = None):
-    """Wide time-series format: one column per symbol (pivot).
+def wide_series(clean, symbols: list[str], value_col="close_price", start=None, end=None):
+    """Wide time-series format: one column per listed symbol (pivot).
 
-    Pass ``symbols`` when known; otherwise Spark runs one extra distinct job
-    to find the pivot values.
+    The pivot values are an explicit argument: the panel shows a handful of
+    symbols, and listing them keeps Spark from collecting every distinct
+    symbol to the driver. (time, symbol) is unique, so ``first`` is exact.
     """
-    base = clean.filter(time_filter("window_start", start, end))
-    g = base.groupBy(F.col("window_start").alias("time"))
-    g = g.pivot("symbol", symbols) if symbols is not None else g.pivot("symbol")
-    return g.agg(F.first(value_col)).orderBy("time")
+    base = clean.filter(time_filter("window_start", start, end)
+                        & F.col("symbol").isin(*symbols))
+    return (base.groupBy(F.col("window_start").alias("time"))
+            .pivot("symbol", list(symbols)).agg(F.first(value_col)).orderBy("time"))
 
 
 # ---------------------------------------------------------------------------
