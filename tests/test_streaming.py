@@ -3,6 +3,8 @@
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -34,7 +36,8 @@ def _key(rows, cols):
                   for r in rows)
 
 
-def test_stream_equals_batch(spark, tmp):
+@pytest.mark.parametrize("lookback", [None, 20])
+def test_stream_equals_batch(spark, tmp, lookback):
     stock, crypto = T.raw_stock_messages(spark, SF_SMALL), T.raw_crypto_messages(spark, SF_SMALL)
     _land(spark, stock, f"{tmp}/in/stock", 6)
     _land(spark, crypto, f"{tmp}/in/crypto", 6)
@@ -42,7 +45,7 @@ def test_stream_equals_batch(spark, tmp):
     c_raw = read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1)
     q = run_pipeline(s_raw, c_raw, f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state",
                      f"{tmp}/ckpt", trigger={"availableNow": True}, width=WIDTH,
-                     delay="2 days")
+                     delay="2 days", lookback=lookback)
     q.awaitTermination(300)
     assert q.exception() is None
     lake = spark.read.parquet(f"{tmp}/lake")
@@ -64,7 +67,7 @@ def test_stream_equals_batch(spark, tmp):
     assert batch_w.count() - len(got_w) == open_w.count()
 
     got_a = spark.read.parquet(f"{tmp}/anoms").collect()
-    exp_a = detect_anomalies(batch_w).join(emitted, ["symbol", "asset_type", "window_start"],
+    exp_a = detect_anomalies(batch_w, lookback=lookback).join(emitted, ["symbol", "asset_type", "window_start"],
                                            "left_semi").collect()
     acols = ["symbol", "asset_type", "anomaly_type", "window_start", "current_value",
              "mean_value", "std_value", "z_score", "severity"]

@@ -109,6 +109,42 @@ def score_with_history(batch: DataFrame, history: DataFrame | None,
     return anomalies, (new if history is None else merge_moments(history, new))
 
 
+def score_with_tail(batch: DataFrame, tail: DataFrame | None, lookback: int,
+                    threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
+                    detected_at: Column | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bounded-lookback variant of ``score_with_history``.
+
+    ``tail``: the last ``lookback`` windows of every symbol seen so far
+    (keys, window_start and the three features). Returns ``(anomalies,
+    new_tail)``; the z-scores equal a batch run with the same lookback.
+    """
+    keep = ["symbol", "asset_type", "window_start", *FEATURES]
+    b = batch.withColumn("_hist", F.lit(False))
+    u = b if tail is None else b.unionByName(
+        tail.select(*keep).withColumn("_hist", F.lit(True)), allowMissingColumns=True)
+    stats = rolling_stats(u, FEATURES, lookback=lookback)
+    anomalies = detect_anomalies(batch, threshold=threshold, mode=mode,
+                                 detected_at=detected_at,
+                                 stats=stats.filter(~F.col("_hist")).drop("_hist"))
+    return anomalies, last_rows(u.select(*keep), lookback)
+
+
+def last_rows(df: DataFrame, n: int, keys=("symbol", "asset_type"),
+              order: str = "window_start", chunk_rows: int = 256) -> DataFrame:
+    """The newest ``n`` rows of every key, in two bounded steps: top-n inside
+    each (key, time chunk), then top-n per key over at most n rows per chunk."""
+    from pyspark.sql.window import Window
+    from tickwise.operators.rolling import _chunk_col
+    from tickwise.session import materialize
+    df = materialize(df, "tail-input")
+    c = df.withColumn("_c", _chunk_col(df, order, None, chunk_rows))
+    w1 = Window.partitionBy(*keys, "_c").orderBy(F.col(order).desc())
+    top = c.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
+    w2 = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+    return (top.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= n)
+            .drop("_r", "_c"))
+
+
 def with_row_defaults(df: DataFrame, kind: str = "anomalies") -> DataFrame:
     """Columns the relational store fills in: id (uuid), created_at (now),
     severity 'medium' for anomalies, record_count 0 for clean rows."""

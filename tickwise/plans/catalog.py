@@ -214,7 +214,7 @@ def q_high_severity_count(spark, sf):
 
 @register("latest_price", O.with_clean(
     "SELECT close_price FROM clean WHERE symbol = 'purchase' "
-    "ORDER BY window_start DESC, asset_type DESC, window_end DESC, record_count DESC LIMIT 1"))
+    "ORDER BY window_start DESC, record_count DESC, asset_type DESC LIMIT 1"))
 def q_latest_price(spark, sf):
     return R.latest_price(_clean(spark, sf), "purchase")
 
@@ -287,8 +287,7 @@ def q_wide_series(spark, sf):
 
 
 _LATEST = ("(SELECT DISTINCT ON (symbol) * FROM clean "
-           "ORDER BY symbol, window_start DESC, asset_type DESC, window_end DESC, "
-           "record_count DESC) l")
+           "ORDER BY symbol, window_start DESC, record_count DESC, asset_type DESC) l")
 
 
 @register("current_prices", O.with_clean(

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickwise.functions.columns import not_system, recent, time_filter
+from tickwise.functions.columns import epoch_micros, not_system, recent, time_filter
 
 
 def _as_of(df: DataFrame, col: str, as_of) -> Column:
@@ -28,18 +29,37 @@ def _r(col: str, digits: int, alias: str | None = None) -> Column:
     return F.round(F.col(col), digits).alias(alias or col)
 
 
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType,
+                T.DecimalType)
+
+
+def _recency_key(clean: DataFrame) -> Column:
+    """Newest first: window_start, then record_count, packed into one decimal."""
+    return (epoch_micros(clean, "window_start").cast("decimal(38,0)")
+            * F.expr("CAST(10000000000000000000 AS DECIMAL(38,0))")
+            + F.coalesce(F.col("record_count"), F.lit(0)).cast("decimal(38,0)"))
+
+
 def _latest_per_symbol(clean: DataFrame) -> DataFrame:
     """Newest row per symbol (``DISTINCT ON (symbol) ... ORDER BY window_start DESC``).
 
-    Ties on window_start are broken by asset_type, window_end, record_count.
-    ``max_by`` over a struct keeps one partial/final aggregation: each map
-    task reduces a hot symbol to one row before the shuffle.
+    Ties on window_start go to the larger record_count, then asset_type.
+    Level 1 is a hash aggregation over the whole table per (symbol,
+    asset_type): every fixed-width column is taken with ``max_by`` on one
+    packed decimal key, so the partial aggregate reduces a hot symbol to one
+    row per map task without sorting. Level 2 picks across asset types on
+    that tiny result. Variable-width columns other than the keys are dropped.
     """
-    cols = [c for c in clean.columns if c != "symbol"]
-    key = F.struct("window_start", "asset_type", "window_end", "record_count")
-    return (clean.groupBy("symbol")
-            .agg(F.max_by(F.struct(*cols), key).alias("_r"))
-            .select("symbol", *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    key = _recency_key(clean)
+    cols = [f.name for f in clean.schema.fields
+            if f.name not in ("symbol", "asset_type") and isinstance(f.dataType, _FIXED_WIDTH)]
+    lvl1 = clean.groupBy("symbol", "asset_type").agg(
+        F.max(key).alias("_k"), *[F.max_by(c, key).alias(c) for c in cols])
+    rest = ["asset_type"] + cols
+    return (lvl1.groupBy("symbol")
+            .agg(F.max_by(F.struct(*rest), F.struct("_k", "asset_type")).alias("_r"))
+            .select("symbol", *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 # ---------------------------------------------------------------------------
@@ -73,10 +93,7 @@ def high_severity_count(anomalies: DataFrame) -> DataFrame:
 
 def latest_price(clean: DataFrame, symbol: str) -> DataFrame:
     """Close price of the symbol's newest window (one row, or none)."""
-    key = F.struct("window_start", "asset_type", "window_end", "record_count")
-    return (clean.filter(F.col("symbol") == symbol)
-            .groupBy("symbol").agg(F.max_by("close_price", key).alias("close_price"))
-            .select("close_price"))
+    return _latest_per_symbol(clean.filter(F.col("symbol") == symbol)).select("close_price")
 
 
 # ---------------------------------------------------------------------------

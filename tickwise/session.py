@@ -63,7 +63,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 # logical nodes that are cheap to evaluate twice (a stored or cached relation
 # behind projections and filters)
-_CHEAP_NODES = {"Project", "Filter", "LogicalRelation", "InMemoryRelation", "LocalRelation",
+_CHEAP_NODES = {"Project", "Filter", "Union", "LogicalRelation", "InMemoryRelation", "LocalRelation",
                 "LogicalRDD", "SubqueryAlias", "Range", "HiveTableRelation",
                 "DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingDataSourceV2Relation"}
 

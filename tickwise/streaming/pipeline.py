@@ -6,8 +6,9 @@
   partial rows for the same window).
 * ``stream_anomalies``: ``foreachBatch`` over those final windows. Each batch
   is scored against per-symbol moments of all earlier windows (a table of one
-  row per symbol, versioned by batch id), so z-scores equal a batch run over
-  the whole history.
+  row per symbol, versioned by batch id) — or, with a bounded ``lookback``,
+  against the last ``lookback`` windows per symbol — so z-scores equal a
+  batch run over the whole history.
 * Every sink is idempotent per batch id: lake and anomaly files go to a
   ``batch_id`` partition written with dynamic overwrite, the moment table to
   version ``v=batch_id``. A batch replayed after a failure overwrites its own
@@ -26,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
 
 from tickwise import schemas as S
-from tickwise.operators.anomalies import score_with_history
+from tickwise.operators.anomalies import score_with_history, score_with_tail
 from tickwise.operators.features import window_features
 from tickwise.operators.ticks import parse_crypto, parse_stock, unify_ticks
 from tickwise.session import scratch_path
@@ -47,8 +48,9 @@ def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
     return window_features(ticks.withWatermark(time_col, delay), width, tie_breaker, time_col)
 
 
-class MomentStore:
-    """Per-symbol moments of all scored windows, one version per batch id."""
+class VersionedTable:
+    """A small per-symbol state table (moments, or the last windows), one
+    version per batch id; a replayed batch rewrites its own version."""
 
     def __init__(self, spark: SparkSession, path: str, retain: int = 10):
         self.spark, self.path, self.retain = spark, path, retain
@@ -69,8 +71,8 @@ class MomentStore:
         last = df.select(F.max("v")).scalar()
         return df.filter(F.col("v") == last).drop("v")
 
-    def write(self, moments: DataFrame, batch_id: int) -> None:
-        (moments.withColumn("v", F.lit(int(batch_id)).cast("long")).coalesce(1).write
+    def write(self, table: DataFrame, batch_id: int) -> None:
+        (table.withColumn("v", F.lit(int(batch_id)).cast("long")).write
          .mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("v").parquet(self.path))
         self._prune(batch_id)
@@ -91,10 +93,14 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                       state_path: str, threshold: float = S.Z_SCORE_THRESHOLD,
-                      mode: str = "compat", extra_sinks: list[Callable] | None = None
-                      ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body: lake write, scoring with history, sinks."""
-    store = MomentStore(spark, state_path)
+                      mode: str = "compat", extra_sinks: list[Callable] | None = None,
+                      lookback: int | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body: lake write, scoring with history, sinks.
+
+    State: per-symbol moments of all earlier windows (``lookback=None``) or
+    the last ``lookback`` windows per symbol.
+    """
+    store = VersionedTable(spark, state_path)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -103,7 +109,11 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
         try:
             write_lake(batch, lake_path, batch_id)
             history = store.read(batch_id)
-            anomalies, new_history = score_with_history(batch, history, threshold, mode)
+            if lookback is None:
+                anomalies, new_history = score_with_history(batch, history, threshold, mode)
+            else:
+                anomalies, new_history = score_with_tail(batch, history, lookback, threshold,
+                                                         mode)
             anomalies = anomalies.persist(StorageLevel.MEMORY_AND_DISK)
             write_batch_partition(anomalies, anomalies_path, batch_id)
             for sink in extra_sinks or []:
@@ -120,7 +130,8 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
                      state_path: str | None = None, checkpoint: str | None = None,
                      trigger: dict | None = None, threshold: float = S.Z_SCORE_THRESHOLD,
                      mode: str = "compat", extra_sinks: list[Callable] | None = None,
-                     query_name: str | None = None) -> StreamingQuery:
+                     query_name: str | None = None, lookback: int | None = None
+                     ) -> StreamingQuery:
     """Start the scoring query over a stream of final windows.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's
@@ -131,7 +142,7 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
     state_path = state_path or scratch_path(spark, "moments")
     checkpoint = checkpoint or scratch_path(spark, "pipeline")
     fn = make_batch_scorer(spark, lake_path, anomalies_path, state_path, threshold, mode,
-                           extra_sinks)
+                           extra_sinks, lookback)
     w = (features.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     if query_name:
@@ -145,8 +156,8 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  width: str = S.DEFAULT_WIDTH, delay: str = "10 minutes",
                  threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
-                 source_tz: str = "UTC", extra_sinks: list[Callable] | None = None
-                 ) -> StreamingQuery:
+                 source_tz: str = "UTC", extra_sinks: list[Callable] | None = None,
+                 lookback: int | None = None) -> StreamingQuery:
     """Raw stock + crypto message streams -> parse -> unify -> final windows ->
     lake + anomalies (one streaming query)."""
     strict = mode == "strict"
@@ -154,4 +165,4 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                         parse_crypto(crypto_raw, strict))
     feats = stream_features(ticks, width, delay)
     return stream_anomalies(feats, lake_path, anomalies_path, state_path, checkpoint,
-                            trigger, threshold, mode, extra_sinks)
+                            trigger, threshold, mode, extra_sinks, lookback=lookback)
