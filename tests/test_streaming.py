@@ -104,6 +104,7 @@ def test_late_rows_dropped_by_watermark(spark, tmp):
                               "price double, volume double") \
             .withColumn("event_time", F.to_timestamp("event_time")) \
             .write.mode("append").parquet(f"{tmp}/in/p{i}")
+        time.sleep(1.1)   # the file source replays by modification time
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
     q = (stream_features(src, "1 hour", "30 minutes").writeStream.format("memory")
          .queryName("late_test").outputMode("append").trigger(availableNow=True).start())

@@ -531,7 +531,19 @@ def q_row_counts(spark, sf):
     return Q.row_counts(_clean(spark, sf), _anoms(spark, sf))
 
 
-@register("run_quality_checks", None)
+@register("run_quality_checks", O.with_both(
+    "SELECT 'nulls' AS \"check\", CAST(count(*) FILTER (WHERE symbol IS NULL OR close_price IS NULL "
+    "OR volume IS NULL OR window_start IS NULL) AS VARCHAR) AS value, CASE WHEN count(*) FILTER "
+    "(WHERE symbol IS NULL OR close_price IS NULL OR volume IS NULL OR window_start IS NULL) = 0 "
+    "THEN 'PASS' ELSE 'WARNING' END AS status FROM clean "
+    "UNION ALL SELECT 'duplicates', CAST(count(*) AS VARCHAR), CASE WHEN count(*) <= 5 THEN 'PASS' "
+    "ELSE 'WARNING' END FROM (SELECT symbol, window_start FROM clean GROUP BY 1, 2 "
+    "HAVING count(*) > 1) d "
+    "UNION ALL SELECT 'freshness', CAST(max(window_start) AS VARCHAR), CASE WHEN max(window_start) > "
+    "(SELECT max(created_at) FROM clean) - INTERVAL 15 MINUTE THEN 'FRESH' ELSE 'STALE' END FROM clean "
+    "UNION ALL SELECT 'load', CAST(count(*) AS VARCHAR), CASE WHEN count(*) > 0 THEN 'SUCCESS' "
+    "ELSE 'WARNING' END FROM clean WHERE created_at > "
+    "(SELECT max(created_at) FROM clean) - INTERVAL 10 MINUTE"))
 def q_run_quality_checks(spark, sf):
     return Q.run_quality_checks(_clean(spark, sf), _anoms(spark, sf))
 
