@@ -48,6 +48,24 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))
 
 
+def _num(x: float) -> str:
+    """A double literal in Spark SQL text."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)" if x != x or x in (float("inf"), float("-inf")) \
+        else f"{float(x)!r}D"
+
+
+def z_score_sql(value: str, mean: str, std: str) -> str:
+    """SQL text of ``z_score`` (for building many columns in one call)."""
+    return (f"CASE WHEN {std} IS NOT NULL AND {std} > 0D THEN ({value} - {mean}) / {std} "
+            f"ELSE 0D END")
+
+
+PCT_FALLBACK_SQL = (f"(abs(price_return_pct) > {_num(S.FALLBACK_RETURN_PCT)} "
+                    f"OR rolling_volatility > avg_price * {_num(S.FALLBACK_VOL_RATIO)})")
+SEVERITY_SQL = (f"CASE WHEN abs(z_score) > {_num(S.SEVERITY_HIGH_Z)} THEN 'high' "
+                f"WHEN abs(z_score) > {_num(S.SEVERITY_MEDIUM_Z)} THEN 'medium' ELSE 'low' END")
+
+
 def z_score(value, mean, std) -> Column:
     """(x - mean) / std when std is known and positive, else 0.0."""
     std = _c(std)

@@ -6,14 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise import schemas as S
-from tickwise.functions.columns import pct_fallback, severity, z_score
+from tickwise.functions.columns import PCT_FALLBACK_SQL, SEVERITY_SQL, _num, z_score_sql
 from tickwise.operators.rolling import FEATURES, merge_moments, moments, rolling_stats
 
 
 def z_scores(stats: DataFrame, features=FEATURES) -> DataFrame:
     """Add ``{f}_z`` = (x - mean) / std when std > 0, else 0.0."""
-    return stats.select("*", *[z_score(f, f"{f}_mean", f"{f}_std").alias(f"{f}_z")
-                               for f in features])
+    return stats.selectExpr("*", *[
+        z_score_sql(f"`{f}`", f"`{f}_mean`", f"`{f}_std`") + f" AS `{f}_z`" for f in features])
+
+
+def _hit_sql(f: str, label: str, mode: str, threshold: float) -> str:
+    z, t = f"`{f}_z`", _num(threshold)
+    if mode == "compat":
+        return f"(abs({z}) > {t} OR ({z} = 0D AND {PCT_FALLBACK_SQL}))"
+    own = {"price_spike": f"abs(price_return_pct) > {_num(S.FALLBACK_RETURN_PCT)}",
+           "volatility_burst": f"rolling_volatility > avg_price * {_num(S.FALLBACK_VOL_RATIO)}"}
+    finite = f"(NOT isnan({z}) AND abs({z}) < {_num(float('inf'))})"
+    return f"(({finite} AND abs({z}) > {t}) OR (`{f}_std` IS NULL AND {own.get(label, 'false')}))"
 
 
 def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
@@ -54,26 +64,10 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
     else:
         det = detected_at
 
-    ret_rule = F.abs(F.col("price_return_pct")) > F.lit(S.FALLBACK_RETURN_PCT)
-    vol_rule = F.col("rolling_volatility") > F.col("avg_price") * F.lit(S.FALLBACK_VOL_RATIO)
-    items = []
-    for f, label in S.FEATURE_LABELS:
-        zc = F.col(f"{f}_z")
-        if mode == "compat":
-            hit = (F.abs(zc) > F.lit(threshold)) | ((zc == 0.0) & pct_fallback())
-        else:
-            finite = ~F.isnan(zc) & (F.abs(zc) < F.lit(float("inf")))
-            no_hist = F.col(f"{f}_std").isNull()
-            own = {"price_spike": ret_rule, "volatility_burst": vol_rule}.get(label, F.lit(False))
-            hit = (finite & (F.abs(zc) > F.lit(threshold))) | (no_hist & own)
-        items.append(F.struct(
-            F.lit(label).alias("anomaly_type"),
-            F.col(f).alias("current_value"),
-            F.coalesce(F.col(f"{f}_mean"), F.lit(0.0)).alias("mean_value"),
-            F.coalesce(F.col(f"{f}_std"), F.lit(1.0)).alias("std_value"),
-            zc.alias("z_score"),
-            F.coalesce(hit, F.lit(False)).alias("_hit")))
-
+    items = [f"named_struct('anomaly_type', '{label}', 'current_value', `{f}`, "
+             f"'mean_value', coalesce(`{f}_mean`, 0D), 'std_value', coalesce(`{f}_std`, 1D), "
+             f"'z_score', `{f}_z`, '_hit', coalesce({_hit_sql(f, label, mode, threshold)}, false))"
+             for f, label in S.FEATURE_LABELS]
     base = z
     if min_rows is not None:
         n = windows.select(F.count(F.lit(1))).scalar()
@@ -81,12 +75,12 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
     out = (base.select("symbol", "asset_type", det.alias("detected_at"), "window_start",
                        "window_end", F.col("close_price").alias("price"),
                        F.col("total_volume").alias("volume"),
-                       F.inline(F.array(*items)))
-           .filter(F.col("_hit")))
-    return out.select("symbol", "asset_type", "anomaly_type", "detected_at",
-                      "window_start", "window_end", "current_value", "mean_value",
-                      "std_value", "z_score", "price", "volume",
-                      severity("z_score").alias("severity"))
+                       F.expr(f"inline(array({', '.join(items)}))"))
+           .filter("_hit"))
+    return out.selectExpr("symbol", "asset_type", "anomaly_type", "detected_at",
+                          "window_start", "window_end", "current_value", "mean_value",
+                          "std_value", "z_score", "price", "volume",
+                          f"{SEVERITY_SQL} AS severity")
 
 
 def score_with_history(batch: DataFrame, history: DataFrame | None,

@@ -146,109 +146,115 @@ def _chunk_col(df, order, chunk_seconds, chunk_rows) -> Column:
 _BEFORE_ALL = -(2 ** 62)  # chunk id of the base moments: before every real chunk
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, base=None,
              chunk_rows=256):
+    # Expressions are SQL text through selectExpr: the same plan as Column
+    # objects, built with a few JVM calls instead of thousands.
     # both branches below read the input: store it once unless it is stored
     df = materialize(df, "rolling-input")
     base_cols = df.columns
     df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows))
-    kc = keys + ["_chunk"]
-    wl = Window.partitionBy(*kc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    local = [F.row_number().over(Window.partitionBy(*kc).orderBy(order)).alias("_rn")]
+    K = ", ".join(_q(k) for k in keys)
+    KC = f"{K}, _chunk"
+    o = _q(order)
+    fs = [_q(f) for f in features]
+
+    # (1) local running moments inside (key, chunk)
+    wl = (f"OVER (PARTITION BY {KC} ORDER BY {o} "
+          f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    local = [f"row_number() OVER (PARTITION BY {KC} ORDER BY {o}) AS _rn"]
     if lookback is None:
-        for i, f in enumerate(features):
-            local += [F.count(f).over(wl).alias(f"_ln{i}"), F.sum(f).over(wl).alias(f"_ls{i}"),
-                      F.var_samp(f).over(wl).alias(f"_lv{i}"), F.min(f).over(wl).alias(f"_lmin{i}"),
-                      F.max(f).over(wl).alias(f"_lmax{i}")]
-    rows = df.select("*", *local)
+        for i, f in enumerate(fs):
+            local += [f"count({f}) {wl} AS _ln{i}", f"sum({f}) {wl} AS _ls{i}",
+                      f"var_samp({f}) {wl} AS _lv{i}", f"min({f}) {wl} AS _lmin{i}",
+                      f"max({f}) {wl} AS _lmax{i}"]
+    rows = df.selectExpr("*", *local)
 
     # (2) per-chunk moments: the rows are already clustered by (key, chunk),
     # so this aggregate adds no exchange.
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    aggs = ["count(1) AS _cnt"]
     if lookback is None:
-        for i, f in enumerate(features):
-            aggs += [F.count(f).alias(f"_n{i}"), F.sum(f).alias(f"_s{i}"),
-                     F.var_samp(f).alias(f"_v{i}"), F.min(f).alias(f"_min{i}"),
-                     F.max(f).alias(f"_max{i}")]
-    chunks = rows.groupBy(*kc).agg(*aggs)
+        for i, f in enumerate(fs):
+            aggs += [f"count({f}) AS _n{i}", f"sum({f}) AS _s{i}", f"var_samp({f}) AS _v{i}",
+                     f"min({f}) AS _min{i}", f"max({f}) AS _max{i}"]
+    chunks = rows.groupBy(*keys, "_chunk").agg(*[F.expr(a) for a in aggs])
     if base is not None:
         # prior history enters as one more chunk that precedes all others
-        pseudo = [F.col(k) for k in keys] + [F.lit(_BEFORE_ALL).cast("long").alias("_chunk"),
-                                             F.lit(0).cast("long").alias("_cnt")]
+        pseudo = [_q(k) for k in keys] + [f"CAST({_BEFORE_ALL} AS BIGINT) AS _chunk",
+                                          "CAST(0 AS BIGINT) AS _cnt"]
         for i, f in enumerate(features):
-            n = F.col(f"{f}_n")
-            pseudo += [n.cast("long").alias(f"_n{i}"), F.col(f"{f}_sum").alias(f"_s{i}"),
-                       F.when(n > 1, F.try_divide(F.col(f"{f}_m2"), n - 1)).alias(f"_v{i}"),
-                       F.col(f"{f}_min").alias(f"_min{i}"), F.col(f"{f}_max").alias(f"_max{i}")]
-        chunks = chunks.unionByName(base.select(*pseudo))
-
-    # (3) exclusive prefix per key over the chunk table (one row per key/chunk)
-    wk_all = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    pre = [F.coalesce(F.sum("_cnt").over(wk), F.lit(0)).alias("_pcnt")]
+            n = _q(f"{f}_n")
+            pseudo += [f"CAST({n} AS BIGINT) AS _n{i}", f"{_q(f + '_sum')} AS _s{i}",
+                       f"CASE WHEN {n} > 1 THEN try_divide({_q(f + '_m2')}, {n} - 1) END AS _v{i}",
+                       f"{_q(f + '_min')} AS _min{i}", f"{_q(f + '_max')} AS _max{i}"]
+        chunks = chunks.unionByName(base.selectExpr(*pseudo))
+
+    # (3) exclusive prefix per key over the chunk table (one row per key/chunk);
+    # sums of squares are shifted by the key's first chunk mean.
+    wk = f"OVER (PARTITION BY {K} ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    wk_all = (f"OVER (PARTITION BY {K} ORDER BY _chunk "
+              f"ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+    pre = [f"coalesce(sum(_cnt) {wk}, 0) AS _pcnt"]
     if lookback is None:
-        shifted = []
-        for i in range(len(features)):
-            n, s = F.col(f"_n{i}"), F.col(f"_s{i}")
-            shifted.append(F.first(F.when(n > 0, F.try_divide(s, n)), ignorenulls=True)
-                           .over(wk_all).alias(f"_c{i}"))
-        chunks = chunks.select("*", *shifted)
-        for i in range(len(features)):
-            n, s, c = F.col(f"_n{i}"), F.col(f"_s{i}"), F.col(f"_c{i}")
-            y = F.when(n > 0, F.try_divide(s, n) - c)
-            q = F.when(n > 0, F.coalesce(F.col(f"_v{i}"), F.lit(0.0)) * (n - 1) + n * y * y)
-            pre += [F.coalesce(F.sum(n).over(wk), F.lit(0)).alias(f"_pn{i}"),
-                    F.sum(s).over(wk).alias(f"_ps{i}"),
-                    F.sum(n * y).over(wk).alias(f"_pt{i}"),
-                    F.sum(q).over(wk).alias(f"_pq{i}"),
-                    F.min(f"_min{i}").over(wk).alias(f"_pmin{i}"),
-                    F.max(f"_max{i}").over(wk).alias(f"_pmax{i}")]
-    prefix = chunks.select(*kc, *pre)
+        chunks = chunks.selectExpr("*", *[
+            f"first(CASE WHEN _n{i} > 0 THEN try_divide(_s{i}, _n{i}) END, true) {wk_all} AS _c{i}"
+            for i in range(len(fs))])
+        for i in range(len(fs)):
+            y = f"(CASE WHEN _n{i} > 0 THEN try_divide(_s{i}, _n{i}) - _c{i} END)"
+            q = f"(CASE WHEN _n{i} > 0 THEN coalesce(_v{i}, 0D) * (_n{i} - 1) + _n{i} * {y} * {y} END)"
+            pre += [f"coalesce(sum(_n{i}) {wk}, 0) AS _pn{i}", f"sum(_s{i}) {wk} AS _ps{i}",
+                    f"sum(_n{i} * {y}) {wk} AS _pt{i}", f"sum({q}) {wk} AS _pq{i}",
+                    f"min(_min{i}) {wk} AS _pmin{i}", f"max(_max{i}) {wk} AS _pmax{i}"]
+    prefix = chunks.selectExpr(*[_q(k) for k in keys], "_chunk", *pre)
 
     # (4) merge. The prefix table has one row per key and chunk; AQE turns
     # the join into a broadcast only when its measured size is small.
-    joined = rows.join(prefix, on=kc, how="inner")
+    joined = rows.join(prefix, on=keys + ["_chunk"], how="inner")
     if lookback is None:
-        out = [F.col(c) for c in base_cols]
+        out = [_q(c) for c in base_cols]
         for i, f in enumerate(features):
             out += _merge(i, f)
-        return joined.select(*out)
+        return joined.selectExpr(*out)
     return _bounded(joined, base_cols, features, lookback, keys, order, block_rows)
 
 
 def _merge(i, f):
-    nl = F.col(f"_ln{i}")
-    sl = F.col(f"_ls{i}")
-    npre = F.col(f"_pn{i}")
-    spre = F.col(f"_ps{i}")
-    n = npre + nl
-    total = F.coalesce(spre, F.lit(0.0)) + F.coalesce(sl, F.lit(0.0))
-    mean = F.when(n > 0, F.try_divide(total, n))
-    m2_l = F.coalesce(F.col(f"_lv{i}"), F.lit(0.0)) * (nl - 1)
+    """Mean and sample stddev of prefix (p) + local (l) moments, as SQL text."""
+    nl, sl, np_, sp = f"_ln{i}", f"_ls{i}", f"_pn{i}", f"_ps{i}"
+    n = f"({np_} + {nl})"
+    mean = (f"CASE WHEN {n} > 0 THEN try_divide(coalesce({sp}, 0D) + coalesce({sl}, 0D), {n}) "
+            f"END AS {_q(f + '_mean')}")
+    m2_l = f"(coalesce(_lv{i}, 0D) * ({nl} - 1))"
     # prefix M2 about its own mean from shifted sums: Q - T^2 / N
-    m2_p = F.greatest(F.col(f"_pq{i}") - F.try_divide(F.col(f"_pt{i}") * F.col(f"_pt{i}"), npre), F.lit(0.0))
-    delta = F.try_divide(sl, nl) - F.try_divide(spre, npre)
-    m2 = (F.when(npre == 0, m2_l).when(nl == 0, m2_p)
-          .otherwise(m2_p + m2_l + F.try_divide(delta * delta * npre * nl, n)))
-    lo = F.least(F.col(f"_pmin{i}"), F.col(f"_lmin{i}"))
-    hi = F.greatest(F.col(f"_pmax{i}"), F.col(f"_lmax{i}"))
-    std = F.when(n >= 2, F.when(lo == hi, F.lit(0.0))
-                 .otherwise(F.sqrt(F.try_divide(F.greatest(m2, F.lit(0.0)), n - 1))))
-    return [mean.alias(f"{f}_mean"), std.alias(f"{f}_std")]
+    m2_p = f"greatest(_pq{i} - try_divide(_pt{i} * _pt{i}, {np_}), 0D)"
+    delta = f"(try_divide({sl}, {nl}) - try_divide({sp}, {np_}))"
+    m2 = (f"(CASE WHEN {np_} = 0 THEN {m2_l} WHEN {nl} = 0 THEN {m2_p} "
+          f"ELSE {m2_p} + {m2_l} + try_divide({delta} * {delta} * {np_} * {nl}, {n}) END)")
+    # all values seen equal -> exactly 0, as a sequential update gives
+    std = (f"CASE WHEN {n} >= 2 THEN CASE WHEN least(_pmin{i}, _lmin{i}) = "
+           f"greatest(_pmax{i}, _lmax{i}) THEN 0D "
+           f"ELSE sqrt(try_divide(greatest({m2}, 0D), {n} - 1)) END END AS {_q(f + '_std')}")
+    return [mean, std]
 
 
 def _bounded(joined, base_cols, features, lookback, keys, order, block_rows):
-    idx = F.col("_pcnt") + F.col("_rn") - 1
-    rows = joined.select(*[F.col(c) for c in base_cols], idx.alias("_idx"))
-    blk = F.floor(F.col("_idx") / block_rows).cast("long")
-    in_halo = (F.col("_idx") % block_rows) >= (block_rows - lookback)
-    rows = rows.withColumn("_own", blk).withColumn(
-        "_blk", F.explode(F.when(in_halo, F.array(blk, blk + 1)).otherwise(F.array(blk))))
-    w = Window.partitionBy(*keys, "_blk").orderBy("_idx").rowsBetween(-lookback, -1)
-    cols = []
+    """Blocks of ``block_rows`` global indexes per key, each with a halo of the
+    previous block's last ``lookback`` rows; halo copies are dropped after."""
+    rows = joined.selectExpr(*[_q(c) for c in base_cols], "_pcnt + _rn - 1 AS _idx")
+    rows = rows.selectExpr(
+        "*", f"CAST(floor(_idx / {block_rows}) AS BIGINT) AS _own").selectExpr(
+        "*", f"explode(CASE WHEN _idx % {block_rows} >= {block_rows - lookback} "
+             f"THEN array(_own, _own + 1) ELSE array(_own) END) AS _blk")
+    w = (f"OVER (PARTITION BY {', '.join(_q(k) for k in keys)}, _blk ORDER BY _idx "
+         f"ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING)")
+    stats = []
     for f in features:
-        cols += [F.avg(f).over(w).alias(f"{f}_mean"), F.stddev(f).over(w).alias(f"{f}_std")]
-    return (rows.select("*", *cols).filter(F.col("_blk") == F.col("_own"))
-            .select(*base_cols, *[f"{f}_{s}" for f in features for s in ("mean", "std")]))
+        stats += [f"avg({_q(f)}) {w} AS {_q(f + '_mean')}",
+                  f"stddev({_q(f)}) {w} AS {_q(f + '_std')}"]
+    out = [f"{f}_{s}" for f in features for s in ("mean", "std")]
+    return (rows.selectExpr("*", *stats).filter("_blk = _own")
+            .select(*base_cols, *out))
