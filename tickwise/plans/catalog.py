@@ -35,9 +35,21 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def _in_utc(fn: Builder) -> Builder:
+    """The pipeline's timestamps are UTC (the reference runs every service with
+    TZ=UTC); pin the session zone so text timestamps and NTZ casts agree."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Builder]:
     _load_extra()
-    return {k: v[0] for k, v in _REG.items()}
+    return {k: _in_utc(v[0]) for k, v in _REG.items()}
 
 
 def oracle_sql() -> dict[str, str]:

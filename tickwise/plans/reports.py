@@ -25,6 +25,12 @@ def _as_of(df: DataFrame, col: str, as_of) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
+def _hour(df: DataFrame, col: str) -> Column:
+    """``date_trunc('hour', col)`` keeping the column's timestamp type (the
+    function itself returns a session-time-zone TIMESTAMP even for NTZ input)."""
+    return F.date_trunc("hour", col).cast(df.schema[col].dataType)
+
+
 def _r(col: str, digits: int, alias: str | None = None) -> Column:
     return F.round(F.col(col), digits).alias(alias or col)
 
@@ -102,7 +108,7 @@ def latest_price(clean: DataFrame, symbol: str) -> DataFrame:
 
 def anomaly_summary(anomalies: DataFrame) -> DataFrame:
     """Per hour x symbol x asset_type x anomaly_type: count, avg/max abs(z)."""
-    return (anomalies.groupBy(F.date_trunc("hour", "detected_at").alias("hour"),
+    return (anomalies.groupBy(_hour(anomalies, "detected_at").alias("hour"),
                               "symbol", "asset_type", "anomaly_type")
             .agg(F.count(F.lit(1)).alias("anomaly_count"),
                  F.avg(F.abs("z_score")).alias("avg_abs_z_score"),
@@ -248,7 +254,7 @@ def volatility_scatter(clean, start=None, end=None, limit: int = 500):
 
 def anomalies_per_hour(anomalies, start=None, end=None):
     return (anomalies.filter(time_filter("detected_at", start, end) & not_system())
-            .groupBy(F.date_trunc("hour", "detected_at").alias("time"), "severity")
+            .groupBy(_hour(anomalies, "detected_at").alias("time"), "severity")
             .agg(F.count(F.lit(1)).alias("count"))
             .orderBy("time", "severity"))
 
