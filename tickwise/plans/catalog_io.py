@@ -189,14 +189,40 @@ def q_recent(spark, sf):
                                                                  "close_price")
 
 
+@register("anomaly_count_band", O.with_anomalies(
+    "SELECT count(*) AS anomalies, CASE WHEN count(*) >= 10 THEN 'red' WHEN count(*) >= 1 "
+    "THEN 'orange' ELSE 'green' END AS band, CASE WHEN count(*) >= 20 THEN 'red' "
+    "WHEN count(*) >= 5 THEN 'yellow' ELSE 'green' END AS band_alt "
+    "FROM anomalies WHERE symbol <> 'SYSTEM'"))
+def q_anomaly_count_band(spark, sf):
+    from tickwise import schemas as S
+    from tickwise.plans.reports import anomaly_count
+    c = anomaly_count(T.anomalies_from_events(spark, sf))
+    return c.select("anomalies",
+                    threshold_band("anomalies", S.ANOMALY_COUNT_BANDS,
+                                   ("green", "orange", "red")).alias("band"),
+                    threshold_band("anomalies", S.ANOMALY_COUNT_BANDS_ALT).alias("band_alt"))
+
+
+@register("severity_label", O.with_anomalies(
+    "SELECT severity, upper(severity) AS label, count(*) AS count FROM anomalies "
+    "WHERE symbol <> 'SYSTEM' GROUP BY 1"))
+def q_severity_label(spark, sf):
+    from tickwise.functions.columns import not_system, severity_label
+    a = T.anomalies_from_events(spark, sf).filter(not_system())
+    return a.groupBy("severity").agg(F.count(F.lit(1)).alias("count")).select(
+        "severity", severity_label("severity").alias("label"), "count")
+
+
 @register("threshold_band", O.with_clean(
     "SELECT symbol, window_start, CASE WHEN price_return_pct IS NULL THEN NULL "
     "WHEN price_return_pct >= 5 THEN 'red' WHEN price_return_pct >= 2 THEN 'yellow' "
     "ELSE 'green' END AS return_band FROM clean"))
 def q_threshold_band(spark, sf):
     c = _clean(spark, sf)
+    from tickwise import schemas as S
     return c.select("symbol", "window_start",
-                    threshold_band("price_return_pct", [2.0, 5.0]).alias("return_band"))
+                    threshold_band("price_return_pct", S.RETURN_PCT_BANDS).alias("return_band"))
 
 
 # ---------------------------------------------------------------------------

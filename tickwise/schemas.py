@@ -32,6 +32,10 @@ FRESHNESS_LIMIT = "15 minutes"
 RECENT_LOAD = "10 minutes"
 DUPLICATE_TOLERANCE = 5
 PRICE_RANGE_RATIO = 100.0
+# dashboard colour steps: (lower bound of the 2nd band, lower bound of the 3rd)
+ANOMALY_COUNT_BANDS = (1.0, 10.0)       # green / orange / red (provisioned panel)
+ANOMALY_COUNT_BANDS_ALT = (5.0, 20.0)   # green / yellow / red (generated panel)
+RETURN_PCT_BANDS = (2.0, 5.0)           # green / yellow / red
 # intraday payload keys
 INTRADAY_SERIES_KEY = "Time Series (5min)"
 INTRADAY_FIELDS = (("open", "1. open"), ("high", "2. high"), ("low", "3. low"),
