@@ -581,7 +581,12 @@ def q_lineitem_features(spark, sf):
                       ("avg_price", "rolling_volatility"))
 
 
-@register("lineitem_anomalies", None)
+@register("lineitem_anomalies", (
+    f"WITH {O.LINEITEM_TICKS},\n{O.windows_cte('7 days', epoch_origin=True)},\n"
+    f"{O.anomalies_cte()}\nSELECT {ANOM_COLS} FROM anomalies"))
 def q_lineitem_anomalies(spark, sf):
+    """One symbol per supplier. Ties on (supplier, day, orderkey, linenumber)
+    with different prices would make open/close ambiguous; there are none at
+    sf0.01, where the oracle runs."""
     w = window_features(T.ticks_from_lineitem(spark, sf), "7 days", tie_breaker="event_id")
-    return detect_anomalies(w, detected_at="window_end")
+    return round_cols(detect_anomalies(w, detected_at="window_end"), ANOM_ROUND)

@@ -15,9 +15,21 @@ TICKS = """ticks AS (
   FROM events)"""
 
 
-def windows_cte(width: str = "1 hour") -> str:
+LINEITEM_TICKS = """ticks AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS symbol,
+         CASE WHEN l_linestatus = 'F' THEN 'stock' ELSE 'crypto' END AS asset_type,
+         l_shipdate AS event_time, l_orderkey * 8 + l_linenumber AS event_id,
+         l_extendedprice / l_quantity AS price, l_quantity AS volume
+  FROM lineitem)"""
+
+
+def windows_cte(width: str = "1 hour", epoch_origin: bool = False) -> str:
+    # widths that divide a day align the same from any midnight; longer ones
+    # need Spark's origin, the epoch
+    bucket = (f"time_bucket(INTERVAL '{width}', event_time, TIMESTAMP '1970-01-01')"
+              if epoch_origin else f"time_bucket(INTERVAL '{width}', event_time)")
     return f"""win AS (
-  SELECT symbol, asset_type, time_bucket(INTERVAL '{width}', event_time) AS window_start,
+  SELECT symbol, asset_type, {bucket} AS window_start,
          arg_min(price, (event_time, event_id)) FILTER (WHERE price IS NOT NULL) AS open_price,
          arg_max(price, (event_time, event_id)) FILTER (WHERE price IS NOT NULL) AS close_price,
          max(price) AS high_price, min(price) AS low_price, avg(price) AS avg_price,
