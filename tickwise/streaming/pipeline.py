@@ -103,10 +103,12 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
     store = VersionedTable(spark, state_path)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # persist first: the emptiness check then fills the cache instead of
+        # running the micro-batch plan once more
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch.isEmpty():
+                return
             write_lake(batch, lake_path, batch_id)
             history = store.read(batch_id)
             if lookback is None:
@@ -115,11 +117,14 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                 anomalies, new_history = score_with_tail(batch, history, lookback, threshold,
                                                          mode)
             anomalies = anomalies.persist(StorageLevel.MEMORY_AND_DISK)
-            write_batch_partition(anomalies, anomalies_path, batch_id)
-            for sink in extra_sinks or []:
-                sink(batch, anomalies, batch_id)
-            store.write(new_history, batch_id)
-            anomalies.unpersist()
+            try:
+                write_batch_partition(anomalies, anomalies_path, batch_id)
+                for sink in extra_sinks or []:
+                    sink(batch, anomalies, batch_id)
+                # state last: a failure above replays the batch from the old state
+                store.write(new_history, batch_id)
+            finally:
+                anomalies.unpersist()
         finally:
             batch.unpersist()
 
