@@ -41,7 +41,10 @@ def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
 
     ``delay`` is the watermark: ticks later than that behind the newest event
     time are dropped (counted in ``numRowsDroppedByWatermark``); a window is
-    emitted once the watermark passes its end. State = open windows x symbols.
+    emitted once the watermark passes its end. Spark filters late rows with
+    the previous micro-batch's watermark and evicts with the current one, so a
+    late row that arrives in the very batch that closes its window still
+    counts. State = open windows x symbols.
     """
     if isinstance(ticks.schema[time_col].dataType, TimestampNTZType):
         ticks = ticks.withColumn(time_col, F.col(time_col).cast("timestamp"))
