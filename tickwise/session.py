@@ -40,15 +40,18 @@ def get_session(master: str | None = None, app: str = "tickwise",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we pick a folder
-    ourselves; the chosen folder is written back so that ``DataFrame.checkpoint``
-    and every later call agree on it.
+    Only when the setting is absent on a local master (tests) do we pick a
+    folder ourselves; the chosen folder is written back so that every later
+    call agrees on it. On a cluster a missing setting is an error: a
+    machine-local folder would not survive the loss of an executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = sc_dir.get() if sc_dir.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         d = tempfile.mkdtemp(prefix="tickwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
