@@ -18,10 +18,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
@@ -34,6 +35,9 @@ from tickwise.session import scratch_path
 from tickwise.sinks.lake import write_lake
 
 
+log = logging.getLogger("tickwise.streaming")
+
+
 def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
                     delay: str = "10 minutes", tie_breaker: str | None = None,
                     time_col: str = "event_time") -> DataFrame:
@@ -112,7 +116,10 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
         try:
             if batch.isEmpty():
                 return
-            write_lake(batch, lake_path, batch_id)
+            # counts come from the writes themselves (observe), not extra actions
+            seen = Observation(f"windows_{batch_id}")
+            write_lake(batch.observe(seen, F.count(F.lit(1)).alias("windows")), lake_path,
+                       batch_id)
             history = store.read(batch_id)
             if lookback is None:
                 anomalies, new_history = score_with_history(batch, history, threshold, mode)
@@ -120,8 +127,13 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                 anomalies, new_history = score_with_tail(batch, history, lookback, threshold,
                                                          mode)
             anomalies = anomalies.persist(StorageLevel.MEMORY_AND_DISK)
+            flagged = Observation(f"anomalies_{batch_id}")
             try:
-                write_batch_partition(anomalies, anomalies_path, batch_id)
+                write_batch_partition(
+                    anomalies.observe(flagged, F.count(F.lit(1)).alias("anomalies")),
+                    anomalies_path, batch_id)
+                log.info("batch %d: %s windows, %s anomalies", batch_id,
+                         seen.get.get("windows"), flagged.get.get("anomalies"))
                 for sink in extra_sinks or []:
                     sink(batch, anomalies, batch_id)
                 # state last: a failure above replays the batch from the old state
