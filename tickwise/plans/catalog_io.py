@@ -250,3 +250,14 @@ def q_lake_inventory(spark, sf):
     path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
     write_lake(T.windows_from_events(spark, sf), path, batch_id=0)
     return lake_inventory(spark, path)
+
+
+@register("to_kafka_records", O.with_anomalies(
+    "SELECT symbol AS key, json_object('symbol', symbol, 'asset_type', asset_type, "
+    "'anomaly_type', anomaly_type, 'severity', severity)::VARCHAR AS value FROM anomalies"))
+def q_to_kafka_records(spark, sf):
+    """Kafka record projection (key = symbol, value = JSON); text-typed fields so the
+    JSON text is engine-neutral."""
+    from tickwise.sinks.kafka import to_kafka_records
+    a = T.anomalies_from_events(spark, sf)
+    return to_kafka_records(a.select("symbol", "asset_type", "anomaly_type", "severity"))
