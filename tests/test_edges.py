@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickwise.operators.anomalies import detect_anomalies
 from tickwise.operators.features import window_features

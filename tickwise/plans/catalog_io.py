@@ -11,12 +11,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import recent, threshold_band, time_filter
+from tickwise.functions.columns import recent, threshold_band
 from tickwise.operators.ticks import (
     align_columns, parse_crypto, parse_stock, select_symbols, unify_ticks,
 )
 from tickwise.plans import oracle as O
-from tickwise.plans.catalog import _clean, register, round_cols
+from tickwise.plans.catalog import _clean, register
 from tickwise.session import scratch_path
 from tickwise.sinks.lake import read_lake, write_lake
 from tickwise.sources import payloads as P
