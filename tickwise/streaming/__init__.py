@@ -1,0 +1,5 @@
+"""Structured Streaming pipeline."""
+
+from tickwise.streaming.pipeline import (  # noqa: F401
+    VersionedTable, make_batch_scorer, run_pipeline, stream_anomalies, stream_features,
+)
