@@ -146,6 +146,22 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
     return process
 
 
+def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path: str,
+             batch_id: int, width: str = S.DEFAULT_WIDTH, tie_breaker: str | None = None,
+             threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
+             lookback: int | None = None) -> None:
+    """Batch ingestion of a complete tick set (e.g. history) through the same
+    scorer as the stream: windows -> lake, anomalies, per-symbol state.
+
+    Batches must cover later time ranges in increasing ``batch_id`` order, as
+    the stream guarantees; re-running a batch id replaces its output.
+    """
+    windows = window_features(ticks, width, tie_breaker)
+    fn = make_batch_scorer(ticks.sparkSession, lake_path, anomalies_path, state_path,
+                           threshold, mode, None, lookback)
+    fn(windows, batch_id)
+
+
 def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
                      state_path: str | None = None, checkpoint: str | None = None,
                      trigger: dict | None = None, threshold: float = S.Z_SCORE_THRESHOLD,
