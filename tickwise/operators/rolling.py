@@ -76,14 +76,13 @@ def moments(windows: DataFrame, features: Sequence[str] = FEATURES,
 
     One partial/final aggregation; M2 comes from Spark's stable variance.
     """
-    aggs = [F.max(order).alias("last_" + order)]
+    aggs = [f"max({_q(order)}) AS {_q('last_' + order)}"]
     for f in features:
-        n = F.count(f)
-        aggs += [n.alias(f"{f}_n"), F.sum(f).alias(f"{f}_sum"),
-                 (F.coalesce(F.var_samp(f), F.lit(0.0)) * F.greatest(n - 1, F.lit(0)))
-                 .alias(f"{f}_m2"),
-                 F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max")]
-    return windows.groupBy(*keys).agg(*aggs)
+        q = _q(f)
+        aggs += [f"count({q}) AS {_q(f + '_n')}", f"sum({q}) AS {_q(f + '_sum')}",
+                 f"coalesce(var_samp({q}), 0D) * greatest(count({q}) - 1, 0) AS {_q(f + '_m2')}",
+                 f"min({q}) AS {_q(f + '_min')}", f"max({q}) AS {_q(f + '_max')}"]
+    return windows.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
 def merge_moments(a: DataFrame, b: DataFrame, features: Sequence[str] = FEATURES,
@@ -95,23 +94,20 @@ def merge_moments(a: DataFrame, b: DataFrame, features: Sequence[str] = FEATURES
     number of symbols, not the number of windows.
     """
     j = a.alias("a").join(b.alias("b"), on=list(keys), how="full_outer")
-    last = "last_" + order
-    out = [F.col(k) for k in keys] + [F.greatest(F.col(f"a.{last}"), F.col(f"b.{last}")).alias(last)]
+    last = _q("last_" + order)
+    out = [_q(k) for k in keys] + [f"greatest(a.{last}, b.{last}) AS {last}"]
     for f in features:
-        na = F.coalesce(F.col(f"a.{f}_n"), F.lit(0))
-        nb = F.coalesce(F.col(f"b.{f}_n"), F.lit(0))
-        sa = F.coalesce(F.col(f"a.{f}_sum"), F.lit(0.0))
-        sb = F.coalesce(F.col(f"b.{f}_sum"), F.lit(0.0))
-        n = na + nb
-        delta = F.try_divide(sb, nb) - F.try_divide(sa, na)
-        m2 = (F.coalesce(F.col(f"a.{f}_m2"), F.lit(0.0)) + F.coalesce(F.col(f"b.{f}_m2"), F.lit(0.0))
-              + F.when((na > 0) & (nb > 0), F.try_divide(delta * delta * na * nb, n))
-              .otherwise(F.lit(0.0)))
-        out += [n.alias(f"{f}_n"),
-                F.when(n > 0, sa + sb).alias(f"{f}_sum"), m2.alias(f"{f}_m2"),
-                F.least(F.col(f"a.{f}_min"), F.col(f"b.{f}_min")).alias(f"{f}_min"),
-                F.greatest(F.col(f"a.{f}_max"), F.col(f"b.{f}_max")).alias(f"{f}_max")]
-    return j.select(*out)
+        n_, s_, m_ = _q(f + "_n"), _q(f + "_sum"), _q(f + "_m2")
+        na, nb = f"coalesce(a.{n_}, 0)", f"coalesce(b.{n_}, 0)"
+        sa, sb = f"coalesce(a.{s_}, 0D)", f"coalesce(b.{s_}, 0D)"
+        delta = f"(try_divide({sb}, {nb}) - try_divide({sa}, {na}))"
+        out += [f"{na} + {nb} AS {n_}",
+                f"CASE WHEN {na} + {nb} > 0 THEN {sa} + {sb} END AS {s_}",
+                f"coalesce(a.{m_}, 0D) + coalesce(b.{m_}, 0D) + CASE WHEN {na} > 0 AND {nb} > 0 "
+                f"THEN try_divide({delta} * {delta} * {na} * {nb}, {na} + {nb}) ELSE 0D END AS {m_}",
+                f"least(a.{_q(f + '_min')}, b.{_q(f + '_min')}) AS {_q(f + '_min')}",
+                f"greatest(a.{_q(f + '_max')}, b.{_q(f + '_max')}) AS {_q(f + '_max')}"]
+    return j.selectExpr(*out)
 
 
 def _frame(keys, order, lookback):

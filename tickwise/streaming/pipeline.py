@@ -67,16 +67,24 @@ class VersionedTable:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
-    def read(self, batch_id: int) -> DataFrame | None:
-        """Latest version strictly before ``batch_id`` (None if there is none)."""
+    def _versions(self) -> list[int]:
         fs, p, _ = self._fs()
         if not fs.exists(p):
+            return []
+        return [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith("v=")]
+
+    def read(self, batch_id: int) -> DataFrame | None:
+        """Latest version strictly before ``batch_id`` (None if there is none).
+
+        The version is chosen from the folder names (a metadata listing of at
+        most ``retain`` entries), so no Spark job runs and only that one
+        version's files are read.
+        """
+        older = [v for v in self._versions() if v < batch_id]
+        if not older:
             return None
-        df = self.spark.read.parquet(self.path).filter(F.col("v") < batch_id)
-        if df.isEmpty():
-            return None
-        last = df.select(F.max("v")).scalar()
-        return df.filter(F.col("v") == last).drop("v")
+        return self.spark.read.parquet(f"{self.path}/v={max(older)}")
 
     def write(self, table: DataFrame, batch_id: int) -> None:
         (table.withColumn("v", F.lit(int(batch_id)).cast("long")).write
@@ -86,10 +94,9 @@ class VersionedTable:
 
     def _prune(self, batch_id: int) -> None:
         fs, p, jvm = self._fs()
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and int(name[2:]) < batch_id - self.retain:
-                fs.delete(st.getPath(), True)
+        for v in self._versions():
+            if v < batch_id - self.retain:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
