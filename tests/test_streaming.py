@@ -170,3 +170,44 @@ def test_restart_from_checkpoint_equals_batch(spark, tmp):
     # windows of both halves were emitted, so the restart continued the state
     assert lake.filter(F.col("window_start") < F.lit("2024-01-10").cast("timestamp")).count() > 0
     assert lake.filter(F.col("window_start") > F.lit("2024-01-20").cast("timestamp")).count() > 0
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, tmp):
+    """A sink error fails the query (not swallowed); the restart replays the
+    batch, and its lake, anomaly and state outputs are replaced, not doubled."""
+    stock, crypto = T.raw_stock_messages(spark, SF_SMALL), T.raw_crypto_messages(spark, SF_SMALL)
+    _land(spark, stock, f"{tmp}/in/stock", 3)
+    _land(spark, crypto, f"{tmp}/in/crypto", 3)
+    flag = f"{tmp}/failed_once"
+
+    def flaky(batch, anomalies, batch_id):
+        if batch_id == 1 and not os.path.exists(flag):
+            open(flag, "w").close()
+            raise RuntimeError("sink down")
+
+    def run(sinks):
+        q = run_pipeline(read_message_files(spark, f"{tmp}/in/stock", max_files_per_trigger=1),
+                         read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1),
+                         f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt",
+                         trigger={"availableNow": True}, width=WIDTH, delay="2 days",
+                         extra_sinks=sinks)
+        try:
+            q.awaitTermination(300)
+        except Exception:
+            pass
+        return q
+
+    first = run([flaky])
+    assert first.exception() is not None and os.path.exists(flag)
+    second = run([flaky])
+    assert second.exception() is None
+    lake = spark.read.parquet(f"{tmp}/lake")
+    emitted = lake.select("symbol", "asset_type", "window_start")
+    assert lake.count() == emitted.distinct().count()
+    got = spark.read.parquet(f"{tmp}/anoms")
+    assert got.count() == got.select("symbol", "anomaly_type", "window_start").distinct().count()
+    ticks = unify_ticks(parse_stock(stock), parse_crypto(crypto))
+    exp = detect_anomalies(window_features(ticks, WIDTH)).join(
+        emitted, ["symbol", "asset_type", "window_start"], "left_semi").collect()
+    cols = ["symbol", "anomaly_type", "window_start", "z_score"]
+    assert _key(got.collect(), cols) == _key(exp, cols)
