@@ -153,6 +153,53 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
     return process
 
 
+def jdbc_sink(url: str, properties: dict | None = None, clean_table: str = S.TOPIC_CLEAN,
+              anomalies_table: str = S.TOPIC_ANOMALIES,
+              num_partitions: int | None = None) -> Callable[[DataFrame, DataFrame, int], None]:
+    """An ``extra_sinks`` entry appending windows and anomalies to a relational
+    store, like the reference. Plain appends: a replayed batch is written
+    again, because the store tables carry no batch id (the lake and the
+    anomaly files are the idempotent copies)."""
+    from tickwise.sinks.jdbc import write_anomalies_jdbc, write_clean_jdbc
+
+    def sink(windows: DataFrame, anomalies: DataFrame, batch_id: int) -> None:
+        write_clean_jdbc(windows, url, clean_table, properties, num_partitions=num_partitions)
+        write_anomalies_jdbc(anomalies, url, anomalies_table, properties,
+                             num_partitions=num_partitions)
+    return sink
+
+
+def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path: str,
+                             width: str = S.DEFAULT_WIDTH, threshold: float = S.Z_SCORE_THRESHOLD,
+                             mode: str = "compat", min_rows: int = 2,
+                             extra_sinks: list[Callable] | None = None
+                             ) -> Callable[[DataFrame, int], None]:
+    """Reference-compatible ``foreachBatch`` body over raw ticks: each
+    micro-batch is windowed and scored on its own (history = the batch's own
+    windows, no anomalies below ``min_rows`` windows). A window spanning two
+    batches yields two partial rows, as in the reference."""
+    from tickwise.operators.anomalies import detect_anomalies
+
+    def process(ticks: DataFrame, batch_id: int) -> None:
+        ticks = ticks.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if ticks.isEmpty():
+                return
+            windows = window_features(ticks, width).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                write_lake(windows, lake_path, batch_id)
+                anomalies = detect_anomalies(windows, threshold, mode=mode, min_rows=min_rows)
+                write_batch_partition(anomalies, anomalies_path, batch_id)
+                for sink in extra_sinks or []:
+                    sink(windows, anomalies, batch_id)
+            finally:
+                windows.unpersist()
+        finally:
+            ticks.unpersist()
+
+    return process
+
+
 def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path: str,
              batch_id: int, width: str = S.DEFAULT_WIDTH, tie_breaker: str | None = None,
              threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
@@ -200,12 +247,23 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                  width: str = S.DEFAULT_WIDTH, delay: str = "10 minutes",
                  threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
                  source_tz: str = "UTC", extra_sinks: list[Callable] | None = None,
-                 lookback: int | None = None) -> StreamingQuery:
+                 lookback: int | None = None, per_batch: bool = False) -> StreamingQuery:
     """Raw stock + crypto message streams -> parse -> unify -> final windows ->
-    lake + anomalies (one streaming query)."""
+    lake + anomalies (one streaming query).
+
+    ``per_batch=True`` reproduces the reference's micro-batch semantics instead
+    (see ``make_per_batch_processor``); ``extra_sinks`` e.g. ``[jdbc_sink(url)]``.
+    """
     strict = mode == "strict"
     ticks = unify_ticks(parse_stock(stock_raw, source_tz, strict),
                         parse_crypto(crypto_raw, strict))
+    if per_batch:
+        fn = make_per_batch_processor(ticks.sparkSession, lake_path, anomalies_path, width,
+                                      threshold, mode, extra_sinks=extra_sinks)
+        checkpoint = checkpoint or scratch_path(ticks.sparkSession, "pipeline")
+        w = (ticks.writeStream.foreachBatch(fn).outputMode("append")
+             .option("checkpointLocation", checkpoint))
+        return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
     feats = stream_features(ticks, width, delay)
     return stream_anomalies(feats, lake_path, anomalies_path, state_path, checkpoint,
                             trigger, threshold, mode, extra_sinks, lookback=lookback)
