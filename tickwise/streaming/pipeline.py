@@ -247,13 +247,21 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                  width: str = S.DEFAULT_WIDTH, delay: str = "10 minutes",
                  threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
                  source_tz: str = "UTC", extra_sinks: list[Callable] | None = None,
-                 lookback: int | None = None, per_batch: bool = False) -> StreamingQuery:
+                 lookback: int | None = None, per_batch: bool = False,
+                 rocksdb_state: bool = False) -> StreamingQuery:
     """Raw stock + crypto message streams -> parse -> unify -> final windows ->
     lake + anomalies (one streaming query).
 
     ``per_batch=True`` reproduces the reference's micro-batch semantics instead
     (see ``make_per_batch_processor``); ``extra_sinks`` e.g. ``[jdbc_sink(url)]``.
+    ``rocksdb_state=True`` keeps the window state in RocksDB instead of the JVM
+    heap (for many symbols x open windows); it must be chosen before the first
+    run of a checkpoint, as must ``spark.sql.shuffle.partitions``.
     """
+    if rocksdb_state:
+        stock_raw.sparkSession.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     strict = mode == "strict"
     ticks = unify_ticks(parse_stock(stock_raw, source_tz, strict),
                         parse_crypto(crypto_raw, strict))
