@@ -129,15 +129,32 @@ def symbol_list(csv: str) -> Column:
                     lambda x: x != "")
 
 
-def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame:
-    """Round double columns in place for engine-neutral output.
+SNAP_DIGITS = 9
+
+
+def round_half_away(col, digits: int) -> Column:
+    """Round a double to ``digits`` places, half away from zero, after snapping
+    it to ``SNAP_DIGITS`` places.
 
-    Scales by 10^digits and rounds to an integer in binary floating point,
-    i.e. ``round(x * 10^d) / 10^d`` — the rule of SQL engines that round
-    doubles natively. ``F.round`` rounds the decimal text instead, which
-    differs on exact ties such as 1037.0821875.
+    The snap removes last-bit noise, so values that are a decimal tie in exact
+    arithmetic (an average like 53.2509375) round the same way whichever order
+    an engine summed in; it mirrors a store that rounds ``x::numeric`` after a
+    15-significant-digit conversion. Both steps are ``round(y * 10^k) / 10^k``
+    in binary floating point, the rule SQL engines apply to doubles.
     """
-    cols = set(cols)
+    snap = F.lit(float(10 ** SNAP_DIGITS))
     m = F.lit(float(10 ** digits))
-    return df.select([(F.round(F.col(c) * m, 0) / m).alias(c) if c in cols else F.col(c)
+    y = F.round(_c(col).cast("double") * snap, 0) / snap
+    return F.round(y * m, 0) / m
+
+
+def round_sql(expr: str, digits: int) -> str:
+    """SQL text of ``round_half_away``."""
+    return f"round(round({expr}, {SNAP_DIGITS}), {digits})"
+
+
+def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame:
+    """Round the given double columns in place (``round_half_away``)."""
+    cols = set(cols)
+    return df.select([round_half_away(c, digits).alias(c) if c in cols else F.col(c)
                       for c in df.columns])

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import round_cols
+from tickwise.functions.columns import round_cols, round_sql
 from tickwise.operators.anomalies import detect_anomalies, z_scores
 from tickwise.operators.features import window_features
 from tickwise.operators.rolling import FEATURES, rolling_stats
@@ -28,9 +28,39 @@ Builder = Callable[[SparkSession, str], DataFrame]
 _REG: dict[str, tuple[Builder, str | None]] = {}
 
 
+def snap_rounds(sql: str) -> str:
+    """Rewrite every ``round(expr, n)`` in oracle SQL to ``round_sql(expr, n)``,
+    the rounding rule of the Spark side (snap to 9 places, then round)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while True:
+            c = sql[k]
+            if c == "(":
+                depth += 1
+            elif c == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif c == "," and depth == 0:
+                comma = k
+            k += 1
+        inner, digits = sql[j + 6:comma], sql[comma + 1:k].strip()
+        out.append(sql[i:j] + round_sql(snap_rounds(inner), int(digits)))
+        i = k + 1
+
+
 def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
-        _REG[name] = (fn, sql)
+        _REG[name] = (fn, None if sql is None else snap_rounds(sql))
         return fn
     return deco
 
@@ -320,9 +350,9 @@ def q_ohlc_latest_per_symbol(spark, sf):
 
 
 @register("volatility_latest", O.with_clean(
-    f"SELECT symbol, rolling_volatility FROM {_LATEST}"))
+    f"SELECT symbol, round(rolling_volatility, 6) AS rolling_volatility FROM {_LATEST}"))
 def q_volatility_latest(spark, sf):
-    return R.volatility_latest(_clean(spark, sf))
+    return round_cols(R.volatility_latest(_clean(spark, sf)), ["rolling_volatility"])
 
 
 @register("ohlc_latest_window", O.with_clean(
@@ -363,7 +393,8 @@ def q_recent_anomalies(spark, sf):
 
 
 @register("volatility_scatter", O.with_clean(
-    "SELECT rolling_volatility, price_return_pct, symbol FROM clean "
+    "SELECT round(rolling_volatility, 6) AS rolling_volatility, "
+    "round(price_return_pct, 6) AS price_return_pct, symbol FROM clean "
     "WHERE rolling_volatility IS NOT NULL AND price_return_pct IS NOT NULL "
     "ORDER BY window_start, symbol, asset_type LIMIT 500"))
 def q_volatility_scatter(spark, sf):

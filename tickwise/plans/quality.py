@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise import schemas as S
-from tickwise.functions.columns import not_system, recent, safe_ratio
+from tickwise.functions.columns import not_system, recent, round_half_away, safe_ratio
 from tickwise.plans.reports import _as_of
 
 
@@ -44,7 +44,8 @@ def dq_price_sanity(clean: DataFrame, as_of=None, interval: str = "1 hour") -> D
               .otherwise("PASS"))
     return (clean.filter(recent("window_start", a, interval)).groupBy("symbol")
             .agg(lo.alias("min_price"), hi.alias("max_price"),
-                 F.round(F.avg("close_price"), 2).alias("avg_price"), status.alias("status"))
+                 round_half_away(F.avg("close_price"), 2).alias("avg_price"),
+                 status.alias("status"))
             .orderBy("symbol"))
 
 
@@ -64,9 +65,9 @@ def load_verification(clean: DataFrame, as_of=None,
     a = _as_of(clean, "created_at", as_of)
     return (clean.filter(recent("created_at", a, interval)).groupBy("symbol")
             .agg(F.count(F.lit(1)).alias("new_rows"),
-                 F.round(F.min("close_price"), 2).alias("min_price"),
-                 F.round(F.max("close_price"), 2).alias("max_price"),
-                 F.round(F.sum("volume"), 0).alias("total_volume"),
+                 round_half_away(F.min("close_price"), 2).alias("min_price"),
+                 round_half_away(F.max("close_price"), 2).alias("max_price"),
+                 round_half_away(F.sum("volume"), 0).alias("total_volume"),
                  F.min("window_start").alias("earliest_window"),
                  F.max("window_start").alias("latest_window"))
             .orderBy("symbol"))
@@ -110,8 +111,8 @@ def quality_summary(clean: DataFrame, anomalies: DataFrame, as_of=None,
     c = clean.agg(F.count(F.lit(1)).alias("total_market_rows"),
                   F.count_distinct("symbol").alias("tracked_symbols"),
                   F.max("window_start").alias("latest_data"),
-                  F.round(F.avg(F.when(recent("window_start", a, interval),
-                                       F.col("record_count"))), 1)
+                  round_half_away(F.avg(F.when(recent("window_start", a, interval),
+                                               F.col("record_count"))), 1)
                   .alias("avg_ticks_per_window"))
     n = anomalies.filter(not_system()).agg(F.count(F.lit(1)).alias("total_anomalies"))
     return c.crossJoin(n).select("total_market_rows", "total_anomalies", "tracked_symbols",

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.functions.columns import epoch_micros, not_system, recent, time_filter
+from tickwise.functions.columns import (
+    epoch_micros, not_system, recent, round_half_away, time_filter,
+)
 
 
 def _as_of(df: DataFrame, col: str, as_of) -> Column:
@@ -32,7 +34,7 @@ def _hour(df: DataFrame, col: str) -> Column:
 
 
 def _r(col: str, digits: int, alias: str | None = None) -> Column:
-    return F.round(F.col(col), digits).alias(alias or col)
+    return round_half_away(col, digits).alias(alias or col)
 
 
 _FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
@@ -293,8 +295,8 @@ def anomaly_statistics(anomalies, as_of=None, interval: str = "1 hour"):
     return (anomalies.filter(not_system() & recent("detected_at", a, interval))
             .groupBy("anomaly_type", "severity")
             .agg(F.count(F.lit(1)).alias("count"),
-                 F.round(F.avg(F.abs("z_score")), 2).alias("avg_abs_zscore"),
-                 F.round(F.max(F.abs("z_score")), 2).alias("max_abs_zscore"))
+                 round_half_away(F.avg(F.abs("z_score")), 2).alias("avg_abs_zscore"),
+                 round_half_away(F.max(F.abs("z_score")), 2).alias("max_abs_zscore"))
             .orderBy(F.col("count").desc(), "anomaly_type", "severity"))
 
 
