@@ -43,6 +43,16 @@ def order_key(df: DataFrame, time_col: str, tie_breaker: str | None = None) -> C
             + F.col(tie_breaker).cast("decimal(38,0)"))
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int | None:
+    """Seconds of a simple interval such as ``"5 minutes"`` (None if not simple)."""
+    import re
+    m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day|week)s?\s*", text.lower())
+    return int(m.group(1)) * _UNIT_SECONDS[m.group(2)] if m else None
+
+
 def safe_ratio(num, den) -> Column:
     """num / den, null when den is 0 or null (ANSI-safe)."""
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))

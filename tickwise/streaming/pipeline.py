@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
 
 from tickwise import schemas as S
+from tickwise.functions.columns import interval_seconds
 from tickwise.operators.anomalies import score_with_history, score_with_tail
 from tickwise.operators.features import window_features
 from tickwise.operators.ticks import parse_crypto, parse_stock, unify_ticks
@@ -108,13 +109,17 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
 def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                       state_path: str, threshold: float = S.Z_SCORE_THRESHOLD,
                       mode: str = "compat", extra_sinks: list[Callable] | None = None,
-                      lookback: int | None = None) -> Callable[[DataFrame, int], None]:
+                      lookback: int | None = None,
+                      width: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: lake write, scoring with history, sinks.
 
     State: per-symbol moments of all earlier windows (``lookback=None``) or
-    the last ``lookback`` windows per symbol.
+    the last ``lookback`` windows per symbol. A known window ``width`` fixes
+    the scan's chunk length up front (no per-batch job to measure it).
     """
     store = VersionedTable(spark, state_path)
+    w_sec = interval_seconds(width) if width else None
+    chunk_seconds = w_sec * 256 if w_sec else None
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # persist first: the emptiness check then fills the cache instead of
@@ -129,7 +134,8 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                        batch_id)
             history = store.read(batch_id)
             if lookback is None:
-                anomalies, new_history = score_with_history(batch, history, threshold, mode)
+                anomalies, new_history = score_with_history(batch, history, threshold, mode,
+                                                            chunk_seconds=chunk_seconds)
             else:
                 anomalies, new_history = score_with_tail(batch, history, lookback, threshold,
                                                          mode)
@@ -212,7 +218,7 @@ def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path:
     """
     windows = window_features(ticks, width, tie_breaker)
     fn = make_batch_scorer(ticks.sparkSession, lake_path, anomalies_path, state_path,
-                           threshold, mode, None, lookback)
+                           threshold, mode, None, lookback, width)
     fn(windows, batch_id)
 
 
@@ -220,8 +226,8 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
                      state_path: str | None = None, checkpoint: str | None = None,
                      trigger: dict | None = None, threshold: float = S.Z_SCORE_THRESHOLD,
                      mode: str = "compat", extra_sinks: list[Callable] | None = None,
-                     query_name: str | None = None, lookback: int | None = None
-                     ) -> StreamingQuery:
+                     query_name: str | None = None, lookback: int | None = None,
+                     width: str | None = None) -> StreamingQuery:
     """Start the scoring query over a stream of final windows.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's
@@ -232,7 +238,7 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
     state_path = state_path or scratch_path(spark, "moments")
     checkpoint = checkpoint or scratch_path(spark, "pipeline")
     fn = make_batch_scorer(spark, lake_path, anomalies_path, state_path, threshold, mode,
-                           extra_sinks, lookback)
+                           extra_sinks, lookback, width)
     w = (features.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     if query_name:
@@ -274,4 +280,5 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
         return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
     feats = stream_features(ticks, width, delay)
     return stream_anomalies(feats, lake_path, anomalies_path, state_path, checkpoint,
-                            trigger, threshold, mode, extra_sinks, lookback=lookback)
+                            trigger, threshold, mode, extra_sinks, lookback=lookback,
+                            width=width)
