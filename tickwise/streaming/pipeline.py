@@ -10,7 +10,7 @@
   against the last ``lookback`` windows per symbol — so z-scores equal a
   batch run over the whole history.
 * Every sink is idempotent per batch id: lake and anomaly files go to a
-  ``batch_id`` partition written with dynamic overwrite, the moment table to
+  ``batch_id`` partition written with dynamic overwrite, the state table to
   version ``v=batch_id``. A batch replayed after a failure overwrites its own
   output; errors fail the query instead of being swallowed, so the batch is
   replayed rather than lost.
