@@ -143,24 +143,27 @@ SNAP_DIGITS = 9
 
 
 def round_half_away(col, digits: int) -> Column:
-    """Round a double to ``digits`` places, half away from zero, after snapping
-    it to ``SNAP_DIGITS`` places.
-
-    The snap removes last-bit noise, so values that are a decimal tie in exact
-    arithmetic (an average like 53.2509375) round the same way whichever order
-    an engine summed in; it mirrors a store that rounds ``x::numeric`` after a
-    15-significant-digit conversion. Both steps are ``round(y * 10^k) / 10^k``
-    in binary floating point, the rule SQL engines apply to doubles.
+    """Round a double to ``digits`` places, half away from zero, as decimal
+    arithmetic does, after snapping it to ``SNAP_DIGITS`` places.
+
+    Step 1 (binary): ``round(x * 10^9) / 10^9`` removes last-bit noise, so a
+    value that is a decimal tie in exact arithmetic (an average such as
+    53.2509375) no longer depends on the order an engine summed in.
+    Step 2 (decimal): the snapped value becomes ``DECIMAL(38,9)`` and is
+    rounded there, so 2.675 -> 2.68 and 1037.0821875 -> 1037.082188, as a
+    store computing ``ROUND(x::numeric, n)`` shows them. Returns a double.
     """
     snap = F.lit(float(10 ** SNAP_DIGITS))
-    m = F.lit(float(10 ** digits))
     y = F.round(_c(col).cast("double") * snap, 0) / snap
-    return F.round(y * m, 0) / m
+    return F.round(y.cast(f"decimal(38,{SNAP_DIGITS})"), digits).cast("double")
 
 
 def round_sql(expr: str, digits: int) -> str:
-    """SQL text of ``round_half_away``."""
-    return f"round(round({expr}, {SNAP_DIGITS}), {digits})"
+    """SQL text of ``round_half_away`` (DuckDB dialect). The double -> decimal
+    step goes through the shortest decimal text, as Spark's cast does; a
+    direct cast would scale in binary and lose halves of large values."""
+    return (f"CAST(round(CAST(CAST(round({expr}, {SNAP_DIGITS}) AS VARCHAR) "
+            f"AS DECIMAL(38,{SNAP_DIGITS})), {digits}) AS DOUBLE)")
 
 
 def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame:
