@@ -46,16 +46,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     machine-local folder would not survive the loss of an executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext          # absent on Spark Connect sessions
+    except Exception:
+        sc = None
+    if not d and sc is not None:
+        sc_dir = sc._jsc.sc().getCheckpointDir()
         d = sc_dir.get() if sc_dir.isDefined() else None
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         d = tempfile.mkdtemp(prefix="tickwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -79,8 +84,12 @@ def _is_cheap(plan) -> bool:
 
 
 def is_stored(df: DataFrame) -> bool:
-    """True when ``df`` is a scan (or cache) with only projections/filters on top."""
-    return _is_cheap(df._jdf.queryExecution().optimizedPlan())
+    """True when ``df`` is a scan (or cache) with only projections/filters on top.
+    (False when the plan cannot be inspected, e.g. on Spark Connect.)"""
+    try:
+        return _is_cheap(df._jdf.queryExecution().optimizedPlan())
+    except Exception:
+        return False
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -104,8 +113,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """Spread a scan that yields fewer partitions than the cluster has cores
     (a single small file or row group). Large inputs already have enough
     splits, so this is a no-op at scale; the check only plans, it runs no job."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:            # no RDD view (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(want) if have < want else df
