@@ -69,3 +69,10 @@ def test_base_moments_equal_full_history(spark):
         for f in FEATURES:
             assert r[f"{f}_n"] == m_mrg[s][f"{f}_n"]
             assert abs(r[f"{f}_m2"] - m_mrg[s][f"{f}_m2"]) <= 1e-6 * max(1.0, abs(r[f"{f}_m2"]))
+
+
+def test_auto_strategy_checks_key_size(spark):
+    w = T.windows_from_events(spark, SF_SMALL)
+    a = _rows(rolling_stats(w, strategy="direct"))
+    assert _rows(rolling_stats(w, strategy="auto")) == a                      # small -> direct
+    assert _rows(rolling_stats(w, strategy="auto", direct_max_rows=10)) == a  # big -> chunked

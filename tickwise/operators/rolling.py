@@ -51,12 +51,20 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
                   keys: Sequence[str] = ("symbol", "asset_type"),
                   order: str = "window_start", strategy: str = "chunked",
                   chunk_seconds: int | None = None, block_rows: int = 4096,
-                  base: DataFrame | None = None, chunk_rows: int = 256) -> DataFrame:
+                  base: DataFrame | None = None, chunk_rows: int = 256,
+                  direct_max_rows: int = 1_000_000) -> DataFrame:
     """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``.
 
     ``base``: moments of earlier rows per key (``moments()`` output), e.g. the
     stored history of a stream; they count as rows before every input row.
+    ``strategy="auto"``: count the rows of the largest key first (one partial
+    aggregation over the stored input) and use the plain window only when no
+    key exceeds ``direct_max_rows``; otherwise the chunked scan.
     """
+    if strategy == "auto":
+        windows = materialize(windows, "rolling-input")
+        biggest = (windows.groupBy(*keys).count().agg(F.max("count")).first()[0]) or 0
+        strategy = "direct" if base is None and biggest <= direct_max_rows else "chunked"
     if lookback is not None and lookback < 1:
         raise ValueError("lookback must be >= 1 or None")
     if base is not None and (lookback is not None or strategy != "chunked"):
