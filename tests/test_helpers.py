@@ -40,3 +40,13 @@ def test_rounding_rule_same_in_duckdb():
                2: [1037.08, -2.68, 53.25, 2.5, 0.0, 50500000000.5],
                6: [1037.082188, -2.675, 53.250938, 2.5, 0.000001, 50500000000.5]}[d]
         assert got == exp
+
+
+def test_every_oracle_rounding_uses_the_shared_rule():
+    import re
+    import __spark_entry__ as E
+    for name, sql in E.oracle_sql().items():
+        low = sql.lower()
+        bare = len(re.findall(r"(?<![a-z_])round\(", low))
+        shared = low.count(f"as decimal(38,9)), ")
+        assert bare == 2 * shared, name
