@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, quality_model
+from tickwise.llm import bpe, decontaminate, line_dedup, quality_model
 from tickwise.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,29 @@ FROM dw LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "kept.n_lines", "kept.n_removed", F.size("kept.spans").cast("bigint").alias("n_spans"),
+                       F.sha2(F.coalesce("kept.text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP8_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+w AS (SELECT r, doc_id, i, l[i] AS a, l[i + 1] AS b, l[i + 2] AS c FROM d, unnest(range(1, len(l) - 1)) AS t(i)),
+f AS (SELECT r, doc_id, i, first_value(doc_id) OVER same AS doc, first_value(i) OVER same AS pos FROM w
+      WHERE trim(a) <> '' OR trim(b) <> '' OR trim(c) <> ''
+      WINDOW same AS (PARTITION BY a, b, c ORDER BY doc_id, i)),
+gone AS (SELECT DISTINCT r, p FROM f, unnest(range(i, i + 3)) AS t(p) WHERE doc_id > doc OR doc_id = doc AND i > pos),
+runs AS (SELECT r, count(*) AS n_removed, sum(CAST(before IS DISTINCT FROM p - 1 AS INT)) AS n_spans
+         FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM gone) GROUP BY r),
+kept AS (SELECT r, string_agg(line, chr(10) ORDER BY p) AS text
+         FROM (SELECT r, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN runs USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = vocabulary()
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
@@ -78,8 +101,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op9_bpe": op9_bpe}
+    return {"op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
+            "op9_bpe": op9_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": OP7_SQL}
+    return {"op7_decontaminate": OP7_SQL, "op8_lines": OP8_SQL}
