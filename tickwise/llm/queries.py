@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, quality_model
+from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan
 from tickwise.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,57 @@ def listed(values: Column) -> Column:
     return F.sha2(F.concat_ws(",", values.cast("array<string>")).cast("binary"), 256)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *(count(k) for k in secret_scan.BASE_KINDS),
+        F.sha2(secret_scan.written(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written(spans).alias("spans"))
+
+
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = F.col("rules")
+    return quality_rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines", "rules.n_repeat_words",
+        quality_rules.base_failed(rules).alias("base_failed"), quality_rules.keeps(rules).alias("kept"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP5_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
+often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM tri) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM often, unnest(range(i, i + 3)) AS u(p) GROUP BY r),
+line AS (SELECT r, i, l[i] AS raw, trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x
+         FROM (SELECT r, string_split(text, chr(10)) AS l FROM d), unnest(range(1, len(l) + 1)) AS u(i)),
+f AS (SELECT r, i, raw, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
+             len(regexp_extract_all(x, '[|»›•·]')) AS separators, len(regexp_extract_all(x, '[#*$%&|<>]')) AS symbols,
+             len(regexp_extract_all(x, '[A-Z]')) AS capitals, len(regexp_extract_all(x, '[A-Za-z]')) AS letters,
+             regexp_matches({_LOWER.format("x")}, '{"|".join(quality_rules.BOILERPLATE)}') AS boilerplate,
+             regexp_matches(x, '[.!?…。]') AS marked, length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS chars
+      FROM line WHERE x <> ''),
+j AS (SELECT *, separators >= 2 AND words <= 4 * separators OR boilerplate OR words <= 2 * symbols
+             OR letters >= 20 AND 100 * capitals > 60 * letters OR words > 8 AND NOT marked AS failed,
+             row_number() OVER (PARTITION BY r, raw ORDER BY i) > 1 AS dup FROM f),
+s AS (SELECT r, sum(chars) AS total, sum(CASE WHEN failed THEN chars ELSE 0 END) AS lost,
+             sum(CASE WHEN dup THEN 1 ELSE 0 END) AS dups FROM j GROUP BY r),
+a AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+             coalesce(total, 0) AS total, coalesce(lost, 0) AS lost
+      FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN s USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 50 * total AS kept FROM b
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_model.train(docs, table(spark, sf_dir, "labels"))
@@ -101,9 +152,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
+    return {"op4_secrets": op4_secrets, "op5_rules": op5_rules, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
             "op9_bpe": op9_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": OP7_SQL, "op8_lines": OP8_SQL}
+    return {"op5_rules": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_lines": OP8_SQL}
