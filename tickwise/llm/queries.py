@@ -11,13 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan
+from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan, toxicity
 from tickwise.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Scores from which a text counts as good (quality).
-GOOD_FROM = 0.3
+#: Scores from which a text counts as toxic, and as good.
+TOXIC_FROM, GOOD_FROM = 0.5, 0.3
 
 
 def vocabulary() -> tuple[str, str]:
@@ -31,6 +31,14 @@ def listed(values: Column) -> Column:
     return F.sha2(F.concat_ws(",", values.cast("array<string>")).cast("binary"), 256)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out().alias("held_out"), "toxicity.score")
+            .withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int")))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
@@ -152,7 +160,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_secrets": op4_secrets, "op5_rules": op5_rules, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
+    return {"op3_toxicity": op3_toxicity, "op4_secrets": op4_secrets, "op5_rules": op5_rules, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
             "op9_bpe": op9_bpe}
 
 
