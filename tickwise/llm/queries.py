@@ -6,13 +6,15 @@ table and derives the digest columns from the operator's own output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan, toxicity
+from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan, toxicity, warc
 from tickwise.llm.common import held_out, table
+from tickwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,9 +161,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write(table(spark, sf_dir, "pages"), path)
+
+    def number(name: str) -> Column:
+        return F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
+    return warc.read(spark, path).select(
+        number("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"))
+
+
+_QUERIES = (op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_toxicity": op3_toxicity, "op4_secrets": op4_secrets, "op5_rules": op5_rules, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_lines": op8_lines,
-            "op9_bpe": op9_bpe}
+    return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
