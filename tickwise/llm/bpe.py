@@ -159,7 +159,8 @@ def encode_column(df: DataFrame, text: Column, vocabulary: str, pattern: str) ->
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = batch_encoder(*load(), pattern)
         for texts in batches:
-            yield pd.Series([x for part in slices(texts) for x in encode(part)], dtype=object)
+            for part in slices(texts):
+                yield pd.Series(encode(part), dtype=object)
 
     return ids(as_text(text))
 

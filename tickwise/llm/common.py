@@ -29,6 +29,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows in an Arrow batch, where the session has Spark's default.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts are long: batches of Spark's default 10,000 rows would hold tens of
+    MB in every Python worker. A session that has another value keeps it."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(rows))
+
+
 def shared(df: DataFrame, value: Any) -> Callable[[], Any]:
     """A function that gives ``value`` in a task. It is broadcast once; callers
     pass only what has a bounded size (a model, a block of a query set).

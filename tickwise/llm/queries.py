@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan, toxicity, warc
-from tickwise.llm.common import held_out, table
+from tickwise.llm.common import held_out, small_batches, table
 from tickwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,8 +175,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
 
 
+def _with_small_batches(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: _with_small_batches(q) for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
