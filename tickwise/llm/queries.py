@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, quality_model, quality_rules, secret_scan, toxicity, warc
+from tickwise.llm import bpe, decontaminate, line_dedup, minhash, quality_model, quality_rules, secret_scan, toxicity, warc
 from tickwise.llm.common import held_out, small_batches, table
 from tickwise.session import scratch_path
 
@@ -33,6 +33,12 @@ def listed(values: Column) -> Column:
     return F.sha2(F.concat_ws(",", values.cast("array<string>")).cast("binary"), 256)
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return near.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -172,7 +178,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("refers_to").alias("refers_to"))
 
 
-_QUERIES = (op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
+_QUERIES = (op1_minhash, op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
 
 
 def _with_small_batches(query: Query) -> Query:
