@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Callable
@@ -29,6 +30,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps whose results are
+    written: it does so when the driver has collected its garbage, and a job of
+    several steps would otherwise hold the files of all of them at once."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows in an Arrow batch, where the session has Spark's default.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, minhash, quality_model, quality_rules, secret_scan, toxicity, warc
+from tickwise.llm import bpe, decontaminate, line_dedup, minhash, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from tickwise.llm.common import held_out, small_batches, table
 from tickwise.session import scratch_path
 
@@ -39,6 +39,13 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                       F.size("runs").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -178,7 +185,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("refers_to").alias("refers_to"))
 
 
-_QUERIES = (op1_minhash, op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
+_QUERIES = (op1_minhash, op2_suffixes, op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
 
 
 def _with_small_batches(query: Query) -> Query:
