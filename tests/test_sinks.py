@@ -52,10 +52,11 @@ def test_kafka_records_round_trip(spark):
 
 
 def test_kafka_projection_contract(spark):
-    raw = spark.createDataFrame([(b"AAPL", b'{"symbol":"AAPL"}', "raw_stock_ticks", None)],
-                                "key binary, value binary, topic string, timestamp timestamp")
+    raw = spark.createDataFrame([(b"AAPL", b'{"symbol":"AAPL"}', "raw_stock_ticks", None, 1, 7)],
+                                "key binary, value binary, topic string, timestamp timestamp, "
+                                "partition int, offset bigint")
     out = kafka_projection(raw)
-    assert out.columns == ["msg_key", "json_value", "topic", "kafka_timestamp"]
+    assert out.columns == ["msg_key", "json_value", "topic", "kafka_timestamp", "partition", "offset"]
     assert out.first()["json_value"] == '{"symbol":"AAPL"}'
 
 

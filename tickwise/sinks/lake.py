@@ -1,7 +1,7 @@
 """Parquet lake of feature windows, partitioned by ``date, asset_type``.
 
 Writes are idempotent per micro-batch: each batch lands in its own
-``batch_id`` partition below ``date/asset_type`` and is written with dynamic
+``run_id/batch_id`` partition below ``date/asset_type`` and is written with dynamic
 partition overwrite, so a replayed batch replaces exactly what it wrote
 before instead of appending a second copy.
 """
@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARTITIONS = ("date", "asset_type", "batch_id")
+PARTITIONS = ("date", "asset_type", "run_id", "batch_id")
 
 
-def write_lake(windows: DataFrame, path: str, batch_id: int = 0,
+def write_lake(windows: DataFrame, path: str, batch_id: int, run_id: int = 0,
                max_records_per_file: int | None = 1_000_000) -> None:
-    """Write window rows under ``path/date=../asset_type=../batch_id=..``.
+    """Write window rows under ``path/date=../asset_type=../run_id=../batch_id=..``;
+    rows already there for the same run and batch are replaced.
 
     Rows are hash-clustered by (date, asset_type, symbol) first: a writer task
     then holds whole day-partitions of symbols (at most one day / width rows
@@ -24,6 +25,7 @@ def write_lake(windows: DataFrame, path: str, batch_id: int = 0,
     file size.
     """
     out = (windows.withColumn("date", F.to_date("window_start"))
+           .withColumn("run_id", F.lit(int(run_id)).cast("long"))
            .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
     w = (out.repartition("date", "asset_type", "symbol").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS))

@@ -9,11 +9,16 @@
   row per symbol, versioned by batch id) — or, with a bounded ``lookback``,
   against the last ``lookback`` windows per symbol — so z-scores equal a
   batch run over the whole history.
-* Every sink is idempotent per batch id: lake and anomaly files go to a
-  ``batch_id`` partition written with dynamic overwrite, the state table to
-  version ``v=batch_id``. A batch replayed after a failure overwrites its own
-  output; errors fail the query instead of being swallowed, so the batch is
-  replayed rather than lost.
+* Every sink is idempotent per (run id, batch id): lake and anomaly files go to
+  partitions of both, written with dynamic overwrite, the state table to version
+  ``v=run-batch``. A run id belongs to a checkpoint: a new checkpoint on old
+  paths gets the next one, so its batches, numbered from 0 again, replace
+  nothing and continue the history. A batch replayed after a failure overwrites
+  its own output; errors fail the query instead of being swallowed, so the batch
+  is replayed rather than lost.
+* Each source has its own watermark. Spark lets the slowest of them decide (the
+  ``min`` policy), so a source that lags loses nothing to one that is ahead; a
+  source that falls silent holds windows open until it speaks again.
 """
 
 from __future__ import annotations
@@ -39,26 +44,34 @@ from tickwise.sinks.lake import write_lake
 log = logging.getLogger("tickwise.streaming")
 
 
+def watermarked(ticks: DataFrame, delay: str, time_col: str = "event_time") -> DataFrame:
+    """One source's ticks with its own watermark, before the union with others."""
+    if isinstance(ticks.schema[time_col].dataType, TimestampNTZType):
+        ticks = ticks.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    return ticks.withWatermark(time_col, delay)
+
+
 def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
-                    delay: str = "10 minutes", tie_breaker: str | None = None,
+                    delay: str | None = "10 minutes", tie_breaker: str | None = None,
                     time_col: str = "event_time") -> DataFrame:
     """Final feature windows of a tick stream (append mode).
 
-    ``delay`` is the watermark: ticks later than that behind the newest event
+    ``delay`` is the watermark (None: the sources carry their own): ticks later than that behind the newest event
     time are dropped (counted in ``numRowsDroppedByWatermark``); a window is
     emitted once the watermark passes its end. Spark filters late rows with
     the previous micro-batch's watermark and evicts with the current one, so a
     late row that arrives in the very batch that closes its window still
     counts. State = open windows x symbols.
     """
-    if isinstance(ticks.schema[time_col].dataType, TimestampNTZType):
-        ticks = ticks.withColumn(time_col, F.col(time_col).cast("timestamp"))
-    return window_features(ticks.withWatermark(time_col, delay), width, tie_breaker, time_col)
+    marked = ticks if delay is None else watermarked(ticks, delay, time_col)
+    return window_features(marked, width, tie_breaker, time_col)
 
 
 class VersionedTable:
     """A small per-symbol state table (moments, or the last windows), one
-    version per batch id; a replayed batch rewrites its own version."""
+    version per (run, batch); a replayed batch rewrites its own version. The
+    newest ``retain`` versions before the current one are kept, however far apart
+    their batches are."""
 
     def __init__(self, spark: SparkSession, path: str, retain: int = 10):
         self.spark, self.path, self.retain = spark, path, retain
@@ -68,49 +81,72 @@ class VersionedTable:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
-    def _versions(self) -> list[int]:
+    def versions(self) -> list[tuple[int, int]]:
         fs, p, _ = self._fs()
         if not fs.exists(p):
             return []
-        return [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-                if st.isDirectory() and st.getPath().getName().startswith("v=")]
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return sorted(tuple(map(int, n[2:].split("-"))) for n in names if n.startswith("v="))
 
-    def read(self, batch_id: int) -> DataFrame | None:
-        """Latest version strictly before ``batch_id`` (None if there is none).
+    def _folder(self, version: tuple[int, int]) -> str:
+        return f"{self.path}/v={version[0]}-{version[1]}"
 
-        The version is chosen from the folder names (a metadata listing of at
-        most ``retain`` entries), so no Spark job runs and only that one
-        version's files are read.
+    def read(self, batch_id: int, run_id: int = 0) -> DataFrame | None:
+        """Latest version strictly before the batch (None if there is none).
+
+        The version is chosen from the folder names (a metadata listing of few
+        entries), so no Spark job runs and only that one version's files are read.
         """
-        older = [v for v in self._versions() if v < batch_id]
-        if not older:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={max(older)}")
-
-    def write(self, table: DataFrame, batch_id: int) -> None:
-        (table.withColumn("v", F.lit(int(batch_id)).cast("long")).write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("v").parquet(self.path))
-        self._prune(batch_id)
-
-    def _prune(self, batch_id: int) -> None:
-        fs, p, jvm = self._fs()
-        for v in self._versions():
-            if v < batch_id - self.retain:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)
+        older = [v for v in self.versions() if v < (run_id, batch_id)]
+        return self.spark.read.parquet(self._folder(older[-1])) if older else None
 
+    def write(self, table: DataFrame, batch_id: int, run_id: int = 0) -> None:
+        table.write.mode("overwrite").parquet(self._folder((run_id, batch_id)))
+        self._prune((run_id, batch_id))
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent append: the rows of one batch replace partition ``batch_id``."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    def _prune(self, current: tuple[int, int]) -> None:
+        fs, p, jvm = self._fs()
+        for v in [v for v in self.versions() if v < current][:-self.retain]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._folder(v)), True)
+
+
+def run_of(spark: SparkSession, checkpoint: str, state_path: str) -> int:
+    """The run id of a checkpoint, chosen when it is first used: one more than any
+    run that ``state_path`` knows of, and noted in both folders. Run 0 is for
+    backfills, which come before all streams."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def folder(path: str):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf), p
+
+    def numbers(path: str) -> list[int]:
+        fs, p = folder(path)
+        found = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+        return [int(n[4:]) for n in found if n.startswith("run=")]
+    marks, known = f"{checkpoint}/_tickwise", f"{state_path}/_runs"
+    if own := numbers(marks):
+        return max(own)
+    versions = [r for r, _ in VersionedTable(spark, state_path).versions()]
+    run_id = 1 + max([0, *numbers(known), *versions])
+    for path in (known, marks):
+        fs, p = folder(f"{path}/run={run_id}")
+        fs.mkdirs(p)
+    return run_id
+
+
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, run_id: int = 0) -> None:
+    """Idempotent append: the rows of one batch replace its own partition."""
+    (df.withColumns({"run_id": F.lit(int(run_id)).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "batch_id").parquet(path))
 
 
 def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                       state_path: str, threshold: float = S.Z_SCORE_THRESHOLD,
                       mode: str = "compat", extra_sinks: list[Callable] | None = None,
                       lookback: int | None = None,
-                      width: str | None = None) -> Callable[[DataFrame, int], None]:
+                      width: str | None = None, run_id: int = 0) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: lake write, scoring with history, sinks.
 
     State: per-symbol moments of all earlier windows (``lookback=None``) or
@@ -131,8 +167,8 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
             # counts come from the writes themselves (observe), not extra actions
             seen = Observation(f"windows_{batch_id}")
             write_lake(batch.observe(seen, F.count(F.lit(1)).alias("windows")), lake_path,
-                       batch_id)
-            history = store.read(batch_id)
+                       batch_id, run_id)
+            history = store.read(batch_id, run_id)
             if lookback is None:
                 anomalies, new_history = score_with_history(batch, history, threshold, mode,
                                                             chunk_seconds=chunk_seconds)
@@ -144,13 +180,13 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
             try:
                 write_batch_partition(
                     anomalies.observe(flagged, F.count(F.lit(1)).alias("anomalies")),
-                    anomalies_path, batch_id)
+                    anomalies_path, batch_id, run_id)
                 log.info("batch %d: %s windows, %s anomalies", batch_id,
                          seen.get.get("windows"), flagged.get.get("anomalies"))
                 for sink in extra_sinks or []:
                     sink(batch, anomalies, batch_id)
                 # state last: a failure above replays the batch from the old state
-                store.write(new_history, batch_id)
+                store.write(new_history, batch_id, run_id)
             finally:
                 anomalies.unpersist()
         finally:
@@ -178,8 +214,8 @@ def jdbc_sink(url: str, properties: dict | None = None, clean_table: str = S.TOP
 def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path: str,
                              width: str = S.DEFAULT_WIDTH, threshold: float = S.Z_SCORE_THRESHOLD,
                              mode: str = "compat", min_rows: int = 2,
-                             extra_sinks: list[Callable] | None = None
-                             ) -> Callable[[DataFrame, int], None]:
+                             extra_sinks: list[Callable] | None = None,
+                             run_id: int = 0) -> Callable[[DataFrame, int], None]:
     """Reference-compatible ``foreachBatch`` body over raw ticks: each
     micro-batch is windowed and scored on its own (history = the batch's own
     windows, no anomalies below ``min_rows`` windows). A window spanning two
@@ -191,11 +227,11 @@ def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path
         try:
             if ticks.isEmpty():
                 return
-            windows = window_features(ticks, width).persist(StorageLevel.MEMORY_AND_DISK)
+            windows = window_features(ticks, width, "tie" if "tie" in ticks.columns else None).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                write_lake(windows, lake_path, batch_id)
+                write_lake(windows, lake_path, batch_id, run_id)
                 anomalies = detect_anomalies(windows, threshold, mode=mode, min_rows=min_rows)
-                write_batch_partition(anomalies, anomalies_path, batch_id)
+                write_batch_partition(anomalies, anomalies_path, batch_id, run_id)
                 for sink in extra_sinks or []:
                     sink(windows, anomalies, batch_id)
             finally:
@@ -214,7 +250,9 @@ def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path:
     scorer as the stream: windows -> lake, anomalies, per-symbol state.
 
     Batches must cover later time ranges in increasing ``batch_id`` order, as
-    the stream guarantees; re-running a batch id replaces its output.
+    the stream guarantees; re-running a batch id replaces its output. Backfills
+    are run 0, so streams started later on the same paths continue their history
+    and replace nothing.
     """
     windows = window_features(ticks, width, tie_breaker)
     fn = make_batch_scorer(ticks.sparkSession, lake_path, anomalies_path, state_path,
@@ -238,7 +276,7 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
     state_path = state_path or scratch_path(spark, "moments")
     checkpoint = checkpoint or scratch_path(spark, "pipeline")
     fn = make_batch_scorer(spark, lake_path, anomalies_path, state_path, threshold, mode,
-                           extra_sinks, lookback, width)
+                           extra_sinks, lookback, width, run_of(spark, checkpoint, state_path))
     w = (features.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     if query_name:
@@ -251,13 +289,16 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                  anomalies_path: str, state_path: str | None = None,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  width: str = S.DEFAULT_WIDTH, delay: str = "10 minutes",
-                 threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
+                 crypto_delay: str | None = None, threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
                  source_tz: str = "UTC", extra_sinks: list[Callable] | None = None,
                  lookback: int | None = None, per_batch: bool = False,
                  rocksdb_state: bool = False) -> StreamingQuery:
     """Raw stock + crypto message streams -> parse -> unify -> final windows ->
     lake + anomalies (one streaming query).
 
+    ``delay`` is the lateness that the stock stream, and the crypto stream unless
+    ``crypto_delay`` says otherwise, allows within itself; how far one stream is
+    behind the other does not matter.
     ``per_batch=True`` reproduces the reference's micro-batch semantics instead
     (see ``make_per_batch_processor``); ``extra_sinks`` e.g. ``[jdbc_sink(url)]``.
     ``rocksdb_state=True`` keeps the window state in RocksDB instead of the JVM
@@ -269,16 +310,19 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     strict = mode == "strict"
-    ticks = unify_ticks(parse_stock(stock_raw, source_tz, strict),
-                        parse_crypto(crypto_raw, strict))
+    stock, crypto = parse_stock(stock_raw, source_tz, strict), parse_crypto(crypto_raw, strict)
     if per_batch:
-        fn = make_per_batch_processor(ticks.sparkSession, lake_path, anomalies_path, width,
-                                      threshold, mode, extra_sinks=extra_sinks)
+        ticks = unify_ticks(stock, crypto, [*S.TICK_COLUMNS, "tie"])
         checkpoint = checkpoint or scratch_path(ticks.sparkSession, "pipeline")
+        run_id = run_of(ticks.sparkSession, checkpoint, state_path or f"{anomalies_path}-runs")
+        fn = make_per_batch_processor(ticks.sparkSession, lake_path, anomalies_path, width,
+                                      threshold, mode, extra_sinks=extra_sinks, run_id=run_id)
         w = (ticks.writeStream.foreachBatch(fn).outputMode("append")
              .option("checkpointLocation", checkpoint))
         return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
-    feats = stream_features(ticks, width, delay)
+    ticks = unify_ticks(watermarked(stock, delay), watermarked(crypto, crypto_delay or delay),
+                        [*S.TICK_COLUMNS, "tie"])
+    feats = stream_features(ticks, width, None, "tie")
     return stream_anomalies(feats, lake_path, anomalies_path, state_path, checkpoint,
                             trigger, threshold, mode, extra_sinks, lookback=lookback,
                             width=width)
