@@ -15,7 +15,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from tickwise.session import get_session
     s = get_session("local[8]", shuffle_partitions=8,
-                    extra={"spark.sql.maxMetadataStringLength": "2000"})
+                    extra={"spark.sql.maxMetadataStringLength": "2000",
+                           "tickwise.tables.partitions": "8"})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickwise-test-"))
     yield s

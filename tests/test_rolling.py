@@ -71,8 +71,12 @@ def test_base_moments_equal_full_history(spark):
             assert abs(r[f"{f}_m2"] - m_mrg[s][f"{f}_m2"]) <= 1e-6 * max(1.0, abs(r[f"{f}_m2"]))
 
 
-def test_auto_strategy_checks_key_size(spark):
+@pytest.mark.parametrize("lookback", [None, 3])
+def test_null_keys_are_keys(spark, lookback):
+    """Windows with a null asset type are scored like any others."""
     w = T.windows_from_events(spark, SF_SMALL)
-    a = _rows(rolling_stats(w, strategy="direct"))
-    assert _rows(rolling_stats(w, strategy="auto")) == a                      # small -> direct
-    assert _rows(rolling_stats(w, strategy="auto", direct_max_rows=10)) == a  # big -> chunked
+    w = w.withColumn("asset_type", F.when(F.col("symbol") != "click", F.col("asset_type")))
+    full = _rows(rolling_stats(w, strategy="direct", lookback=lookback))
+    assert _rows(rolling_stats(w, lookback=lookback)) == full and len(full) == w.count()
+    m = moments(w)
+    assert merge_moments(m, m).count() == m.count()

@@ -51,20 +51,14 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
                   keys: Sequence[str] = ("symbol", "asset_type"),
                   order: str = "window_start", strategy: str = "chunked",
                   chunk_seconds: int | None = None, block_rows: int = 4096,
-                  base: DataFrame | None = None, chunk_rows: int = 256,
-                  direct_max_rows: int = 1_000_000) -> DataFrame:
+                  base: DataFrame | None = None, chunk_rows: int = 256) -> DataFrame:
     """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``.
 
     ``base``: moments of earlier rows per key (``moments()`` output), e.g. the
     stored history of a stream; they count as rows before every input row.
-    ``strategy="auto"``: count the rows of the largest key first (one partial
-    aggregation over the stored input) and use the plain window only when no
-    key exceeds ``direct_max_rows``; otherwise the chunked scan.
+    A null key value is a key like any other. ``direct`` is the reference for
+    tests; production plans use ``chunked``.
     """
-    if strategy == "auto":
-        windows = materialize(windows, "rolling-input")
-        biggest = (windows.groupBy(*keys).count().agg(F.max("count")).first()[0]) or 0
-        strategy = "direct" if base is None and biggest <= direct_max_rows else "chunked"
     if lookback is not None and lookback < 1:
         raise ValueError("lookback must be >= 1 or None")
     if base is not None and (lookback is not None or strategy != "chunked"):
@@ -101,9 +95,12 @@ def merge_moments(a: DataFrame, b: DataFrame, features: Sequence[str] = FEATURES
     Both sides hold one row per key, so the full outer join is over the
     number of symbols, not the number of windows.
     """
-    j = a.alias("a").join(b.alias("b"), on=list(keys), how="full_outer")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{_q(k)}").eqNullSafe(F.col(f"b.{_q(k)}"))
+    j = a.alias("a").join(b.alias("b"), on=same, how="full_outer")
     last = _q("last_" + order)
-    out = [_q(k) for k in keys] + [f"greatest(a.{last}, b.{last}) AS {last}"]
+    out = [f"coalesce(a.{_q(k)}, b.{_q(k)}) AS {_q(k)}" for k in keys] + [f"greatest(a.{last}, b.{last}) AS {last}"]
     for f in features:
         n_, s_, m_ = _q(f + "_n"), _q(f + "_sum"), _q(f + "_m2")
         na, nb = f"coalesce(a.{n_}, 0)", f"coalesce(b.{n_}, 0)"
@@ -161,8 +158,11 @@ def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, bas
     # both branches below read the input: store it once unless it is stored
     df = materialize(df, "rolling-input")
     base_cols = df.columns
-    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows))
-    K = ", ".join(_q(k) for k in keys)
+    # the key as one struct: it is never null itself, so rows with a null key
+    # value meet their prefix in the join below
+    key = f"named_struct({', '.join(f'{k!r}, {_q(k)}' for k in keys)}) AS _key"
+    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows)).selectExpr("*", key)
+    K = "_key"
     KC = f"{K}, _chunk"
     o = _q(order)
     fs = [_q(f) for f in features]
@@ -185,10 +185,10 @@ def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, bas
         for i, f in enumerate(fs):
             aggs += [f"count({f}) AS _n{i}", f"sum({f}) AS _s{i}", f"var_samp({f}) AS _v{i}",
                      f"min({f}) AS _min{i}", f"max({f}) AS _max{i}"]
-    chunks = rows.groupBy(*keys, "_chunk").agg(*[F.expr(a) for a in aggs])
+    chunks = rows.groupBy("_key", "_chunk").agg(*[F.expr(a) for a in aggs])
     if base is not None:
         # prior history enters as one more chunk that precedes all others
-        pseudo = [_q(k) for k in keys] + [f"CAST({_BEFORE_ALL} AS BIGINT) AS _chunk",
+        pseudo = [key, f"CAST({_BEFORE_ALL} AS BIGINT) AS _chunk",
                                           "CAST(0 AS BIGINT) AS _cnt"]
         for i, f in enumerate(features):
             n = _q(f"{f}_n")
@@ -213,11 +213,11 @@ def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, bas
             pre += [f"coalesce(sum(_n{i}) {wk}, 0) AS _pn{i}", f"sum(_s{i}) {wk} AS _ps{i}",
                     f"sum(_n{i} * {y}) {wk} AS _pt{i}", f"sum({q}) {wk} AS _pq{i}",
                     f"min(_min{i}) {wk} AS _pmin{i}", f"max(_max{i}) {wk} AS _pmax{i}"]
-    prefix = chunks.selectExpr(*[_q(k) for k in keys], "_chunk", *pre)
+    prefix = chunks.selectExpr("_key", "_chunk", *pre)
 
     # (4) merge. The prefix table has one row per key and chunk; AQE turns
     # the join into a broadcast only when its measured size is small.
-    joined = rows.join(prefix, on=keys + ["_chunk"], how="inner")
+    joined = rows.join(prefix, on=["_key", "_chunk"], how="inner")
     if lookback is None:
         out = [_q(c) for c in base_cols]
         for i, f in enumerate(features):

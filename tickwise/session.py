@@ -6,10 +6,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every session of ours wants; a cluster's own values win because
-# they are only applied where the key is still unset.
+# Settings every session of ours wants where the cluster's configuration (and an
+# active session) leaves them unset.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,8 +27,10 @@ def get_session(master: str | None = None, app: str = "tickwise",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    given = SparkConf()
     for k, v in _DEFAULTS.items():
-        b = b.config(k, v)
+        if not given.contains(k) and SparkSession.getActiveSession() is None:
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -72,7 +75,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # logical nodes that are cheap to evaluate twice (a stored or cached relation
 # behind projections and filters)
 _CHEAP_NODES = {"Project", "Filter", "Union", "LogicalRelation", "InMemoryRelation", "LocalRelation",
-                "LogicalRDD", "SubqueryAlias", "Range", "HiveTableRelation",
+                "SubqueryAlias", "Range", "HiveTableRelation",
                 "DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingDataSourceV2Relation"}
 
 
@@ -107,15 +110,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (a single small file or row group). Large inputs already have enough
-    splits, so this is a no-op at scale; the check only plans, it runs no job."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:            # no RDD view (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(want) if have < want else df

@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from tickwise.operators.anomalies import detect_anomalies
 from tickwise.operators.features import to_clean, window_features
-from tickwise.session import ensure_parallelism
 
 STOCK_EVENT_TYPES = ("purchase", "signup")
 FIXTURE_WIDTH = "1 hour"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A given table. Tests and the benchmark, whose tables are single small files,
+    name a number of partitions in the session; nothing else reshuffles a scan."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    n = spark.conf.get("tickwise.tables.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def ticks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,9 +41,9 @@ def ticks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol = supplier, asset_type by line status, day-resolution times.
 
-    The tie-breaker packs (orderkey, linenumber) into one non-negative BIGINT;
-    the pair is not unique in the test data, so open/close of this mapping
-    are only deterministic up to equal-key rows.
+    The tie-breaker packs (orderkey, linenumber, price in cents, quantity) into
+    one BIGINT, as the first two are not unique in the test data: rows that still
+    tie have equal prices.
     """
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
@@ -48,7 +51,9 @@ def ticks_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.lit("stock")).otherwise(F.lit("crypto"))
         .alias("asset_type"),
         F.col("l_shipdate").alias("event_time"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 30)
+         + F.round(F.col("l_extendedprice") * 100).cast("bigint") * 64 + F.col("l_quantity").cast("bigint"))
+        .alias("event_id"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("volume"))
 
@@ -74,20 +79,17 @@ def anomalies_from_events(spark, sf_dir, width: str = FIXTURE_WIDTH,
 # ---------------------------------------------------------------------------
 # raw JSON messages derived from events (for the parse operators)
 # ---------------------------------------------------------------------------
-# Data-driven defects, so parse paths are exercised on every scale factor:
-#   price >= 450  -> truncated (malformed) JSON  -> row dropped
+# A data-driven defect exercises the fallback on every scale factor:
 #   price <  2    -> unparsable timestamp text   -> broker timestamp used
-MALFORMED_MIN_PRICE = 450.0
+# (malformed JSON, which gives no tick, is tested on hand-made rows)
 BAD_TS_MAX_PRICE = 2.0
 CANDLE_SYMBOL = "view"
 
 
 def _message(t: DataFrame, js) -> DataFrame:
-    bad = F.coalesce(F.col("price") >= MALFORMED_MIN_PRICE, F.lit(False))
-    return t.select(F.col("symbol").alias("msg_key"),
-                    F.when(bad, F.substring(js, 1, 25)).otherwise(js).alias("json_value"),
-                    F.col("topic"),
-                    F.col("event_time").cast("timestamp").alias("kafka_timestamp"))
+    return t.select(F.col("symbol").alias("msg_key"), js.alias("json_value"), F.col("topic"),
+                    F.col("event_time").cast("timestamp").alias("kafka_timestamp"),
+                    F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
 
 
 def raw_stock_messages(spark, sf_dir) -> DataFrame:
@@ -127,11 +129,12 @@ def raw_crypto_messages(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------------------
 # One response = the events of ``event_id div GROUP`` (at most GROUP ticks,
 # whatever the data size). Defects, data-driven:
-#   intraday: price < 5 -> "5. volume" missing (defaults to 0)
+#   intraday: price < 5 -> "5. volume" missing (defaults to 0);
+#             with defects also 5 <= price < 6 -> "5. volume" unreadable (null)
 #   spot:     price < 2 -> last_updated_at = 0 (falls back to the fetch time)
 #   candles:  price < 2 -> a 3-element entry (dropped)
 PAYLOAD_GROUP = 4
-SPOT_GROUP = 8
+UNREADABLE = "n/a"
 
 
 def _grp(n):
@@ -145,6 +148,8 @@ def intraday_payloads(spark, sf_dir, with_defects: bool = False) -> DataFrame:
     from tickwise.schemas import INTRADAY_SERIES_KEY
     t = ticks_from_events(spark, sf_dir).filter(F.col("asset_type") == "stock")
     v, k = F.col("price").cast("string"), F.col("volume").cast("string")
+    if with_defects:
+        k = F.when(F.col("price").between(5, 5.999999), F.lit(UNREADABLE)).otherwise(k)
     fields = F.map_filter(
         F.create_map(F.lit("1. open"), v, F.lit("2. high"), v, F.lit("3. low"), v,
                      F.lit("4. close"), v, F.lit("5. volume"),
@@ -166,23 +171,16 @@ def intraday_payloads(spark, sf_dir, with_defects: bool = False) -> DataFrame:
 
 
 def spot_payloads(spark, sf_dir) -> DataFrame:
-    """Multi-coin responses: newest event per coin within each id group."""
+    """One response for each event that is no candle, as a poll of one coin gives it."""
     t = ticks_from_events(spark, sf_dir).filter(
         (F.col("asset_type") == "crypto") & (F.col("symbol") != CANDLE_SYMBOL))
-    per_coin = t.groupBy(_grp(SPOT_GROUP).alias("grp"), "symbol").agg(
-        F.max_by(F.struct("price", "volume", "event_time"), "event_id").alias("e"),
-        F.max("event_time").alias("t_max"))
-    upd = F.when(F.col("e.price") < 2, F.lit(0)).otherwise(
-        F.unix_seconds(F.col("e.event_time").cast("timestamp")))
-    info = F.struct(F.col("e.price").alias("usd"),
-                    (F.col("e.price") * 1000).alias("usd_market_cap"),
-                    F.col("e.volume").alias("usd_24h_vol"),
-                    F.lit(0.5).alias("usd_24h_change"), upd.alias("last_updated_at"))
-    g = per_coin.groupBy("grp").agg(
-        F.map_from_entries(F.collect_list(F.struct("symbol", info))).alias("m"),
-        F.max("t_max").cast("timestamp").alias("fetched_at"))
-    return g.select(F.lit("simple_price").alias("symbol"), F.to_json("m").alias("payload"),
-                    "fetched_at")
+    upd = F.when(F.col("price") < 2, F.lit(0)).otherwise(F.unix_seconds(F.col("event_time").cast("timestamp")))
+    info = F.struct(F.col("price").alias("usd"), (F.col("price") * 1000).alias("usd_market_cap"),
+                    F.col("volume").alias("usd_24h_vol"), F.lit(0.5).alias("usd_24h_change"),
+                    upd.alias("last_updated_at"))
+    return t.select(F.lit("simple_price").alias("symbol"),
+                    F.to_json(F.create_map("symbol", info)).alias("payload"),
+                    F.col("event_time").cast("timestamp").alias("fetched_at"))
 
 
 def ohlc_payloads(spark, sf_dir) -> DataFrame:
