@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from tickwise.plans import catalog
 from conftest import SF_SMALL
 from oracle_check import compare, duck
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

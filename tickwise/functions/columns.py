@@ -32,15 +32,16 @@ def order_key(df: DataFrame, time_col: str, tie_breaker: str | None = None) -> C
 
     ``min_by(x, struct(t, id))`` makes Spark plan a SortAggregate; a scalar
     ``decimal(38,0)`` key keeps the partial/final HashAggregate. Micros need
-    at most 17 digits, a non-negative BIGINT tie-breaker 19, so
-    ``micros * 10^19 + tie`` orders exactly like the pair.
+    at most 17 digits; the tie-breaker, any BIGINT, is shifted to 1..2^64, and
+    a null one is 0, before all others: ``micros * 2*10^19 + tie`` orders
+    exactly like the pair.
     """
     us = epoch_micros(df, time_col)
     if tie_breaker is None:
         return us
-    return (us.cast("decimal(38,0)")
-            * F.expr("CAST(10000000000000000000 AS DECIMAL(38,0))")
-            + F.col(tie_breaker).cast("decimal(38,0)"))
+    tie = F.col(tie_breaker).cast("decimal(20,0)") + F.expr("CAST('9223372036854775809' AS DECIMAL(20,0))")
+    return (us.cast("decimal(18,0)") * F.expr("CAST('20000000000000000000' AS DECIMAL(20,0))")
+            + F.coalesce(tie, F.lit(0).cast("decimal(21,0)"))).cast("decimal(38,0)")
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}

@@ -173,6 +173,16 @@ def q_detect_anomalies(spark, sf):
     return round_cols(T.anomalies_from_events(spark, sf).drop("created_at"), ANOM_ROUND)
 
 
+@register("detect_anomalies_null_type", O.with_anomalies(f"SELECT {ANOM_COLS} FROM anomalies").replace(
+    "THEN 'stock' ELSE 'crypto' END", "THEN 'stock' WHEN event_type <> 'click' THEN 'crypto' END"))
+def q_detect_anomalies_null_type(spark, sf):
+    """Symbols without an asset type are scored like any others."""
+    t = T.ticks_from_events(spark, sf)
+    t = t.withColumn("asset_type", F.when(F.col("symbol") != "click", F.col("asset_type")))
+    w = window_features(t, T.FIXTURE_WIDTH, tie_breaker="event_id")
+    return round_cols(detect_anomalies(w, detected_at="window_end"), ANOM_ROUND)
+
+
 @register("detect_anomalies_lookback20",
           O.with_anomalies(f"SELECT {ANOM_COLS} FROM anomalies", lookback=20))
 def q_detect_anomalies_20(spark, sf):
@@ -596,28 +606,16 @@ def q_run_quality_checks(spark, sf):
 # ---------------------------------------------------------------------------
 
 @register("lineitem_features", (
-    "SELECT l_suppkey::VARCHAR AS symbol, CASE WHEN l_linestatus = 'F' THEN 'stock' "
-    "ELSE 'crypto' END AS asset_type, time_bucket(INTERVAL '7 days', l_shipdate, "
-    "TIMESTAMP '1970-01-01') AS window_start, max(l_extendedprice / l_quantity) AS high_price, "
-    "min(l_extendedprice / l_quantity) AS low_price, "
-    "round(avg(l_extendedprice / l_quantity), 6) AS avg_price, sum(l_quantity) AS total_volume, "
-    "count(*) AS record_count, round(coalesce(stddev_samp(l_extendedprice / l_quantity), 0.0), 6) "
-    "AS rolling_volatility, max(l_quantity) - min(l_quantity) AS volume_delta "
-    "FROM lineitem GROUP BY 1, 2, 3"))
+    f"WITH {O.LINEITEM_TICKS},\n{O.windows_cte('7 days', epoch_origin=True)}\nSELECT {FEAT_COLS} FROM feat"))
 def q_lineitem_features(spark, sf):
     w = window_features(T.ticks_from_lineitem(spark, sf), "7 days", tie_breaker="event_id")
-    return round_cols(w.select("symbol", "asset_type", "window_start", "high_price", "low_price",
-                               "avg_price", "total_volume", "record_count",
-                               "rolling_volatility", "volume_delta"),
-                      ("avg_price", "rolling_volatility"))
+    return round_cols(w, FEAT_ROUND)
 
 
 @register("lineitem_anomalies", (
     f"WITH {O.LINEITEM_TICKS},\n{O.windows_cte('7 days', epoch_origin=True)},\n"
     f"{O.anomalies_cte()}\nSELECT {ANOM_COLS} FROM anomalies"))
 def q_lineitem_anomalies(spark, sf):
-    """One symbol per supplier. Ties on (supplier, day, orderkey, linenumber)
-    with different prices would make open/close ambiguous; there are none at
-    sf0.01, where the oracle runs."""
+    """One symbol per supplier."""
     w = window_features(T.ticks_from_lineitem(spark, sf), "7 days", tie_breaker="event_id")
     return round_cols(detect_anomalies(w, detected_at="window_end"), ANOM_ROUND)

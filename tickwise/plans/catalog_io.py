@@ -11,12 +11,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import recent, threshold_band
+from tickwise import schemas as S
+from tickwise.functions.columns import recent, round_cols, threshold_band
 from tickwise.operators.ticks import (
     align_columns, parse_crypto, parse_stock, select_symbols, unify_ticks,
 )
 from tickwise.plans import oracle as O
-from tickwise.plans.catalog import _clean, register
+from tickwise.plans.catalog import FEAT_COLS, FEAT_ROUND, _clean, register
 from tickwise.session import scratch_path
 from tickwise.sinks.lake import read_lake, write_lake
 from tickwise.sources import payloads as P
@@ -42,14 +43,14 @@ _STOCK_SQL = """SELECT symbol, asset_type,
     AS event_time,
   price, price AS open, price AS high, price AS low, price AS close, volume,
   event_time AS kafka_timestamp
-FROM ticks WHERE asset_type = 'stock' AND NOT coalesce(price >= 450, false)"""
+FROM ticks WHERE asset_type = 'stock'"""
 
 _CRYPTO_SQL = """SELECT symbol, asset_type, event_time, price,
   CASE WHEN symbol = 'view' THEN price END AS open, CASE WHEN symbol = 'view' THEN price END AS high,
   CASE WHEN symbol = 'view' THEN price END AS low, CASE WHEN symbol = 'view' THEN price END AS close,
   CASE WHEN symbol = 'view' THEN 0.0 ELSE coalesce(volume, 0.0) END AS volume,
   event_time AS kafka_timestamp
-FROM ticks WHERE asset_type = 'crypto' AND NOT coalesce(price >= 450, false)"""
+FROM ticks WHERE asset_type = 'crypto'"""
 
 _TS = ("event_time", "kafka_timestamp")
 
@@ -71,20 +72,25 @@ def q_unify_ticks(spark, sf):
     return _ntz(u, *_TS)
 
 
+def _with_tie(sql: str) -> str:
+    return sql.replace("event_time AS kafka_timestamp", "event_id").replace(
+        "price AS open, price AS high, price AS low, price AS close, volume", "volume").replace(
+        """CASE WHEN symbol = 'view' THEN price END AS open, CASE WHEN symbol = 'view' THEN price END AS high,
+  CASE WHEN symbol = 'view' THEN price END AS low, CASE WHEN symbol = 'view' THEN price END AS close,
+  """, "")
+
+
 @register("parsed_window_features", (
-    f"WITH {O.TICKS}, u AS ({_STOCK_SQL}\nUNION ALL\n{_CRYPTO_SQL}),\n"
-    "w AS (SELECT symbol, asset_type, time_bucket(INTERVAL '1 hour', event_time) AS window_start, "
-    "max(price) AS high_price, min(price) AS low_price, sum(volume) AS total_volume, "
-    "count(*) AS record_count FROM u GROUP BY 1, 2, 3)\nSELECT * FROM w"))
+    f"WITH {O.TICKS.replace('ticks AS', 'events_as_ticks AS')}, ticks AS ("
+    + f"{_with_tie(_STOCK_SQL)} UNION ALL {_with_tie(_CRYPTO_SQL)}),\n".replace("FROM ticks", "FROM events_as_ticks")
+    + f"{O.windows_cte('1 hour')}\nSELECT {FEAT_COLS} FROM feat"))
 def q_parsed_window_features(spark, sf):
     """Parse -> unify -> window: the streaming job's batch body, end to end."""
     from tickwise.operators.features import window_features
     u = unify_ticks(parse_stock(T.raw_stock_messages(spark, sf)),
-                    parse_crypto(T.raw_crypto_messages(spark, sf)))
+                    parse_crypto(T.raw_crypto_messages(spark, sf)), [*S.TICK_COLUMNS, "tie"])
     u = u.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-    w = window_features(u, "1 hour")
-    return w.select("symbol", "asset_type", "window_start", "high_price", "low_price",
-                    "total_volume", "record_count")
+    return round_cols(window_features(u, "1 hour", "tie"), FEAT_ROUND)
 
 
 @register("select_symbols", (
@@ -133,18 +139,37 @@ def q_classify_payload(spark, sf):
                 .select("symbol", "fetched_at", "status"), "fetched_at")
 
 
-@register("flatten_spot_prices", f"""WITH {O.TICKS},
-pc AS (SELECT event_id // 8 AS grp, symbol, arg_max(price, event_id) AS price,
-         arg_max(volume, event_id) AS volume, arg_max(event_time, event_id) AS et,
-         max(event_time) AS t_max
-       FROM ticks WHERE asset_type = 'crypto' AND symbol <> 'view' GROUP BY 1, 2),
-g AS (SELECT *, max(t_max) OVER (PARTITION BY grp) AS fetched FROM pc)
+_DEFECTS = f"""WITH {O.TICKS},
+p AS (SELECT *, max(event_time) OVER g AS fetched, CASE WHEN min(price) OVER g < 1 THEN 'rate_limited'
+        WHEN max(price) OVER g > 470 THEN 'error' WHEN count(*) OVER g = 1 THEN 'empty' ELSE 'ok' END AS status
+      FROM ticks WHERE asset_type = 'stock' WINDOW g AS (PARTITION BY symbol, event_id // 4))
+"""
+
+
+@register("flatten_intraday_defects", _DEFECTS + f"""SELECT symbol, 'stock' AS asset_type,
+  strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, price AS open, price AS high, price AS low, price AS close,
+  CASE WHEN price < 5 THEN 0.0 WHEN price < 6 THEN NULL ELSE coalesce(volume, 0.0) END AS volume,
+  {_iso('fetched')} AS ingested_at FROM p WHERE status = 'ok'""")
+def q_flatten_intraday_defects(spark, sf):
+    """A missing field is 0, an unreadable one null."""
+    return P.flatten_intraday(T.intraday_payloads(spark, sf, with_defects=True))
+
+
+@register("payload_rejects", _DEFECTS + """SELECT DISTINCT symbol, fetched AS fetched_at, status,
+  NULL::VARCHAR AS timestamp, NULL::VARCHAR AS field, NULL::VARCHAR AS value FROM p WHERE status <> 'ok'
+UNION ALL SELECT symbol, fetched, 'unreadable', strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), '5. volume', 'n/a'
+FROM p WHERE status = 'ok' AND price >= 5 AND price < 6""")
+def q_payload_rejects(spark, sf):
+    return _ntz(P.payload_rejects(T.intraday_payloads(spark, sf, with_defects=True)), "fetched_at")
+
+
+@register("flatten_spot_prices", f"""WITH {O.TICKS}
 SELECT symbol, 'crypto' AS asset_type,
-  CASE WHEN price < 2 THEN {_iso('fetched')}
-       ELSE strftime(date_trunc('second', et), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS timestamp,
+  CASE WHEN price < 2 THEN {_iso('event_time')}
+       ELSE strftime(date_trunc('second', event_time), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS timestamp,
   coalesce(price, 0.0) AS price, coalesce(price * 1000, 0.0) AS market_cap,
-  coalesce(volume, 0.0) AS volume_24h, 0.5 AS change_24h_pct, {_iso('fetched')} AS ingested_at
-FROM g""")
+  coalesce(volume, 0.0) AS volume_24h, 0.5 AS change_24h_pct, {_iso('event_time')} AS ingested_at
+FROM ticks WHERE asset_type = 'crypto' AND symbol <> 'view'""")
 def q_flatten_spot_prices(spark, sf):
     return P.flatten_spot_prices(T.spot_payloads(spark, sf))
 

@@ -18,7 +18,8 @@ TICKS = """ticks AS (
 LINEITEM_TICKS = """ticks AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS symbol,
          CASE WHEN l_linestatus = 'F' THEN 'stock' ELSE 'crypto' END AS asset_type,
-         l_shipdate AS event_time, l_orderkey * 8 + l_linenumber AS event_id,
+         l_shipdate AS event_time, (l_orderkey * 8 + l_linenumber) * 1073741824
+           + CAST(l_extendedprice * 100 AS BIGINT) * 64 + CAST(l_quantity AS BIGINT) AS event_id,
          l_extendedprice / l_quantity AS price, l_quantity AS volume
   FROM lineitem)"""
 

@@ -1,7 +1,7 @@
 """Declared schemas and fixed values of the tick pipeline."""
 
 from pyspark.sql.types import (
-    DoubleType, LongType, StringType, StructField, StructType, TimestampType,
+    DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 # ---------------------------------------------------------------------------
@@ -21,7 +21,7 @@ SEVERITY_MEDIUM_Z = 4.0    # abs(z) > 4  -> medium, else low
 FALLBACK_RETURN_PCT = 3.0  # abs(return %) > 3
 FALLBACK_VOL_RATIO = 0.02  # volatility > 2 % of the average price
 DEFAULT_WIDTH = "5 minutes"
-STOCK_TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
+STOCK_TS_REGEX = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"   # yyyy-MM-dd HH:mm:ss
 DEFAULT_STOCK_SYMBOLS = "AAPL,MSFT,GOOGL,AMZN,TSLA"
 DEFAULT_CRYPTO_IDS = "bitcoin,ethereum,solana,cardano,ripple"
 TOPIC_RAW_STOCK = "raw_stock_ticks"
@@ -57,7 +57,8 @@ def _s(*fields):
 
 
 RAW_MESSAGE = _s(("msg_key", StringType()), ("json_value", StringType()),
-                 ("topic", StringType()), ("kafka_timestamp", TimestampType()))
+                 ("topic", StringType()), ("kafka_timestamp", TimestampType()),
+                 ("partition", IntegerType()), ("offset", LongType()))
 
 RAW_STOCK = _s(("symbol", StringType()), ("asset_type", StringType()),
                ("timestamp", StringType()), ("open", DoubleType()),

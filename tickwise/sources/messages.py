@@ -1,5 +1,5 @@
-"""Raw message sources with the 4-column contract
-``msg_key, json_value, topic, kafka_timestamp``."""
+"""Raw message sources with the contract ``msg_key, json_value, topic,
+kafka_timestamp, partition, offset`` (the last two null where unknown)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ def kafka_projection(df: DataFrame) -> DataFrame:
     """Kafka record -> message contract (key/value bytes decoded to text)."""
     return df.selectExpr("CAST(key AS STRING) AS msg_key",
                          "CAST(value AS STRING) AS json_value",
-                         "topic", "timestamp AS kafka_timestamp")
+                         "topic", "timestamp AS kafka_timestamp", "partition", "offset")
 
 
 def read_kafka_ticks(spark: SparkSession, topic: str, servers: str,

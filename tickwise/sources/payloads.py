@@ -52,19 +52,35 @@ def classify_payload(payloads: DataFrame) -> DataFrame:
 def flatten_intraday(payloads: DataFrame, keep_fetch: bool = False) -> DataFrame:
     """``{"Time Series (5min)": {ts: {"1. open": ..}}}`` -> one stock tick per ts.
 
-    Missing fields default to 0; non-numeric text becomes null.
+    A missing field is 0; a field that is there but unreadable is null (see
+    ``payload_rejects``).
     ``keep_fetch`` keeps ``fetched_at`` (the response identity with symbol).
     """
     p = F.from_json(F.col("payload"), _INTRADAY)
     rows = payloads.select("symbol", "fetched_at",
                            F.explode(p[S.INTRADAY_SERIES_KEY]).alias("timestamp", "f"))
-    vals = [F.coalesce(F.col("f")[key].try_cast("double"), F.lit(0.0)).alias(name)
-            for name, key in S.INTRADAY_FIELDS]
+    vals = [F.when(F.map_contains_key("f", F.lit(key)), F.col("f")[key].try_cast("double"))
+            .otherwise(F.lit(0.0)).alias(name) for name, key in S.INTRADAY_FIELDS]
     extra = ["fetched_at"] if keep_fetch else []
     return rows.select("symbol", *extra, F.lit("stock").alias("asset_type"), "timestamp", *vals,
                        iso_text(F.col("fetched_at")).alias("ingested_at"))
 
 
+def payload_rejects(payloads: DataFrame) -> DataFrame:
+    """The dead letters of intraday payloads: one row for each response that is
+    not ok (its status), and one for each field of an ok response that is there
+    but unreadable (status ``unreadable``, with time and field)."""
+    graded = classify_payload(payloads)
+    whole = graded.filter("status <> 'ok'").select(
+        "symbol", "fetched_at", "status", F.lit(None).cast("string").alias("timestamp"),
+        F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"))
+    ok = graded.filter("status = 'ok'").select("symbol", "fetched_at", F.explode(
+        F.from_json(F.col("payload"), _INTRADAY)[S.INTRADAY_SERIES_KEY]).alias("timestamp", "f"))
+    bad = ok.select("symbol", "fetched_at", "timestamp", F.explode("f").alias("field", "value")).filter(
+        F.col("field").isin(*(key for _, key in S.INTRADAY_FIELDS)) & F.col("value").try_cast("double").isNull())
+    return whole.unionByName(bad.withColumn("status", F.lit("unreadable")))
+
+
 def flatten_spot_prices(payloads: DataFrame) -> DataFrame:
     """``{coin: {usd, usd_market_cap, usd_24h_vol, usd_24h_change, last_updated_at}}``
     -> one crypto tick per coin. Epoch seconds -> UTC ISO text; a missing or 0
