@@ -553,7 +553,7 @@ def q_load_verification(spark, sf):
     "(SELECT count(*) AS new_anomalies FROM anomalies WHERE symbol <> 'SYSTEM' AND created_at > "
     "(SELECT max(created_at) FROM clean) - INTERVAL 10 MINUTE) a"))
 def q_load_status(spark, sf):
-    return Q.load_status(_clean(spark, sf), _anoms(spark, sf))
+    return Q.load_status(*T.clean_and_anomalies(spark, sf))
 
 
 @register("pipeline_health", O.with_clean(
@@ -574,14 +574,14 @@ def q_pipeline_health(spark, sf):
     "(SELECT round(avg(record_count), 1) FROM clean WHERE window_start > "
     "(SELECT max(window_start) FROM clean) - INTERVAL 1 HOUR) AS avg_ticks_per_window"))
 def q_quality_summary(spark, sf):
-    return Q.quality_summary(_clean(spark, sf), _anoms(spark, sf))
+    return Q.quality_summary(*T.clean_and_anomalies(spark, sf))
 
 
 @register("row_counts", O.with_both(
     "SELECT 'clean_market_data' AS table_name, count(*) AS row_count FROM clean UNION ALL "
     "SELECT 'market_anomalies', count(*) FROM anomalies WHERE symbol <> 'SYSTEM'"))
 def q_row_counts(spark, sf):
-    return Q.row_counts(_clean(spark, sf), _anoms(spark, sf))
+    return Q.row_counts(*T.clean_and_anomalies(spark, sf))
 
 
 @register("run_quality_checks", O.with_both(
@@ -598,7 +598,7 @@ def q_row_counts(spark, sf):
     "ELSE 'WARNING' END FROM clean WHERE created_at > "
     "(SELECT max(created_at) FROM clean) - INTERVAL 10 MINUTE"))
 def q_run_quality_checks(spark, sf):
-    return Q.run_quality_checks(_clean(spark, sf), _anoms(spark, sf))
+    return Q.run_quality_checks(_clean(spark, sf))
 
 
 # ---------------------------------------------------------------------------

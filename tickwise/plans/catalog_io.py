@@ -267,6 +267,15 @@ def q_read_lake(spark, sf):
                             F.col("total_volume").alias("volume")), "window_start")
 
 
+@register("lake_partitions", O.with_clean(
+    "SELECT CAST(window_start AS DATE) AS date, asset_type, count(*) AS row_count FROM clean GROUP BY 1, 2"))
+def q_lake_partitions(spark, sf):
+    from tickwise.plans.quality import lake_partitions
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    write_lake(T.windows_from_events(spark, sf), path, batch_id=0)
+    return lake_partitions(read_lake(spark, path))
+
+
 @register("lake_inventory", None)
 def q_lake_inventory(spark, sf):
     """Write the feature windows as a lake, then inventory its files (rows-only:

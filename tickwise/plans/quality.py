@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tickwise import schemas as S
 from tickwise.functions.columns import not_system, recent, round_half_away, safe_ratio
 from tickwise.plans.reports import _as_of
+from tickwise.session import materialize
 
 
 def dq_nulls(clean: DataFrame) -> DataFrame:
@@ -94,6 +95,7 @@ def pipeline_health(clean: DataFrame, as_of=None,
     The reference phrases "new rows" as a correlated subquery per symbol;
     here it is a conditional count in the same aggregation (one scan).
     """
+    clean = materialize(clean, "health-input") if as_of is None else clean
     a = _as_of(clean, "created_at", as_of)
     return (clean.groupBy("symbol")
             .agg(F.count(F.lit(1)).alias("total_rows"),
@@ -128,33 +130,59 @@ def row_counts(clean: DataFrame, anomalies: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def lake_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, length, modificationTime and partition folder of every Parquet file of a
+    lake: one row per file, no file is opened (the content column is pruned)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime"))
+    return files.withColumn("partition", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+
+
+def newest_files(spark: SparkSession, path: str, n: int = S.NEWEST_FILES) -> DataFrame:
+    """The ``n`` files written last."""
+    return lake_files(spark, path).orderBy(F.desc("modificationTime"), "path").limit(n)
+
+
+def newest_partitions(spark: SparkSession, path: str, n: int = S.NEWEST_PARTITIONS) -> DataFrame:
+    """The ``n`` partition folders written last, with files and bytes."""
+    return (lake_files(spark, path).groupBy("partition")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                 F.max("modificationTime").alias("last_write"))
+            .orderBy(F.desc("last_write"), "partition").limit(n))
+
+
+def lake_partitions(lake: DataFrame) -> DataFrame:
+    """Rows of every (date, asset_type) partition of a lake."""
+    return lake.groupBy("date", "asset_type").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def lake_inventory(spark: SparkSession, path: str, as_of=None,
                    interval: str = S.RECENT_LOAD) -> DataFrame:
-    """Files, recently written files, bytes and partitions of a Parquet lake.
-
-    Reads only the ``_metadata`` columns (file path, size, modification time)
-    through the normal distributed scan: no driver-side listing loop.
-    """
-    m = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size",
-                                        "_metadata.file_modification_time").distinct()
+    """Files, recently written files, bytes and partitions of a Parquet lake."""
     a = as_of if isinstance(as_of, Column) else (F.current_timestamp() if as_of is None
                                                  else F.lit(as_of))
-    part = F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1)
-    out = m.agg(F.count(F.lit(1)).alias("files"),
-                F.count_if(recent("file_modification_time", a, interval)).alias("recent_files"),
-                F.sum("file_size").alias("bytes"),
-                F.count_distinct(part).alias("partitions"))
+    out = lake_files(spark, path).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(recent("modificationTime", a, interval)).alias("recent_files"),
+        F.sum("length").alias("bytes"), F.count_distinct("partition").alias("partitions"))
     return out.withColumn(
         "status", F.when(F.col("recent_files") > 0, "SUCCESS")
         .when(F.col("files") > 0, "OK").otherwise("INFO"))
 
 
-def run_quality_checks(clean: DataFrame, anomalies: DataFrame, as_of=None) -> DataFrame:
-    """All scalar checks as (check, value, status) rows."""
+def run_quality_checks(clean: DataFrame, anomalies: DataFrame | None = None, as_of=None) -> DataFrame:
+    """All scalar checks as (check, value, status) rows, over one stored copy of
+    ``clean``. ``anomalies`` is accepted for callers that have both tables; no
+    check needs it."""
+    clean = materialize(clean, "quality-input")
+
     def one(name, df, value_col):
         return df.select(F.lit(name).alias("check"),
                          F.col(value_col).cast("string").alias("value"), "status")
+    a = _as_of(clean, "created_at", as_of)
+    new = F.count_if(recent("created_at", a, S.RECENT_LOAD))
+    load = clean.agg(new.alias("new_rows"), F.when(new > 0, "SUCCESS").otherwise("WARNING").alias("status"))
     return (one("nulls", dq_nulls(clean), "null_rows")
             .unionByName(one("duplicates", dq_duplicates(clean), "duplicate_groups"))
             .unionByName(one("freshness", data_freshness(clean, as_of), "latest_window"))
-            .unionByName(one("load", load_status(clean, anomalies, as_of), "new_rows")))
+            .unionByName(one("load", load, "new_rows")))

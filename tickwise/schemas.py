@@ -32,6 +32,7 @@ FRESHNESS_LIMIT = "15 minutes"
 RECENT_LOAD = "10 minutes"
 DUPLICATE_TOLERANCE = 5
 PRICE_RANGE_RATIO = 100.0
+NEWEST_FILES, NEWEST_PARTITIONS = 20, 10
 # dashboard colour steps: (lower bound of the 2nd band, lower bound of the 3rd)
 ANOMALY_COUNT_BANDS = (1.0, 10.0)       # green / orange / red (provisioned panel)
 ANOMALY_COUNT_BANDS_ALT = (5.0, 20.0)   # green / yellow / red (generated panel)

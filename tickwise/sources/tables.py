@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators.anomalies import detect_anomalies
 from tickwise.operators.features import to_clean, window_features
+from tickwise.session import materialize
 
 STOCK_EVENT_TYPES = ("purchase", "signup")
 FIXTURE_WIDTH = "1 hour"
@@ -76,6 +77,13 @@ def anomalies_from_events(spark, sf_dir, width: str = FIXTURE_WIDTH,
     return a.withColumn("created_at", F.col("window_end"))
 
 
+def clean_and_anomalies(spark, sf_dir, width: str = FIXTURE_WIDTH) -> tuple[DataFrame, DataFrame]:
+    """Both tables over one stored copy of the windows, so the ticks are read once."""
+    windows = materialize(windows_from_events(spark, sf_dir, width), "windows")
+    clean = to_clean(windows).withColumn("created_at", F.col("window_end"))
+    return clean, detect_anomalies(windows, detected_at="window_end").withColumn("created_at", F.col("window_end"))
+
+
 # ---------------------------------------------------------------------------
 # raw JSON messages derived from events (for the parse operators)
 # ---------------------------------------------------------------------------

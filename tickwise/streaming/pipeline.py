@@ -211,6 +211,18 @@ def jdbc_sink(url: str, properties: dict | None = None, clean_table: str = S.TOP
     return sink
 
 
+def kafka_sink(servers: str, clean_topic: str = S.TOPIC_CLEAN, anomalies_topic: str = S.TOPIC_ANOMALIES
+               ) -> Callable[[DataFrame, DataFrame, int], None]:
+    """An ``extra_sinks`` entry that publishes windows and anomalies to the two
+    result topics (at least once: a replayed batch is published again)."""
+    from tickwise.sinks.kafka import write_kafka
+
+    def sink(windows: DataFrame, anomalies: DataFrame, batch_id: int) -> None:
+        write_kafka(windows, clean_topic, servers)
+        write_kafka(anomalies, anomalies_topic, servers)
+    return sink
+
+
 def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path: str,
                              width: str = S.DEFAULT_WIDTH, threshold: float = S.Z_SCORE_THRESHOLD,
                              mode: str = "compat", min_rows: int = 2,
