@@ -31,11 +31,15 @@ from pyspark.sql import functions as F
 
 from tickwise.llm.boosting import Trees, fit
 from tickwise.llm.bpe import slices
-from tickwise.llm.common import as_text, shared
+from tickwise.llm.common import as_text, shared, store
+from tickwise.llm.minhash import SHINGLE_WORDS, shingles
 from tickwise.llm.quality_model import MAX_TRAINING_ROWS, one_for_each_id, training_rows
 
-#: Bounds of the lexicon: terms, texts with a term, words with a beginning, share of toxic texts.
-MAX_TERMS, MIN_TEXTS, MIN_FORMS, MIN_TOXIC_SHARE = 1_000, 5, 4, 0.8
+#: Bounds of the lexicon: terms; toxic texts that have a term, and in a hundred of
+#: them; words with a beginning; share of toxic ones in the texts with a term.
+MAX_TERMS, MIN_TEXTS, MIN_PERCENT, MIN_FORMS, MIN_TOXIC_SHARE = 1_000, 5, 1, 4, 0.95
+#: A longer beginning is preferred if it has this share of the toxic texts of a shorter one.
+SAME_TEXTS = 0.95
 WORD_CHARS, PREFIX_CHARS = (4, 24), (4, 8)
 #: Words on either side that make the context of a finding.
 CONTEXT_WORDS = 6
@@ -109,13 +113,12 @@ class Lexicon:
             for c in t.text:
                 node = node[0].setdefault(c, [{}, None])
             node[1] = i if node[1] is None or terms[node[1]].beginning else node[1]
-            n = edits(len(t.text)) + 1
+            n = 1 if t.beginning else edits(len(t.text)) + 1
             cut = [len(t.text) * k // n for k in range(n + 1)]
             parts = [t.text[a:b] for a, b in zip(cut, cut[1:])]
             heads.add(parts[0])
-            if not t.beginning and n > 1:
-                tails.add(parts[-1])
-            middles.update(parts[1:] if t.beginning else parts[1:-1])
+            tails.update(parts[-1:] if n > 1 else ())
+            middles.update(parts[1:-1])
 
         def either(parts: set[str]) -> str:
             return "(?:" + "|".join(map(re.escape, sorted(parts))) + ")"
@@ -124,7 +127,8 @@ class Lexicon:
         self.possible = re.compile("|".join(x for x in some if x)).search if terms else lambda _: None
 
     def lookup(self, word: str) -> tuple[int, int] | None:
-        """(term, distance) of the nearest term, the first of equals; an exact word before a beginning."""
+        """(term, distance) of the nearest term, the first of equals; an exact word
+        before a beginning, which has to be exact itself."""
         if (i := self.exact.get(word)) is not None:
             return i, 0
         auto, found = Automaton(word, 2), []
@@ -133,8 +137,8 @@ class Lexicon:
             if node[1] is not None:
                 term = self.terms[node[1]]
                 most = edits(len(term.text))
-                d = min((e for _, e in state), default=None) if term.beginning else auto.distance(state)
-                if d is not None and d <= most and (d == 0 or len(word) >= 5):
+                d = min(e for _, e in state) if term.beginning else auto.distance(state)
+                if d is not None and d <= (0 if term.beginning else most) and (d == 0 or len(word) >= 5):
                     found.append((d, node[1]))
             for c, child in node[0].items():
                 if after := auto.step(state, c):
@@ -158,16 +162,20 @@ class Finder:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.known: dict[str, tuple[int, int]] = {}
+        self.others: set[str] = set()
 
     def learn(self, tokens: set[str]) -> None:
-        if len(self.known) > 100_000:
-            self.known.clear()
+        for memory in (self.known, self.others):
+            if len(memory) > 300_000:
+                memory.clear()
         possible, lookup = self.lexicon.possible, self.lexicon.lookup
         for t in tokens:
-            if 4 <= len(t) <= 40:
-                word = t if t.isalpha() else fold(t)
-                if possible(word) and t not in self.known and (found := lookup(word)):
-                    self.known[t] = found
+            if 4 <= len(t) <= 40 and possible(word := t if t.isalpha() else fold(t)):
+                if t not in self.known and t not in self.others:
+                    if found := lookup(word):
+                        self.known[t] = found
+                    else:
+                        self.others.add(t)
 
     def find(self, texts: list[str]) -> list[tuple[list[float], list[dict]]]:
         """Values and hits of each text."""
@@ -210,10 +218,22 @@ class Finder:
         return [float(v[n]) for n in VALUES], hits
 
 
+def one_of_copies(rows: DataFrame) -> DataFrame:
+    """label, text of one training row of those with the same least shingle hash, so
+    that the words of a text do not count for each of its copies."""
+    @F.pandas_udf("bigint")
+    def least(texts: pd.Series) -> pd.Series:
+        found = [shingles(t.encode("utf-8", "replace"), SHINGLE_WORDS).view(np.int64) for t in texts]
+        return pd.Series([int(s.min()) if len(s) else 0 for s in found])
+    first = rows.groupBy(least("text").alias("key")).agg(F.min_by(F.struct("label", "text"), "id").alias("r"))
+    return first.select("r.label", "r.text")
+
+
 def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
     """Terms from training rows (id, text, label), counted by Spark over the
-    distinct words of each text. At most ``max_terms`` candidates of either kind
-    come to the driver."""
+    distinct words of each text, copies apart. At most ``max_terms`` candidates of
+    either kind come to the driver."""
+    rows = store(one_of_copies(rows), "lexicon-texts")
     least, most = WORD_CHARS
     words = (rows.select("label", F.explode(F.array_distinct(
                 F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))).alias("term"))
@@ -227,19 +247,23 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
                                      F.sum((F.col("toxic") > 0).cast("int")).alias("forms"))
                 .filter(F.col("forms") >= MIN_FORMS).drop("forms"))
 
+    toxic_texts = rows.filter("label = 1").count()
+    least_texts = max(MIN_TEXTS, toxic_texts * MIN_PERCENT // 100)
+
     def best(counts: DataFrame) -> list:
-        good = counts.filter((F.col("toxic") >= MIN_TEXTS) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("all")))
+        good = counts.filter((F.col("toxic") >= least_texts) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("all")))
         return good.orderBy(F.desc("toxic"), "term").limit(max_terms).collect()
 
     def weight(r) -> float:
         return float(np.log(r["toxic"] + 0.5) - np.log(r["all"] - r["toxic"] + 0.5))
     out: dict[str, Term] = {}
-    for r in sorted(best(prefixes), key=lambda r: (len(r["term"]), r["term"])):
-        if not any(r["term"][:k] in out for k in range(short, len(r["term"]) + 1)):
-            out[r["term"]] = Term(r["term"], weight(r), True)
-    prefixes_only = set(out)
+    found = sorted(best(prefixes), key=lambda r: (len(r["term"]), r["term"]))
+    for r in found:
+        if not any(r["term"].startswith(t) for t in out):
+            longer = [x for x in found if x["term"].startswith(r["term"]) and x["toxic"] >= SAME_TEXTS * r["toxic"]]
+            out[r["term"]] = Term(longer[-1]["term"], weight(longer[-1]), True)
     exact = [Term(r["term"], weight(r)) for r in best(words)
-             if not any(r["term"][:k] in prefixes_only for k in range(short, len(r["term"]) + 1))]
+             if not any(r["term"].startswith(t.text) for t in out.values())]
     return [*exact, *out.values()]
 
 
