@@ -33,8 +33,11 @@ def test_trees_learn_and_flatten():
     assert (boosting.fit(x[:9], np.ones(9)).score(x[:3]) > 0.8).all()
 
 
-def scored(spark, label, train, score, column):
-    docs, labels = table(spark, SF_MID, "documents"), table(spark, SF_MID, "labels")
+SF_LARGE = "/root/testdata/sf0.1"      # only some tenth of the labels are toxic
+
+
+def scored(spark, label, train, score, column, sf_dir=SF_MID):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train(docs, labels)
     rows = score(docs, model).select("doc_id", held_out().alias("out"), F.col(column).alias("s")).join(labels, "doc_id")
     got = rows.filter("out").select("s", label).toPandas()
@@ -54,11 +57,11 @@ def test_quality_of_held_out_rows(spark):
 
 
 def test_toxicity_of_held_out_rows(spark):
-    model, score, label = scored(spark, "toxic", toxicity.train, toxicity.score, "toxicity.score")
+    model, score, label = scored(spark, "toxic", toxicity.train, toxicity.score, "toxicity.score", SF_LARGE)
     assert area(score, label) > 0.9
-    rows = [(1, "You are an idiot and a moron, " + "plain words here " * 20), (2, "plain words here " * 20), *X.texts()]
-    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(X.frame(spark, rows), model).collect() if r["doc_id"] in (1, 2)}
-    assert got[1]["score"] > got[2]["score"] and 0 <= got[2]["score"] <= 1
+    rows = [(5001, "You are an idiot and a moron, " + "plain words here " * 20), (5002, "plain words here " * 20), *X.texts()]
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(X.frame(spark, rows), model).collect() if r["doc_id"] in (5001, 5002)}
+    assert got[5001]["score"] > got[5002]["score"] and 0 <= got[5002]["score"] <= 1
     assert toxicity.score(X.frame(spark, []), model).count() == 0
 
 
@@ -101,11 +104,11 @@ def test_lines_are_judged_alone(spark):
            "a line of many words that never comes to any end at all"]
     assert quality_rules.judge(good) is None and [quality_rules.judge(b) for b in bad] == list(quality_rules.REASONS)
     lines = [f"{good} {i} is its number, and this text goes on for some more words." for i in range(6)]
-    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, *bad])), (3, "\n".join([good + f" {i}." for i in range(7)][:1] + bad * 30)), *X.texts()]
+    rows = [(5001, "\n".join(lines)), (5002, "\n".join([*lines, *bad])), (5003, "\n".join([good + f" {i}." for i in range(7)][:1] + bad * 30)), *X.texts()]
     rules = F.col("rules")
     got = {r["doc_id"]: r for r in quality_rules.clean(X.frame(spark, rows)).select(
         "doc_id", "rules", quality_rules.base_failed(rules).alias("failed"), quality_rules.keeps(rules).alias("keeps")).collect()}
-    assert got[1]["keeps"] and got[2]["keeps"] and not got[3]["keeps"]
-    assert got[2]["rules"]["text"] == "\n".join(lines) and len(got[2]["rules"]["removed"]) == 5
+    assert got[5001]["keeps"] and got[5002]["keeps"] and not got[5003]["keeps"]
+    assert got[5002]["rules"]["text"] == "\n".join(lines) and len(got[5002]["rules"]["removed"]) == 5
     assert all(got[i]["failed"] and not got[i]["keeps"] for i in (400, 401, 402, 403, 409))
     assert quality_rules.clean(X.frame(spark, [])).count() == 0
