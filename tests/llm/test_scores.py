@@ -103,7 +103,7 @@ def test_lines_are_judged_alone(spark):
     bad = ["Home | News | Sport | About", "All rights reserved. Example Ltd.", "### a *** b %%% c", "BUY NOW THE BEST OFFER OF THE WHOLE YEAR.",
            "a line of many words that never comes to any end at all"]
     assert quality_rules.judge(good) is None and [quality_rules.judge(b) for b in bad] == list(quality_rules.REASONS)
-    lines = [f"{good} {i} is its number, and this text goes on for some more words." for i in range(6)]
+    lines = [" ".join(f"word{i}of{j}" for i in range(14)) + "." for j in range(6)]
     rows = [(5001, "\n".join(lines)), (5002, "\n".join([*lines, *bad])), (5003, "\n".join([good + f" {i}." for i in range(7)][:1] + bad * 30)), *X.texts()]
     rules = F.col("rules")
     got = {r["doc_id"]: r for r in quality_rules.clean(X.frame(spark, rows)).select(
