@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import pickle
+import time
 import uuid
 from collections.abc import Callable
 from typing import Any
@@ -33,9 +34,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps whose results are
     written: it does so when the driver has collected its garbage, and a job of
-    several steps would otherwise hold the files of all of them at once."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    several steps would otherwise hold the files of all of them at once. No
+    DataFrame that holds a shuffle of a finished step may still have a name."""
+    for _ in range(2):  # Python tells the driver's JVM a moment later what it has dropped
+        gc.collect()
+        time.sleep(1)
+        spark.sparkContext._jvm.System.gc()
 
 
 #: Rows in an Arrow batch, where the session has Spark's default.

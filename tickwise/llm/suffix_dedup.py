@@ -212,14 +212,18 @@ def sort_suffixes(buffer: bytes, starts: np.ndarray, group: np.ndarray) -> tuple
         step = np.lexsort((symbol, segment))
         order, symbol, segment = order[step], symbol[step], segment[step]
         segment = np.cumsum(np.r_[True, (segment[1:] != segment[:-1]) | (symbol[1:] != symbol[:-1])])
-    label, runs = np.zeros(len(order), np.int64), _runs(segment)
-    count = 0
+    runs = _runs(segment)
     sizes = np.diff(runs)
-    alone = np.flatnonzero(sizes == 1)
-    label[runs[alone]] = np.arange(len(alone))
-    count = len(alone)
-    at = (starts[order] + SHALLOW).tolist()
-    for a, b in zip(runs[:-1][sizes > 1].tolist(), runs[1:][sizes > 1].tolist()):
+    # a group whose suffixes all equal its first one would be a trie of one leaf
+    place = starts[order]
+    first = np.repeat(place[runs[:-1]], sizes)
+    same = np.ones(len(order), bool)
+    for depth in sorted({*range(SHALLOW, SPAN - 7, 8), SPAN - 8}):
+        same &= words[place + depth] == words[first + depth]
+    one = np.logical_and.reduceat(same, runs[:-1]) if len(order) else np.zeros(0, bool)
+    label, count = np.repeat(one.cumsum() - 1, sizes), int(one.sum())
+    at = (place + SHALLOW).tolist()
+    for a, b in zip(runs[:-1][~one].tolist(), runs[1:][~one].tolist()):
         leaves = blind_trie([buffer[x:x + SPAN - SHALLOW] for x in at[a:b]])
         if len(leaves) > 1:
             order[a:b] = order[a:b][[i for leaf in leaves for i in leaf]]
@@ -321,6 +325,21 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
 
 
+def repeated_anchors(rows: DataFrame) -> DataFrame:
+    """id, ats: the places of the document's anchors whose gram is in two documents."""
+    found = (rows.select("id", "data").mapInArrow(_emit_anchors, _ddl(_ANCHORS)).repartition("key")
+             .sortWithinPartitions("key").mapInArrow(_repeated, "id long, at int"))
+    return found.groupBy("id").agg(F.collect_list("at").alias("ats"))
+
+
+def sorted_spans(rows: DataFrame, wanted: DataFrame, copies: DataFrame) -> DataFrame:
+    """id, t, spans covered by smaller ids, of rows that are no whole copies."""
+    own = rows.select("id", "t", "data").join(wanted, "id").join(copies, ["id", "t"], "left_anti")
+    spans = (own.mapInArrow(_emit_contexts, _ddl(_CONTEXTS)).repartition("key").sortWithinPartitions("key")
+             .mapInArrow(_sorted_contexts, _ddl(_SPANS)))
+    return spans.groupBy("id", "t").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """id, t, spans (lo, n; overlapping, unsorted) of ``rows`` (id, t, u, data);
     ``u`` is a second hash of the text. Whole repeated texts have a null for spans."""
@@ -329,14 +348,9 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     least = store(seen.groupBy("t", "u").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                   .filter("least < most").select("t", "u", "least"), "suffix-copies")
     copies = store(seen.join(least, ["t", "u"]).filter("id > least").select("id", "t").distinct(), "suffix-whole")
-    found = (rows.select("id", "data").mapInArrow(_emit_anchors, _ddl(_ANCHORS)).repartition("key")
-             .sortWithinPartitions("key").mapInArrow(_repeated, "id long, at int"))
-    wanted = store(found.groupBy("id").agg(F.collect_list("at").alias("ats")), "suffix-anchors")
+    wanted = store(repeated_anchors(rows), "suffix-anchors")
     release(spark)
-    own = rows.select("id", "t", "data").join(wanted, "id").join(copies, ["id", "t"], "left_anti")
-    spans = (own.mapInArrow(_emit_contexts, _ddl(_CONTEXTS)).repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_sorted_contexts, _ddl(_SPANS)))
-    merged = store(spans.groupBy("id", "t").agg(F.collect_list(F.struct("lo", "n")).alias("spans")), "suffix-spans")
+    merged = store(sorted_spans(rows, wanted, copies), "suffix-spans")
     release(spark)
     return merged.unionByName(copies.withColumn("spans", F.lit(None).cast("array<struct<lo:int,n:int>>")))
 
