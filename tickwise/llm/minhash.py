@@ -41,13 +41,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import as_bytes, store
+from tickwise.llm.common import as_bytes, release, store
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Slots of a signature; 32 bands of 4 miss a pair of similarity 0.8 once in 20 million.
 SLOTS, BANDS = 128, 32
 #: Members up to which a bucket's remaining pairs are compared one by one.
 SMALL = 16
+#: Tokens before a common one that are looked at, lest a pair is met at each.
+BEFORE = 64
 #: Elements whose signatures are made at once.
 ELEMENTS = 200_000
 
@@ -156,7 +158,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     own = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return store(pairs.join(own, "a").join(other, "b").filter(similar("text_a", "text_b")).select("a", "b"), "near-links")
+    return pairs.join(own, "a").join(other, "b").filter(similar("text_a", "text_b")).select("a", "b")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -181,20 +183,22 @@ def forest(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label (least node of its component) of all nodes that have a link."""
+    """node, label (least node of its component) of all nodes that have a link.
+    Every round takes the least label among a node and its neighbours, and then
+    the label of that label; labels only fall, so an equal sum ends the rounds."""
     spread = forest(links)
-    edges = store(spread.unionByName(spread.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
-    state = store(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "near-labels")
-    while True:
-        theirs = state.select(F.col("node").alias("b"), F.col("label").alias("other"))
-        least = edges.join(theirs, "b").groupBy(F.col("a").alias("node")).agg(F.min("other").alias("least"))
-        met = state.join(least, "node").select("node", F.col("label").alias("before"), F.least("label", "least").alias("label"))
-        jump = met.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = store(met.join(jump, "label", "left").select(
-            "node", "before", F.least("label", "further").alias("label")), "near-labels")
-        state = after.select("node", "label")
-        if after.filter("before <> label").isEmpty():
-            return state
+    back = spread.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    ends = spread.select("a", F.col("a").alias("b")).unionByName(back.select("a", F.col("a").alias("b")))
+    edges = store(spread.unionByName(back).unionByName(ends).distinct(), "near-edges")
+    state = store(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "near-labels")
+    before = None
+    while (total := state.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]) != before:
+        before = total
+        theirs = state.select(F.col("node").alias("b"), "label")
+        least = edges.join(theirs, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
+        jump = state.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        state = store(least.join(jump, "label").select("node", F.col("further").alias("label")), "near-labels")
+    return state
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -233,20 +237,27 @@ def _large_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) ->
     ranked = (items.join(counts, "token").groupBy("node", "label", "n")
               .agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("s")))
     ends = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    front = store(ranked.select("node", "label", "n", F.posexplode(F.slice("s", 1, ends.cast("int"))).alias("at", "x"))
-                  .filter("x.c > 1").select("node", "label", "n", "at", F.col("x.token").alias("token")), "near-front")
+    placed = F.transform(F.slice("s", 1, ends.cast("int")), lambda x, i: F.struct(i.alias("at"), x["c"].alias("c"), x["token"].alias("token")))
+    common = ranked.select("node", "label", "n", F.filter(placed, lambda x: x["c"] > 1).alias("s"))
+    # the tokens before one: a pair that has one of them in common is met there already
+    with_before = F.transform("s", lambda x, i: F.struct(
+        x["at"].alias("at"), x["token"].alias("token"),
+        F.transform(F.slice("s", F.greatest(F.lit(1), i - (BEFORE - 1)), F.least(i, F.lit(BEFORE))), lambda y: y["token"]).alias("before")))
+    front = store(common.select("node", "label", "n", F.explode(with_before).alias("x")).select("node", "label", "n", "x.*"), "near-front")
     # of a token, the component with the largest label stays on one side of the join
     main = store(front.groupBy("token").agg(F.max("label").alias("main"), F.min("label").alias("low"))
                  .filter("low <> main").select("token", "main"), "near-main")
     mixed = front.join(main, "token")
     rest = mixed.filter("label <> main").select("token", F.col("node").alias("a"), F.col("label").alias("la"),
-                                                F.col("n").alias("na"), F.col("at").alias("pa"))
+                                                F.col("n").alias("na"), F.col("at").alias("pa"),
+                                                F.col("before").alias("ea"))
     full = mixed.select("token", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
-                        F.col("at").alias("pb"))
+                        F.col("at").alias("pb"), F.col("before").alias("eb"))
     need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - F.lit(1e-9))
     return (rest.join(full, "token").filter((F.col("la") != F.col("lb"))
                                             & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                                            & (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need))
+                                            & (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need)
+                                            & ~F.arrays_overlap("ea", "eb"))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -268,12 +279,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = store(members.join(first, "key"), "near-shared")
     needed = store(shared.select("node").distinct().join(classes.select("node", "t"), "node"), "near-needed")
     texts = store(rows.withColumn("t", t).join(needed, "t").dropDuplicates(["node"]).select("node", "text"), "near-texts")
-    links = confirm(shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(),
-                    texts, words, percent)
+    release(docs.sparkSession)
+    links = store(confirm(shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(),
+                          texts, words, percent), "near-links")
+    release(docs.sparkSession)
     members = shared.select("key", "node")
     for pairs in (_small_pairs, lambda rows: _large_pairs(rows, texts, words, percent)):
-        more = confirm(pairs(_open_buckets(members, components(links))), texts, words, percent)
-        links = links.unionByName(more)
+        links = links.unionByName(store(confirm(pairs(_open_buckets(members, components(links))), texts, words, percent),
+                                        "near-links"))
+        release(docs.sparkSession)
     labels = components(links)
     named = _labelled(classes.select("digest", "node", "least"), labels)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
