@@ -88,6 +88,31 @@ def test_automata_find_all_words_within_distance():
             assert found[1] == min(near)[0] and lexicon.possible(word)
 
 
+def test_misspelled_members_of_a_family_are_found(spark):
+    forms = ["idiot", "idiots", "idiott", "idioot"]
+    rows = [(i, f"text{'abcdefgh'[i % 8] * 3} {forms[i % 4]} ending{'klmnopqrst'[i // 8] * 3}", 1) for i in range(40)]
+    rows += [(100 + i, f"plain{'abcdefgh'[i % 8] * 3} words here ending{'klmnopqrst'[i // 8] * 3}", 0) for i in range(80)]
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert any(t.beginning and t.text.startswith("idio") for t in terms)
+    finder = toxicity.Finder(toxicity.Lexicon(terms))
+    for word, distance in (("idiotic", 0), ("idiot", 0), ("idjot", 1), ("iidiot", 1), ("idjots", 1)):
+        ((_, hits),) = finder.find([f"such an {word} here"])
+        assert [h["distance"] for h in hits] == [distance], word
+
+
+def test_beginnings_are_found_within_distance():
+    rnd = np.random.default_rng(4)
+    words = dict.fromkeys("".join(rnd.choice(list("abc"), n)) for n in rnd.integers(4, 10, 40))
+    terms = [toxicity.Term(w, 1.0, b) for i, w in enumerate(words) for b in ((False, True), (True,), (False,))[i % 3]]
+    lexicon = toxicity.Lexicon(terms)
+    for _ in range(600):
+        word = "".join(rnd.choice(list("abc"), rnd.integers(4, 14)))
+        near = [(min(distance(word[:k], t.text) for k in range(0 if t.beginning else len(word), len(word) + 1)), i)
+                for i, t in enumerate(terms)]
+        near = [(d, i) for d, i in near if d == 0 or (len(word) >= 5 and d <= toxicity.edits(len(terms[i].text)))]
+        assert lexicon.lookup(word) == (min(near)[::-1] if near else None)
+
+
 def test_context_separates_quotation_from_abuse():
     finder = toxicity.Finder(toxicity.Lexicon([toxicity.Term("idiot", 4.0), toxicity.Term("lowei", 4.0, True)]))
     texts = ["You are such an idiot today", 'He wrote the word "idiot" in a report', "an idi0t and an idiott, loweisch", "none"]

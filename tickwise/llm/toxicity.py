@@ -2,10 +2,11 @@
 
 The lexicon is learned from labelled rows that are not held out: words, and
 beginnings shared by several words, that occur almost only in toxic texts. It
-is kept as a trie. Each word of a text that may be near a term drives a
+is kept as a trie. Each distinct word that may be near a term drives a
 Levenshtein automaton, and the automaton is intersected with the trie: a branch
-is left as soon as no state of the automaton is alive. So misspelled terms are
-found with their distance; digits and signs put for letters are read as letters.
+is left as soon as no state of the automaton is alive. So misspelled terms, and
+words with a misspelled beginning, are found with their distance; digits and
+signs put for letters are read as letters.
 
 Each finding is weighed in its window of words: quotation marks around it or a
 reporting verb near it speak for quotation, a second person near it for abuse.
@@ -41,6 +42,8 @@ MAX_TERMS, MIN_TEXTS, MIN_PERCENT, MIN_FORMS, MIN_TOXIC_SHARE = 1_000, 5, 1, 4,
 #: A longer beginning is preferred if it has this share of the toxic texts of a shorter one.
 SAME_TEXTS = 0.95
 WORD_CHARS, PREFIX_CHARS = (4, 24), (4, 8)
+#: Longest token that is looked up.
+MAX_WORD = 40
 #: Words on either side that make the context of a finding.
 CONTEXT_WORDS = 6
 
@@ -65,32 +68,32 @@ def edits(length: int) -> int:
 
 
 class Automaton:
-    """Levenshtein automaton of a word: a state is the sorted tuple of
-    (letters read of the word, edits) that are alive."""
+    """Levenshtein automaton of a word. A state has a number for each count of
+    edits up to ``most``: its bit i is set if i letters of the word may be read
+    with so many edits or fewer."""
 
     def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
+        self.most, self.whole = most, 1 << len(word)
+        self.places: dict[str, int] = {}
+        for i, c in enumerate(word):
+            self.places[c] = self.places.get(c, 0) | 1 << i
 
     def start(self) -> tuple:
-        return tuple((i, i) for i in range(min(self.most, len(self.word)) + 1))
-
-    def step(self, state: tuple, letter: str) -> tuple:
-        best: dict[int, int] = {}
-        for i, e in state:
-            if e < self.most:
-                best[i] = min(best.get(i, 99), e + 1)
-            if i < len(self.word):
-                cost = e + (self.word[i] != letter)
-                if cost <= self.most:
-                    best[i + 1] = min(best.get(i + 1, 99), cost)
-        for i in range(len(self.word)):  # letters of the word that the term lacks
-            if i in best and best[i] < self.most:
-                best[i + 1] = min(best.get(i + 1, 99), best[i] + 1)
-        return tuple(sorted(best.items()))
-
-    def distance(self, state: tuple) -> int | None:
-        """Edits to the whole word, or None."""
-        return next((e for i, e in state if i == len(self.word)), None)
+        return tuple((2 << e) - 1 & 2 * self.whole - 1 for e in range(self.most + 1))
+
+    def step(self, state: tuple, letter: str) -> tuple | None:
+        """The state after a letter of a term, None if nothing is alive."""
+        at, full, out = self.places.get(letter, 0), 2 * self.whole - 1, []
+        fewer = done = 0
+        for alive in state:  # a letter both have; one that only the term has, that differs, that only the word has
+            done = ((alive & at) << 1 | fewer | fewer << 1 | done << 1) & full
+            out.append(done)
+            fewer = alive
+        return tuple(out) if done else None
+
+    def distance(self, state: tuple, beginning: bool = False) -> int | None:
+        """Edits to the whole word, or to the nearest beginning of it; None if too many."""
+        return next((e for e, alive in enumerate(state) if (alive if beginning else alive & self.whole)), None)
 
 
 @dataclass
@@ -101,47 +104,61 @@ class Term:
 
 
 class Lexicon:
-    """A trie of terms; a node is [children, term number at its end or None]."""
+    """A trie of terms; a node is [children, terms that end there, terms in or
+    below it]. Sets of terms are bits of a number."""
 
     def __init__(self, terms: list[Term]):
         self.terms = terms
-        self.trie: list = [{}, None]
+        self.trie: list = [{}, [], 0]
         self.exact = {t.text: i for i, t in enumerate(terms) if not t.beginning}
-        heads, tails, middles = set(), set(), set()
+        #: By place in the word, and by its letters: terms that have this part unharmed there.
+        self.parts: list[dict[str, int]] = []
+        #: By length of the word: terms within the allowed edits of words of that length.
+        self.fits = [0] * (MAX_WORD + 1)
         for i, t in enumerate(terms):
-            node = self.trie
+            node, bit, most, size = self.trie, 1 << i, edits(len(t.text)), len(t.text)
             for c in t.text:
-                node = node[0].setdefault(c, [{}, None])
-            node[1] = i if node[1] is None or terms[node[1]].beginning else node[1]
-            n = 1 if t.beginning else edits(len(t.text)) + 1
-            cut = [len(t.text) * k // n for k in range(n + 1)]
-            parts = [t.text[a:b] for a, b in zip(cut, cut[1:])]
-            heads.add(parts[0])
-            tails.update(parts[-1:] if n > 1 else ())
-            middles.update(parts[1:-1])
-
-        def either(parts: set[str]) -> str:
-            return "(?:" + "|".join(map(re.escape, sorted(parts))) + ")"
-        some = [f"^{either(heads)}" * bool(heads), f"{either(tails)}$" * bool(tails), either(middles) * bool(middles)]
-        #: A word within the allowed edits has one of n + 1 parts of the term unharmed.
-        self.possible = re.compile("|".join(x for x in some if x)).search if terms else lambda _: None
+                node = node[0].setdefault(c, [{}, [], 0])
+                node[2] |= bit
+            node[1].append(i)
+            for n in range(max(0, size - most), MAX_WORD + 1 if t.beginning else min(MAX_WORD, size + most) + 1):
+                self.fits[n] |= bit
+            cut = [size * k // (most + 1) for k in range(most + 2)]
+            for a, b in zip(cut, cut[1:]):
+                for at in range(max(0, a - most), a + most + 1):
+                    self.parts += ({} for _ in range(at + 1 - len(self.parts)))
+                    self.parts[at][t.text[a:b]] = self.parts[at].get(t.text[a:b], 0) | bit
+        self.lengths = [sorted({len(p) for p in parts}) for parts in self.parts]
+
+    def possible(self, word: str) -> int:
+        """The terms that the word may be near: within n edits, one of n + 1 parts of
+        the term is unharmed, and moved by n places at most."""
+        found, size = 0, len(word)
+        for at, (parts, lengths) in enumerate(zip(self.parts, self.lengths)):
+            for n in lengths:
+                if at + n > size:
+                    break
+                if terms := parts.get(word[at:at + n]):
+                    found |= terms
+        return found & self.fits[min(size, MAX_WORD)]
 
     def lookup(self, word: str) -> tuple[int, int] | None:
         """(term, distance) of the nearest term, the first of equals; an exact word
-        before a beginning, which has to be exact itself."""
+        before a beginning."""
         if (i := self.exact.get(word)) is not None:
             return i, 0
+        if not (terms := self.possible(word)):
+            return None
         auto, found = Automaton(word, 2), []
 
         def walk(node: list, state: tuple) -> None:
-            if node[1] is not None:
-                term = self.terms[node[1]]
-                most = edits(len(term.text))
-                d = min(e for _, e in state) if term.beginning else auto.distance(state)
-                if d is not None and d <= (0 if term.beginning else most) and (d == 0 or len(word) >= 5):
-                    found.append((d, node[1]))
+            for i in node[1]:
+                term = self.terms[i]
+                d = auto.distance(state, term.beginning)
+                if d is not None and d <= edits(len(term.text)) and (d == 0 or len(word) >= 5):
+                    found.append((d, i))
             for c, child in node[0].items():
-                if after := auto.step(state, c):
+                if child[2] & terms and (after := auto.step(state, c)):
                     walk(child, after)
 
         walk(self.trie, auto.start())
@@ -168,14 +185,13 @@ class Finder:
         for memory in (self.known, self.others):
             if len(memory) > 300_000:
                 memory.clear()
-        possible, lookup = self.lexicon.possible, self.lexicon.lookup
+        lookup = self.lexicon.lookup
         for t in tokens:
-            if 4 <= len(t) <= 40 and possible(word := t if t.isalpha() else fold(t)):
-                if t not in self.known and t not in self.others:
-                    if found := lookup(word):
-                        self.known[t] = found
-                    else:
-                        self.others.add(t)
+            if 4 <= len(t) <= MAX_WORD and t not in self.known and t not in self.others:
+                if found := lookup(t if t.isalpha() else fold(t)):
+                    self.known[t] = found
+                else:
+                    self.others.add(t)
 
     def find(self, texts: list[str]) -> list[tuple[list[float], list[dict]]]:
         """Values and hits of each text."""
@@ -199,7 +215,7 @@ class Finder:
             quoted = (any(c in left.split("\n")[-1] for c in OPENING) and any(c in right.split("\n")[0] for c in CLOSING))
             words = {w for _, _, w in near}
             reported, addressed = not words.isdisjoint(REPORTING), not words.isdisjoint(SECOND_PERSON)
-            kind = "beginning" if term.beginning else "near" if distance else "exact"
+            kind = "near" if distance else "beginning" if term.beginning else "exact"
             v[kind] += 1
             v[f"{kind}_weight"] += term.weight
             v["disguised"] += not token.isalpha()
@@ -262,9 +278,7 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
         if not any(r["term"].startswith(t) for t in out):
             longer = [x for x in found if x["term"].startswith(r["term"]) and x["toxic"] >= SAME_TEXTS * r["toxic"]]
             out[r["term"]] = Term(longer[-1]["term"], weight(longer[-1]), True)
-    exact = [Term(r["term"], weight(r)) for r in best(words)
-             if not any(r["term"].startswith(t.text) for t in out.values())]
-    return [*exact, *out.values()]
+    return [*(Term(r["term"], weight(r)) for r in best(words)), *out.values()]
 
 
 @dataclass
