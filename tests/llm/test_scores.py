@@ -100,6 +100,16 @@ def test_misspelled_members_of_a_family_are_found(spark):
         assert [h["distance"] for h in hits] == [distance], word
 
 
+def test_quoted_and_rare_terms_are_learned(spark):
+    def own(i):
+        return " ".join("".join("abcdefghij"[int(d)] for d in f"{i:04d}") + end for end in ("xq", "yq", "zq", "wq", "vq"))
+    # of 700 toxic texts, 40 have a term that 10 clean ones quote, and 6 have one of their own; half of all have a common word
+    rows = [(i, f"{own(i)} {'zounds' * (i < 40 or 700 <= i < 710)} {'grubble' * (40 <= i < 46)} {'common' * (i % 2)}", int(i < 700))
+            for i in range(7000)]
+    found = {t.text for t in toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int")) if not t.beginning}
+    assert {"zounds", "grubble"} <= found and "common" not in found
+
+
 def test_beginnings_are_found_within_distance():
     rnd = np.random.default_rng(4)
     words = dict.fromkeys("".join(rnd.choice(list("abc"), n)) for n in rnd.integers(4, 10, 40))

@@ -1,7 +1,8 @@
 """Toxicity scores from a learned lexicon, Levenshtein automata and contexts.
 
 The lexicon is learned from labelled rows that are not held out: words, and
-beginnings shared by several words, that occur almost only in toxic texts. It
+beginnings shared by several words, whose texts are toxic far more often than
+all texts; whether a finding is meant that way is left to contexts and trees. It
 is kept as a trie. Each distinct word that may be near a term drives a
 Levenshtein automaton, and the automaton is intersected with the trie: a branch
 is left as soon as no state of the automaton is alive. So misspelled terms, and
@@ -36,9 +37,9 @@ from tickwise.llm.common import as_text, shared, store
 from tickwise.llm.minhash import SHINGLE_WORDS, shingles
 from tickwise.llm.quality_model import MAX_TRAINING_ROWS, one_for_each_id, training_rows
 
-#: Bounds of the lexicon: terms; toxic texts that have a term, and in a hundred of
-#: them; words with a beginning; share of toxic ones in the texts with a term.
-MAX_TERMS, MIN_TEXTS, MIN_PERCENT, MIN_FORMS, MIN_TOXIC_SHARE = 1_000, 5, 1, 4, 0.95
+#: Bounds of the lexicon: terms of either kind; toxic texts that have a term; words with
+#: a beginning; log odds of toxic ones in the texts with a term, above those in all texts.
+MAX_TERMS, MIN_TEXTS, MIN_FORMS, MIN_LOG_ODDS = 1_000, 5, 4, 3.0
 #: A longer beginning is preferred if it has this share of the toxic texts of a shorter one.
 SAME_TEXTS = 0.95
 WORD_CHARS, PREFIX_CHARS = (4, 24), (4, 8)
@@ -263,11 +264,12 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
                                      F.sum((F.col("toxic") > 0).cast("int")).alias("forms"))
                 .filter(F.col("forms") >= MIN_FORMS).drop("forms"))
 
-    toxic_texts = rows.filter("label = 1").count()
-    least_texts = max(MIN_TEXTS, toxic_texts * MIN_PERCENT // 100)
+    toxic, clean = rows.select(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
+    base = np.log(toxic + 0.5) - np.log(clean + 0.5)
 
     def best(counts: DataFrame) -> list:
-        good = counts.filter((F.col("toxic") >= least_texts) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("all")))
+        odds = F.log((F.col("toxic") + 0.5) / (F.col("all") - F.col("toxic") + 0.5))
+        good = counts.filter((F.col("toxic") >= MIN_TEXTS) & (odds - float(base) >= MIN_LOG_ODDS))
         return good.orderBy(F.desc("toxic"), "term").limit(max_terms).collect()
 
     def weight(r) -> float:
