@@ -43,6 +43,16 @@ def test_structures_are_confirmed():
     assert ("encoded", hidden) in kinds(f"see {hidden} there")
 
 
+@pytest.mark.parametrize("inside", ["user = x\r\npassword = hunter2hunter2\r\n", "clé\u00a0: x\npassword = hunter2hunter2"])
+def test_decoded_files_may_have_any_line_ends_and_letters(inside):
+    data = inside.encode()
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(data.hex()))
+    for hidden in (base64.b64encode(data).decode(), data.hex(), data.hex().upper(), mixed):
+        assert ("encoded", hidden) in kinds(f"see {hidden} there")
+    for broken in (b"\x00" + data, b"\xff" + data):
+        assert not {k for k, _ in kinds(f"see {b64(broken)} there")} & {"encoded"}
+
+
 @pytest.mark.parametrize("text", [
     f"-----BEGIN PRIVATE KEY-----\n{b64(b'no key at all, only text')}\n-----END PRIVATE KEY-----",
     b64(KEY[:-1]), b64(KEY + b"x"), TOKEN.replace(TOKEN.split(".")[0], b64(b"[1]", True)), "a" * 200, b64(b"just some words here, nothing else")])

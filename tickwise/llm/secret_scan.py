@@ -11,8 +11,9 @@ what they are:
   length-prefixed fields.
 - ``token``: three dotted base64url parts whose first is a JSON object with
   ``alg`` and whose second is a JSON object.
-- ``encoded``: base64 or hex of printable text that itself holds an assignment
-  or an access key id.
+- ``encoded``: base64 or hex (in either case) of UTF-8 text without control
+  characters but tabs and line ends, that itself holds an assignment or an access
+  key id.
 
 Positions are code points of the text, end exclusive.
 
@@ -50,7 +51,8 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]*?)-----END \1-----", re.A)
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{ENCODED_CHARS},}}={{0,2}}")
-_HEX_RUN = re.compile(rf"(?<![0-9A-Za-z])(?:[0-9a-f]{{{ENCODED_CHARS},}}|[0-9A-F]{{{ENCODED_CHARS},}})(?![0-9A-Za-z])")
+_HEX_RUN = re.compile(rf"(?<![0-9A-Za-z])[0-9A-Fa-f]{{{ENCODED_CHARS},}}(?![0-9A-Za-z])")
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -158,10 +160,11 @@ def _object(part: str) -> dict:
 
 
 def _holds_secret(data: bytes) -> bool:
-    if not data.isascii():
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
         return False
-    text = data.decode("ascii")
-    return text.replace("\n", " ").replace("\t", " ").isprintable() and any(k < 2 for _, k, _ in base_spans(text, data))
+    return not _CONTROL.search(text) and any(k < 2 for _, k, _ in base_spans(text, data))
 
 
 def confirmed_spans(text: str, data: bytes) -> list[tuple[int, int, int]]:
