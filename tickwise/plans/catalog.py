@@ -335,6 +335,9 @@ _EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
     "PIVOT (SELECT window_start AS time, symbol, close_price FROM clean) ON symbol "
     "IN ('click', 'error', 'purchase', 'signup', 'view') USING first(close_price) GROUP BY time"))
 def q_wide_series(spark, sf):
+    """One column for each of the five listed event types. Rows of any other symbol
+    have no column here nor in the SQL, and are not counted; a new type has to be
+    added to both lists."""
     return R.wide_series(_clean(spark, sf), _EVENT_SYMBOLS)
 
 
