@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, decontaminate, line_dedup, minhash, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from tickwise.llm import (bpe, decontaminate, fill_in_middle, filter_audit, line_dedup, minhash, quality_model, quality_rules,
+                          secret_scan, sharding, suffix_dedup, toxicity, warc)
 from tickwise.llm.common import held_out, small_batches, table
 from tickwise.session import scratch_path
 
@@ -185,7 +186,99 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("refers_to").alias("refers_to"))
 
 
-_QUERIES = (op1_minhash, op2_suffixes, op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc)
+#: Shards of the documents, all of one weight.
+SHARDS = 8
+
+
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.manifest(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                         "grown_shard")
+
+
+# CRC-32 byte by byte, with the table that its polynomial gives
+OP11_SQL = f"""
+WITH crc AS (SELECT list(x ORDER BY i) AS t FROM (
+       SELECT i, list_reduce(list_prepend(i, range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384)) AS x
+       FROM range(256) AS r(i))),
+b AS (SELECT doc_id, coalesce('k:' || doc_id, 'n') AS key, list_transform(
+        regexp_extract_all(hex(coalesce(text, '')), '..'), lambda p: CAST('0x' || p AS BIGINT)) AS l FROM documents),
+c AS (SELECT doc_id, key, CAST(len(l) + 1 AS BIGINT) AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, l),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM b, crc),
+s AS (SELECT *, list_transform(range({SHARDS + 1}), lambda s: {{'score':
+        -ln((CAST('0x' || substr(md5(key || ':' || s), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0), 'shard': s}}) AS bids FROM c),
+w AS (SELECT *, list_sort(bids[1:{SHARDS}])[1].shard AS shard, list_sort(bids)[1].shard AS grown_shard FROM s)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(key || ':' || size || ':' || text_crc32), doc_id, size, text_crc32) - 1 AS slot,
+       CAST(grown_shard AS INT) AS grown_shard FROM w
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS w, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+l AS (SELECT doc_id, max(quality) AS good, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT r, part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+       CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+       + 4 * CAST(100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) AS INT)
+       + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+       + 16 * CAST(coalesce(w.doc_id > least, least IS NOT NULL) AS INT) AS mask FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+      FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS a(x), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS b(x),
+           (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS c(x), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS d(x),
+           (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS e(x)
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+p AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS f, coalesce(list_sum(list_transform(
+        range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::INT AS earlier
+      FROM o, range(1, 6) AS t(step)),
+s AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (mask & (f | earlier) = 0), 0) AS kept,
+       coalesce(sum(n) FILTER (mask & f <> 0 AND mask & earlier = 0), 0) AS removed,
+       coalesce(sum(n) FILTER (mask & f <> 0 AND mask & earlier <> 0), 0) AS redundant,
+       coalesce(sum(n) FILTER (mask = f), 0) AS unique_fails,
+       coalesce(sum(good) FILTER (mask & f <> 0 AND mask & earlier = 0), 0) AS good_lost,
+       coalesce(sum(toxic) FILTER (mask & f <> 0 AND mask & earlier = 0), 0) AS toxic_lost
+      FROM c, p GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM s
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output = F.col("fim.output")
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2(output.cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restore(output, F.col("fim.form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^
+]*
+|[^
+]+') AS l,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT doc_id, text, l, len(l) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(x, 8 * i + 1, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 AS plain FROM h),
+p AS (SELECT *, coalesce(array_to_string(l[1:a], ''), '') AS prefix, coalesce(array_to_string(l[a + 1:b], ''), '') AS middle,
+             coalesce(array_to_string(l[b + 1:n], ''), '') AS suffix,
+             CASE WHEN plain THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN NOT plain THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN NOT plain THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p
+"""
+
+_QUERIES = (op1_minhash, op2_suffixes, op3_toxicity, op4_secrets, op5_rules, op6_quality, op7_decontaminate, op8_lines, op9_bpe, op10_warc,
+            op11_sharding, op12_filter_audit, op13_fill_in_middle)
 
 
 def _with_small_batches(query: Query) -> Query:
@@ -200,4 +293,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_rules": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_lines": OP8_SQL}
+    return {"op5_rules": OP5_SQL, "op7_decontaminate": OP7_SQL, "op8_lines": OP8_SQL, "op11_sharding": OP11_SQL,
+            "op12_filter_audit": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
