@@ -154,6 +154,7 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
     the scan's chunk length up front (no per-batch job to measure it).
     """
     store = VersionedTable(spark, state_path)
+    sinks = _bound(extra_sinks, run_id, state_path)
     w_sec = interval_seconds(width) if width else None
     chunk_seconds = w_sec * 256 if w_sec else None
 
@@ -183,7 +184,7 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                     anomalies_path, batch_id, run_id)
                 log.info("batch %d: %s windows, %s anomalies", batch_id,
                          seen.get.get("windows"), flagged.get.get("anomalies"))
-                for sink in extra_sinks or []:
+                for sink in sinks:
                     sink(batch, anomalies, batch_id)
                 # state last: a failure above replays the batch from the old state
                 store.write(new_history, batch_id, run_id)
@@ -195,20 +196,36 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
     return process
 
 
-def jdbc_sink(url: str, properties: dict | None = None, clean_table: str = S.TOPIC_CLEAN,
-              anomalies_table: str = S.TOPIC_ANOMALIES,
-              num_partitions: int | None = None) -> Callable[[DataFrame, DataFrame, int], None]:
-    """An ``extra_sinks`` entry appending windows and anomalies to a relational
-    store, like the reference. Plain appends: a replayed batch is written
-    again, because the store tables carry no batch id (the lake and the
-    anomaly files are the idempotent copies)."""
-    from tickwise.sinks.jdbc import write_anomalies_jdbc, write_clean_jdbc
+class JdbcSink:
+    """An ``extra_sinks`` entry that merges windows and anomalies into a relational
+    store, both tables in one transaction and every (pipeline, run, batch) once, so
+    a replayed batch changes nothing."""
 
-    def sink(windows: DataFrame, anomalies: DataFrame, batch_id: int) -> None:
-        write_clean_jdbc(windows, url, clean_table, properties, num_partitions=num_partitions)
-        write_anomalies_jdbc(anomalies, url, anomalies_table, properties,
-                             num_partitions=num_partitions)
-    return sink
+    def __init__(self, url: str, properties: dict | None = None, clean_table: str = S.TOPIC_CLEAN,
+                 anomalies_table: str = S.TOPIC_ANOMALIES, num_partitions: int | None = None,
+                 run_id: int = 0, origin: str = ""):
+        self.url, self.properties, self.num_partitions = url, properties, num_partitions
+        self.tables, self.run_id, self.origin = (clean_table, anomalies_table), run_id, origin
+
+    def for_run(self, run_id: int, origin: str) -> JdbcSink:
+        """The same sink for the batches of one run of one pipeline."""
+        return JdbcSink(self.url, self.properties, *self.tables, self.num_partitions, run_id, origin)
+
+    def __call__(self, windows: DataFrame, anomalies: DataFrame, batch_id: int) -> None:
+        from tickwise.sinks.jdbc import clean_rows, merge_batch
+        clean_table, anomalies_table = self.tables
+        merge_batch({clean_table: clean_rows(windows), anomalies_table: anomalies.select(*S.ANOMALY_COLUMNS)},
+                    self.url, self.properties, self.run_id, batch_id, self.origin, num_partitions=self.num_partitions)
+
+
+#: The sink's name among the functions of this module.
+jdbc_sink = JdbcSink
+
+
+def _bound(sinks: list[Callable] | None, run_id: int, origin: str) -> list[Callable]:
+    """The sinks of a run: those that tell runs apart are given its number and the
+    name of the pipeline (the path of its state)."""
+    return [s.for_run(run_id, origin) if hasattr(s, "for_run") else s for s in sinks or []]
 
 
 def kafka_sink(servers: str, clean_topic: str = S.TOPIC_CLEAN, anomalies_topic: str = S.TOPIC_ANOMALIES
@@ -233,6 +250,7 @@ def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path
     windows, no anomalies below ``min_rows`` windows). A window spanning two
     batches yields two partial rows, as in the reference."""
     from tickwise.operators.anomalies import detect_anomalies
+    sinks = _bound(extra_sinks, run_id, anomalies_path)
 
     def process(ticks: DataFrame, batch_id: int) -> None:
         ticks = ticks.persist(StorageLevel.MEMORY_AND_DISK)
@@ -244,7 +262,7 @@ def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path
                 write_lake(windows, lake_path, batch_id, run_id)
                 anomalies = detect_anomalies(windows, threshold, mode=mode, min_rows=min_rows)
                 write_batch_partition(anomalies, anomalies_path, batch_id, run_id)
-                for sink in extra_sinks or []:
+                for sink in sinks:
                     sink(windows, anomalies, batch_id)
             finally:
                 windows.unpersist()
