@@ -36,8 +36,8 @@ def _key(rows, cols):
                   for r in rows)
 
 
-@pytest.mark.parametrize("lookback", [None, 20])
-def test_stream_equals_batch(spark, tmp, lookback):
+@pytest.mark.parametrize("lookback, independent", [(None, True), (20, True), (20, False)])
+def test_stream_equals_batch(spark, tmp, lookback, independent):
     stock, crypto = T.raw_stock_messages(spark, SF_SMALL), T.raw_crypto_messages(spark, SF_SMALL)
     _land(spark, stock, f"{tmp}/in/stock", 6)
     _land(spark, crypto, f"{tmp}/in/crypto", 6)
@@ -45,7 +45,7 @@ def test_stream_equals_batch(spark, tmp, lookback):
     c_raw = read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1)
     q = run_pipeline(s_raw, c_raw, f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state",
                      f"{tmp}/ckpt", trigger={"availableNow": True}, width=WIDTH,
-                     delay="2 days", lookback=lookback)
+                     delay="2 days", lookback=lookback, independent=independent)
     q.awaitTermination(300)
     assert q.exception() is None
     lake = spark.read.parquet(f"{tmp}/lake")
@@ -62,9 +62,11 @@ def test_stream_equals_batch(spark, tmp, lookback):
     assert _key(got_w, cols) == _key(exp_w.collect(), cols)
     # windows within the watermark delay of the newest tick stay open; all
     # others are emitted once, final
-    # (the source that is behind decides)
-    newest = min(r[0] for r in ticks.groupBy("asset_type").agg(F.max("event_time").alias("t")).select("t").collect())
-    open_w = batch_w.filter(F.col("window_end") > F.lit(newest) - F.expr("INTERVAL 2 DAYS"))
+    # (each source for itself; in one query the source that is behind decides)
+    newest = ticks.groupBy("asset_type").agg(F.max("event_time").alias("newest"))
+    if not independent:
+        newest = newest.withColumn("newest", F.lit(min(r["newest"] for r in newest.collect())))
+    open_w = batch_w.join(newest, "asset_type").filter(F.col("window_end") > F.col("newest") - F.expr("INTERVAL 2 DAYS"))
     assert batch_w.count() - len(got_w) == open_w.count()
 
     got_a = spark.read.parquet(f"{tmp}/anoms").collect()
@@ -76,7 +78,8 @@ def test_stream_equals_batch(spark, tmp, lookback):
     assert _key(got_a, acols) == _key(exp_a, acols)
     # more than one micro-batch ran, so history was carried between batches
     assert len({r["batch_id"] for r in got_a}) > 1
-    assert any(d.startswith("v=") for d in os.listdir(f"{tmp}/state"))
+    for folder in ("stock", "crypto") if independent else (".",):
+        assert any(d.startswith("v=") for d in os.listdir(f"{tmp}/state/{folder}"))
 
 
 def test_replayed_batch_is_idempotent(spark, tmp):
@@ -292,7 +295,8 @@ def test_new_checkpoint_keeps_earlier_output_and_history(spark, tmp):
     assert last.first()["total_volume_n"] == lake.count()
 
 
-def test_lagging_source_loses_nothing(spark, tmp):
+@pytest.mark.parametrize("independent", [False, True])
+def test_lagging_source_loses_nothing(spark, tmp, independent):
     """Stock five hours behind crypto, both within the default delay of themselves."""
     import datetime as dt
     import json
@@ -311,7 +315,8 @@ def test_lagging_source_loses_nothing(spark, tmp):
         time.sleep(1.1)
     q = run_pipeline(read_message_files(spark, f"{tmp}/in/stock", max_files_per_trigger=1),
                      read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1),
-                     f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt", trigger={"availableNow": True})
+                     f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt", trigger={"availableNow": True},
+                     independent=independent)
     q.awaitTermination(300)
     assert q.exception() is None
     lake = spark.read.parquet(f"{tmp}/lake")
@@ -319,7 +324,169 @@ def test_lagging_source_loses_nothing(spark, tmp):
     # the slowest source's time decides: its last 10 minutes and open window stay
     # open, and everything that is emitted is complete
     newest_stock = start + dt.timedelta(minutes=149) - dt.timedelta(hours=5)
-    assert counts["stock"] == 5 * 30 - 15 and lake.filter("asset_type = 'crypto'").count() == 0
-    assert lake.agg(F.max("window_end")).first()[0] <= newest_stock - dt.timedelta(minutes=10)
+    assert counts["stock"] == 5 * 30 - 15
+    if independent:      # crypto does not wait for stock
+        assert counts["crypto"] == 5 * 30 - 15
+        newest = {r[0]: r[1] for r in lake.groupBy("asset_type").agg(F.max("window_end")).collect()}
+        assert newest["crypto"] - newest["stock"] == dt.timedelta(hours=5)
+    else:
+        assert lake.filter("asset_type = 'crypto'").count() == 0
+        assert lake.agg(F.max("window_end")).first()[0] <= newest_stock - dt.timedelta(minutes=10)
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", []))
     assert dropped == 0
+
+
+def _stock_message(symbol, when, close, broker=None):
+    import json
+    return (symbol, json.dumps({"symbol": symbol, "asset_type": "stock", "close": close, "volume": 1.0,
+                                "timestamp": when.strftime("%Y-%m-%d %H:%M:%S")}), "raw_stock_ticks", broker or when)
+
+
+def _crypto_message(symbol, when, price, volume=1.0):
+    import json
+    return (symbol, json.dumps({"symbol": symbol, "asset_type": "crypto", "price": price, "volume_24h": volume,
+                                "timestamp": when.isoformat() + "+00:00"}), "raw_crypto_ticks", when)
+
+
+def _land_rows(spark, rows, path, first_offset=0):
+    schema = "msg_key string, json_value string, topic string, kafka_timestamp timestamp, partition int, offset bigint"
+    rows = [(*r, 0, first_offset + i) for i, r in enumerate(rows)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    time.sleep(1.1)     # the file source replays by modification time
+
+
+def test_silent_source_holds_up_only_itself(spark, tmp):
+    """The stock exchange is closed and one bar is polled again and again, while crypto
+    goes on for a day: crypto windows are final and scored."""
+    import datetime as dt
+    start = dt.datetime(2024, 1, 6)
+    for k in range(3):
+        times = [start + dt.timedelta(minutes=10 * (48 * k + m)) for m in range(48)]
+        _land_rows(spark, [_stock_message("A", start, 10.0, t) for t in times], f"{tmp}/in/stock", 48 * k)
+        _land_rows(spark, [_crypto_message("B", t, 100.0, 1000.0 if (k, m) == (1, 20) else 1.0 + m % 3)
+                           for m, t in enumerate(times)], f"{tmp}/in/crypto", 48 * k)
+    for _ in range(2):      # the second run finds nothing new
+        q = run_pipeline(read_message_files(spark, f"{tmp}/in/stock", max_files_per_trigger=1),
+                         read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1),
+                         f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt", trigger={"availableNow": True})
+        q.awaitTermination(300)
+        assert q.exception() is None
+    lake = spark.read.parquet(f"{tmp}/lake")
+    assert [r["asset_type"] for r in lake.select("asset_type").distinct().collect()] == ["crypto"]
+    assert lake.agg(F.sum("record_count")).first()[0] == 144 - 2      # the last 10 minutes stay open
+    assert lake.groupBy("symbol", "window_start").count().filter("count > 1").count() == 0
+    flagged = spark.read.parquet(f"{tmp}/anoms").collect()
+    assert [(r["symbol"], r["anomaly_type"], r["current_value"]) for r in flagged] == [("B", "volume_surge", 1000.0)]
+
+
+@pytest.mark.parametrize("independent", [True, False])
+def test_late_ticks_and_rejects_are_kept(spark, tmp, independent):
+    """Windows, late ticks and rejects add up to the messages; open and close of tied
+    times follow the offsets."""
+    import datetime as dt
+    day = dt.datetime(2024, 1, 1, 10)
+
+    def at(minutes):
+        return day + dt.timedelta(minutes=minutes)
+    steps = [
+        [_stock_message("A", at(0), 1.0), _stock_message("A", at(0), 2.0), _stock_message("A", at(0), 3.0)],
+        [_stock_message("A", at(120), 5.0), ("A", "{broken", "raw_stock_ticks", at(1)), ("A", None, "raw_stock_ticks", at(1))],
+        [_stock_message("A", at(125), 6.0)],
+        [_stock_message("A", at(5), 9.0), _stock_message("A", at(6), 9.0), _stock_message("C", at(7), 9.0),
+         _stock_message("A", at(126), 7.0), ("A", '{"close": 1.0}', "raw_stock_ticks", at(1))],
+        [_stock_message("A", at(600), 8.0)],
+        [_stock_message("A", at(601), 8.0), _stock_message("A", at(130), 8.0)]]
+    n = 0
+    for k, rows in enumerate(steps):
+        _land_rows(spark, rows, f"{tmp}/in/stock", n)
+        _land_rows(spark, [_crypto_message("B", at(0) if k == 0 else at(5000), 1.0)], f"{tmp}/in/crypto", k)
+        n += len(rows)
+
+    def run():
+        q = run_pipeline(read_message_files(spark, f"{tmp}/in/stock", max_files_per_trigger=1),
+                         read_message_files(spark, f"{tmp}/in/crypto", max_files_per_trigger=1),
+                         f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt", trigger={"availableNow": True},
+                         width=WIDTH, delay="30 minutes", independent=independent, side_path=f"{tmp}/side")
+        q.awaitTermination(300)
+        assert q.exception() is None
+    run()
+    side = spark.read.parquet(f"{tmp}/side").filter("topic = 'raw_stock_ticks'")
+    counts = {r["reason"]: r["n"] for r in side.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"late": 3, "malformed": 1, "empty": 1, "no_symbol": 1}
+    lake = spark.read.parquet(f"{tmp}/lake").filter("asset_type = 'stock'")
+    still_open = 2
+    assert lake.agg(F.sum("record_count")).first()[0] + side.count() + still_open == n
+    first = lake.filter(F.hour("window_start") == 10).first()
+    assert (first["open_price"], first["close_price"], first["record_count"]) == (1.0, 3.0, 3)
+    second = lake.filter(F.hour("window_start") == 12).first()
+    # the tick of 12:10 comes with the batch that closes its window, and still counts
+    assert (second["open_price"], second["close_price"], second["record_count"]) == (5.0, 8.0, 4)
+    assert side.filter("reason = 'late'").filter(F.col("json_value").contains("9.0")).count() == 3
+
+
+def test_rejects_of_the_per_batch_mode(spark, tmp):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1, 10)
+    _land_rows(spark, [_stock_message("A", t, 1.0), ("A", "{", "raw_stock_ticks", t)], f"{tmp}/in/stock")
+    _land_rows(spark, [_crypto_message("B", t, 1.0), ("B", "{}", "raw_crypto_ticks", t)], f"{tmp}/in/crypto")
+    q = run_pipeline(read_message_files(spark, f"{tmp}/in/stock"), read_message_files(spark, f"{tmp}/in/crypto"),
+                     f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", f"{tmp}/ckpt", trigger={"availableNow": True},
+                     width=WIDTH, per_batch=True, side_path=f"{tmp}/side")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert sorted((r["topic"], r["reason"]) for r in spark.read.parquet(f"{tmp}/side").collect()) == [
+        ("raw_crypto_ticks", "no_symbol"), ("raw_stock_ticks", "malformed")]
+    assert spark.read.parquet(f"{tmp}/lake").agg(F.sum("record_count")).first()[0] == 2
+
+
+def test_missing_history_fails_the_batch(spark, tmp):
+    """A version that the manifest names and that is gone, or not whole, is an error."""
+    import shutil
+    from tickwise.streaming.pipeline import MissingHistory, VersionedTable, backfill, make_batch_scorer
+    t = T.ticks_from_events(spark, SF_SMALL).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    day = F.lit("2024-01-15").cast("timestamp")
+    backfill(t.filter(F.col("event_time") < day), f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state", 0, WIDTH, "event_id")
+    table = VersionedTable(spark, f"{tmp}/state")
+    assert table.marks() == table.versions() == [(0, 0)]
+    shutil.move(f"{tmp}/state/v=0-0", f"{tmp}/away")
+    later = window_features(t.filter(F.col("event_time") >= day), WIDTH, "event_id")
+    fn = make_batch_scorer(spark, f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state")
+    with pytest.raises(MissingHistory):
+        fn(later, 1)
+    assert table.versions() == []            # nothing was written over the gap
+    shutil.move(f"{tmp}/away", f"{tmp}/state/v=0-0")
+    os.rename(f"{tmp}/state/v=0-0/_SUCCESS", f"{tmp}/state/v=0-0/_gone")
+    with pytest.raises(MissingHistory):
+        fn(later, 1)
+    os.rename(f"{tmp}/state/v=0-0/_gone", f"{tmp}/state/v=0-0/_SUCCESS")
+    fn(later, 1)
+    cols = ["symbol", "anomaly_type", "window_start", "z_score", "mean_value", "std_value"]
+    exp = detect_anomalies(window_features(t, WIDTH, "event_id")).collect()
+    assert _key(spark.read.parquet(f"{tmp}/anoms").collect(), cols) == _key(exp, cols)
+
+
+def test_failed_history_fails_the_query(spark, tmp):
+    """The same in a running stream: the query ends with the error and writes no state."""
+    import shutil
+    from tickwise.streaming.pipeline import stream_anomalies, stream_features
+    schema = "symbol string, asset_type string, event_time timestamp, price double, volume double"
+
+    def day(d):
+        return _ticks(spark, [("A", "stock", f"2024-01-{d:02d} {h:02d}:00:00", 10.0 + h % 3, 1.0 + h) for h in range(12)])
+
+    def run():
+        src = spark.readStream.schema(schema).parquet(f"{tmp}/in")
+        q = stream_anomalies(stream_features(src, WIDTH, "1 second"), f"{tmp}/lake", f"{tmp}/anoms", f"{tmp}/state",
+                             f"{tmp}/ckpt", {"availableNow": True}, width=WIDTH)
+        try:
+            q.awaitTermination(120)
+        except Exception:
+            pass
+        return q
+    day(1).coalesce(1).write.parquet(f"{tmp}/in")
+    assert run().exception() is None
+    for name in [d for d in os.listdir(f"{tmp}/state") if d.startswith("v=")]:
+        shutil.rmtree(f"{tmp}/state/{name}")
+    day(2).coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    assert "MissingHistory" in str(run().exception())
+    assert not [d for d in os.listdir(f"{tmp}/state") if d.startswith("v=")]

@@ -16,14 +16,23 @@
   nothing and continue the history. A batch replayed after a failure overwrites
   its own output; errors fail the query instead of being swallowed, so the batch
   is replayed rather than lost.
-* Each source has its own watermark. Spark lets the slowest of them decide (the
-  ``min`` policy), so a source that lags loses nothing to one that is ahead; a
-  source that falls silent holds windows open until it speaks again.
+* Each source is a query of its own, with its own watermark, checkpoint and state,
+  on shared outputs: a source that is behind loses nothing to one that is ahead,
+  and one whose time stands still (a closed exchange) holds up nothing but itself.
+  ``independent=False`` runs both as one query instead, where the slowest watermark
+  decides for all windows.
+* With a ``side_path``, messages that give no tick and ticks that come too late are
+  written there, as they came, with the reason: ticks in windows, late ticks and
+  rejects add up to the messages.
+* The state of a batch is found through a manifest that names the version before
+  it; a version that is gone is an error, never an empty history.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -36,7 +45,7 @@ from tickwise import schemas as S
 from tickwise.functions.columns import interval_seconds
 from tickwise.operators.anomalies import score_with_history, score_with_tail
 from tickwise.operators.features import window_features
-from tickwise.operators.ticks import parse_crypto, parse_stock, unify_ticks
+from tickwise.operators.ticks import CRYPTO, STOCK, Shape, align_columns, graded_messages, parse_messages, unify_ticks
 from tickwise.session import scratch_path
 from tickwise.sinks.lake import write_lake
 
@@ -57,8 +66,10 @@ def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
     """Final feature windows of a tick stream (append mode).
 
     ``delay`` is the watermark (None: the sources carry their own): ticks later than that behind the newest event
-    time are dropped (counted in ``numRowsDroppedByWatermark``); a window is
-    emitted once the watermark passes its end. Spark filters late rows with
+    time are dropped (``numRowsDroppedByWatermark`` counts what is left of them after
+    the partial aggregation, one for each task, window and symbol; ``run_pipeline``
+    with a ``side_path`` keeps every one); a window is emitted once the watermark
+    passes its end. Spark filters late rows with
     the previous micro-batch's watermark and evicts with the current one, so a
     late row that arrives in the very batch that closes its window still
     counts. State = open windows x symbols.
@@ -67,47 +78,75 @@ def stream_features(ticks: DataFrame, width: str = S.DEFAULT_WIDTH,
     return window_features(marked, width, tie_breaker, time_col)
 
 
+class MissingHistory(RuntimeError):
+    """The state that a batch has to continue from is not there."""
+
+
 class VersionedTable:
     """A small per-symbol state table (moments, or the last windows), one
     version per (run, batch); a replayed batch rewrites its own version. The
     newest ``retain`` versions before the current one are kept, however far apart
-    their batches are."""
+    their batches are.
 
-    def __init__(self, spark: SparkSession, path: str, retain: int = 10):
+    Every finished write leaves a mark in the manifest. A batch continues from the
+    version of the newest mark before it and fails if that version is not there or
+    not whole. ``base`` is a table from which the first batch continues, if this one
+    has no version yet (backfills before a stream)."""
+
+    def __init__(self, spark: SparkSession, path: str, retain: int = 10, base: str | None = None):
         self.spark, self.path, self.retain = spark, path, retain
+        self.base = VersionedTable(spark, base, retain) if base and base != path else None
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
-    def versions(self) -> list[tuple[int, int]]:
-        fs, p, _ = self._fs()
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    def _listed(self, folder: str) -> list[tuple[int, int]]:
+        fs, jvm = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
         return sorted(tuple(map(int, n[2:].split("-"))) for n in names if n.startswith("v="))
 
+    def versions(self) -> list[tuple[int, int]]:
+        return self._listed(self.path)
+
+    def marks(self) -> list[tuple[int, int]]:
+        """(run, batch) of every finished write."""
+        return self._listed(f"{self.path}/_manifest")
+
+    @staticmethod
+    def _name(version: tuple[int, int]) -> str:
+        return f"v={version[0]}-{version[1]}"
+
     def _folder(self, version: tuple[int, int]) -> str:
-        return f"{self.path}/v={version[0]}-{version[1]}"
+        return f"{self.path}/{self._name(version)}"
 
     def read(self, batch_id: int, run_id: int = 0) -> DataFrame | None:
-        """Latest version strictly before the batch (None if there is none).
+        """The version that the manifest names for the batch (None for the first one).
 
-        The version is chosen from the folder names (a metadata listing of few
-        entries), so no Spark job runs and only that one version's files are read.
+        It is chosen from folder names (a metadata listing of few entries), so no
+        Spark job runs and only that one version's files are read.
         """
-        older = [v for v in self.versions() if v < (run_id, batch_id)]
-        return self.spark.read.parquet(self._folder(older[-1])) if older else None
+        marks = self.marks()
+        older = [v for v in marks or self.versions() if v < (run_id, batch_id)]   # versions: a table without a manifest
+        if not older:
+            return self.base.read(batch_id, run_id) if self.base else None
+        folder = self._folder(older[-1])
+        fs, jvm = self._fs()
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")):
+            raise MissingHistory(f"batch {batch_id} of run {run_id} continues from {folder}, which is not there or not "
+                                 "whole; restore it, or backfill the history before it")
+        return self.spark.read.parquet(folder)
 
     def write(self, table: DataFrame, batch_id: int, run_id: int = 0) -> None:
-        table.write.mode("overwrite").parquet(self._folder((run_id, batch_id)))
-        self._prune((run_id, batch_id))
-
-    def _prune(self, current: tuple[int, int]) -> None:
-        fs, p, jvm = self._fs()
+        current = (run_id, batch_id)
+        table.write.mode("overwrite").parquet(self._folder(current))
+        fs, jvm = self._fs()
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_manifest/{self._name(current)}"))
         for v in [v for v in self.versions() if v < current][:-self.retain]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._folder(v)), True)
+            for path in (f"{self.path}/_manifest/{self._name(v)}", self._folder(v)):   # the mark goes first
+                fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def run_of(spark: SparkSession, checkpoint: str, state_path: str) -> int:
@@ -146,14 +185,15 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                       state_path: str, threshold: float = S.Z_SCORE_THRESHOLD,
                       mode: str = "compat", extra_sinks: list[Callable] | None = None,
                       lookback: int | None = None,
-                      width: str | None = None, run_id: int = 0) -> Callable[[DataFrame, int], None]:
+                      width: str | None = None, run_id: int = 0,
+                      base_state: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: lake write, scoring with history, sinks.
 
     State: per-symbol moments of all earlier windows (``lookback=None``) or
     the last ``lookback`` windows per symbol. A known window ``width`` fixes
     the scan's chunk length up front (no per-batch job to measure it).
     """
-    store = VersionedTable(spark, state_path)
+    store = VersionedTable(spark, state_path, base=base_state)
     sinks = _bound(extra_sinks, run_id, state_path)
     w_sec = interval_seconds(width) if width else None
     chunk_seconds = w_sec * 256 if w_sec else None
@@ -290,23 +330,114 @@ def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path:
     fn(windows, batch_id)
 
 
+def late_before(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Milliseconds up to which windows were closed when the batch came: the watermark
+    that the checkpoint holds for the batch before it (Spark drops late rows by that
+    one). It is noted before a batch runs, so a replay sees the same."""
+    if batch_id == 0:
+        return 0
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets/{batch_id - 1}")
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        lines = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+    finally:
+        stream.close()
+    return int(json.loads(lines[1])["batchWatermarkMs"])
+
+
+def _with_messages(features: DataFrame, graded: DataFrame) -> DataFrame:
+    """Final windows and graded messages as rows of one stream, so that a micro-batch
+    brings both (the source is one and the same in both branches)."""
+    window = F.struct(*[F.col(c) for c in features.columns])
+    message = F.struct(*[F.col(c) for c in graded.columns if c != "tick"], F.col("tick.event_time").alias("event_time"))
+    left, right = features.select(window.alias("window")), graded.select(message.alias("message"))
+    return left.withColumn("message", F.lit(None).cast(right.schema["message"].dataType)).unionByName(
+        right.withColumn("window", F.lit(None).cast(left.schema["window"].dataType)))
+
+
+def with_side_output(process: Callable[[DataFrame, int], None], side_path: str, checkpoint: str, width: str,
+                     run_id: int) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body over ``_with_messages``: messages without a tick and
+    late ticks go to ``side_path`` (their reasons, ``late`` for these), by run and
+    batch, and the windows to ``process``. The batch is kept while it is used, the
+    messages among it; they are not aggregated a second time."""
+    def both(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            messages = batch.filter("message IS NOT NULL").select("message.*")
+            closed = F.timestamp_millis(F.lit(late_before(spark, checkpoint, batch_id)))
+            late = (messages.filter("reason IS NULL").withColumn("_end", F.window("event_time", width)["end"])
+                    .filter(F.col("_end") <= closed).drop("_end").withColumn("reason", F.lit("late")))
+            write_batch_partition(messages.filter("reason IS NOT NULL").unionByName(late), side_path, batch_id, run_id)
+            process(batch.filter("window IS NOT NULL").select("window.*"), batch_id)
+        finally:
+            batch.unpersist()
+    return both
+
+
+class StreamGroup:
+    """The queries of one pipeline. A failure of one of them ends the group when it is
+    waited for, so that a restart replays it as a whole."""
+
+    def __init__(self, queries: dict[str, StreamingQuery]):
+        self.queries = queries
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries.values())
+
+    @property
+    def recentProgress(self) -> list:
+        return [p for q in self.queries.values() for p in q.recentProgress]
+
+    def exception(self):
+        return next((e for q in self.queries.values() if (e := q.exception()) is not None), None)
+
+    def stop(self) -> None:
+        for q in self.queries.values():
+            q.stop()
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:
+        """True when all queries have ended, False after ``timeout`` seconds; raises the
+        error of a query that failed, after stopping the others."""
+        end = None if timeout is None else time.monotonic() + timeout
+        while self.isActive and self.exception() is None:
+            if end is not None and time.monotonic() >= end:
+                return False
+            time.sleep(0.1)
+        if self.exception() is not None:
+            self.stop()
+            raise self.exception()
+        return True
+
+
 def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
                      state_path: str | None = None, checkpoint: str | None = None,
                      trigger: dict | None = None, threshold: float = S.Z_SCORE_THRESHOLD,
                      mode: str = "compat", extra_sinks: list[Callable] | None = None,
                      query_name: str | None = None, lookback: int | None = None,
-                     width: str | None = None) -> StreamingQuery:
+                     width: str | None = None, registry: str | None = None,
+                     messages: DataFrame | None = None, side_path: str | None = None) -> StreamingQuery:
     """Start the scoring query over a stream of final windows.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's
     cadence) or ``{"availableNow": True}``. Paths default to folders below the
-    shared ``spark.checkpoint.dir``.
+    shared ``spark.checkpoint.dir``. ``registry`` is the folder that numbers the runs
+    of all queries on the same outputs (default: the state). ``messages``
+    (``graded_messages`` of the same stream) with a ``side_path``: see
+    ``with_side_output``.
     """
     spark = features.sparkSession
     state_path = state_path or scratch_path(spark, "moments")
     checkpoint = checkpoint or scratch_path(spark, "pipeline")
+    run_id = run_of(spark, checkpoint, registry or state_path)
     fn = make_batch_scorer(spark, lake_path, anomalies_path, state_path, threshold, mode,
-                           extra_sinks, lookback, width, run_of(spark, checkpoint, state_path))
+                           extra_sinks, lookback, width, run_id, registry)
+    if side_path is not None:
+        features = _with_messages(features, messages)
+        fn = with_side_output(fn, side_path, checkpoint, width or S.DEFAULT_WIDTH, run_id)
     w = (features.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     if query_name:
@@ -322,37 +453,85 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
                  crypto_delay: str | None = None, threshold: float = S.Z_SCORE_THRESHOLD, mode: str = "compat",
                  source_tz: str = "UTC", extra_sinks: list[Callable] | None = None,
                  lookback: int | None = None, per_batch: bool = False,
-                 rocksdb_state: bool = False) -> StreamingQuery:
-    """Raw stock + crypto message streams -> parse -> unify -> final windows ->
-    lake + anomalies (one streaming query).
+                 rocksdb_state: bool = False, independent: bool = True,
+                 side_path: str | None = None) -> StreamGroup | StreamingQuery:
+    """Raw stock + crypto message streams -> parse -> final windows -> lake + anomalies.
+
+    Each source is a query of its own (a ``StreamGroup`` of ``stock`` and ``crypto``),
+    with checkpoint and state in folders of that name below the given ones; their
+    runs have numbers of their own, so the outputs are shared without conflict. A
+    (symbol, asset_type) is expected from one source only. ``independent=False`` is
+    one query over both, for checkpoints of that kind: there the slower source
+    holds the windows of both open.
 
     ``delay`` is the lateness that the stock stream, and the crypto stream unless
     ``crypto_delay`` says otherwise, allows within itself; how far one stream is
-    behind the other does not matter.
+    behind the other does not matter. ``side_path``: rejects and late ticks go there.
     ``per_batch=True`` reproduces the reference's micro-batch semantics instead
-    (see ``make_per_batch_processor``); ``extra_sinks`` e.g. ``[jdbc_sink(url)]``.
+    (see ``make_per_batch_processor``; one query, nothing is late);
+    ``extra_sinks`` e.g. ``[jdbc_sink(url)]``.
     ``rocksdb_state=True`` keeps the window state in RocksDB instead of the JVM
     heap (for many symbols x open windows); it must be chosen before the first
-    run of a checkpoint, as must ``spark.sql.shuffle.partitions``.
+    run of a checkpoint, as must ``spark.sql.shuffle.partitions``. The session is
+    left as it was: a query keeps the settings it was started with.
     """
-    if rocksdb_state:
-        stock_raw.sparkSession.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    strict = mode == "strict"
-    stock, crypto = parse_stock(stock_raw, source_tz, strict), parse_crypto(crypto_raw, strict)
+    spark, strict = stock_raw.sparkSession, mode == "strict"
+    state_path = state_path or scratch_path(spark, "moments")
+    checkpoint = checkpoint or scratch_path(spark, "pipeline")
+    raws: dict[str, tuple[DataFrame, Shape, str]] = {
+        "stock": (stock_raw, STOCK, delay), "crypto": (crypto_raw, CRYPTO, crypto_delay or delay)}
+
+    def zone(name: str) -> str:
+        return source_tz if name == "stock" else "UTC"
+
+    def graded(name: str) -> DataFrame:
+        raw, shape, _ = raws[name]
+        return graded_messages(raw, shape, zone(name), strict)
     if per_batch:
-        ticks = unify_ticks(stock, crypto, [*S.TICK_COLUMNS, "tie"])
-        checkpoint = checkpoint or scratch_path(ticks.sparkSession, "pipeline")
-        run_id = run_of(ticks.sparkSession, checkpoint, state_path or f"{anomalies_path}-runs")
-        fn = make_per_batch_processor(ticks.sparkSession, lake_path, anomalies_path, width,
+        run_id = run_of(spark, checkpoint, state_path)
+        fn = make_per_batch_processor(spark, lake_path, anomalies_path, width,
                                       threshold, mode, extra_sinks=extra_sinks, run_id=run_id)
-        w = (ticks.writeStream.foreachBatch(fn).outputMode("append")
+        messages = graded("stock").unionByName(graded("crypto"), allowMissingColumns=True)
+        w = (messages.writeStream.foreachBatch(_ticks_and_rejects(fn, side_path, run_id)).outputMode("append")
              .option("checkpointLocation", checkpoint))
         return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
-    ticks = unify_ticks(watermarked(stock, delay), watermarked(crypto, crypto_delay or delay),
-                        [*S.TICK_COLUMNS, "tie"])
-    feats = stream_features(ticks, width, None, "tie")
-    return stream_anomalies(feats, lake_path, anomalies_path, state_path, checkpoint,
-                            trigger, threshold, mode, extra_sinks, lookback=lookback,
-                            width=width)
+
+    def start(ticks: DataFrame, messages: DataFrame | None, folder: str) -> StreamingQuery:
+        feats = stream_features(align_columns(ticks, [*S.TICK_COLUMNS, "tie"]), width, None, "tie")
+        return stream_anomalies(feats, lake_path, anomalies_path, f"{state_path}{folder}", f"{checkpoint}{folder}", trigger,
+                                threshold, mode, extra_sinks, lookback=lookback, width=width, registry=state_path,
+                                messages=messages, side_path=side_path)
+
+    def ticks(name: str) -> DataFrame:
+        raw, shape, wait = raws[name]
+        return watermarked(parse_messages(raw, shape, zone(name), strict), wait)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    try:
+        if rocksdb_state:
+            spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        if independent:
+            return StreamGroup({name: start(ticks(name), graded(name), f"/{name}") for name in raws})
+        if (policy := spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy")) != "min":
+            raise ValueError(f"spark.sql.streaming.multipleWatermarkPolicy is {policy}: ticks of the slower source would be lost")
+        return start(unify_ticks(ticks("stock"), ticks("crypto"), [*S.TICK_COLUMNS, "tie"]),
+                     graded("stock").unionByName(graded("crypto"), allowMissingColumns=True), "")
+    finally:
+        spark.conf.set(provider, before)
+
+
+def _ticks_and_rejects(process: Callable[[DataFrame, int], None], side_path: str | None,
+                       run_id: int) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body over graded messages: rejects to ``side_path``, ticks to ``process``."""
+    def both(messages: DataFrame, batch_id: int) -> None:
+        if side_path is None:
+            process(messages.filter("reason IS NULL").select("tick.*"), batch_id)
+            return
+        messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = messages.filter("reason IS NOT NULL").withColumn("event_time", F.col("tick.event_time")).drop("tick")
+            write_batch_partition(rejects, side_path, batch_id, run_id)
+            process(messages.filter("reason IS NULL").select("tick.*"), batch_id)
+        finally:
+            messages.unpersist()
+    return both
