@@ -7,5 +7,5 @@ from tickwise.operators.anomalies import (  # noqa: F401
 from tickwise.operators.features import to_clean, window_features  # noqa: F401
 from tickwise.operators.rolling import merge_moments, moments, rolling_stats  # noqa: F401
 from tickwise.operators.ticks import (  # noqa: F401
-    align_columns, parse_crypto, parse_stock, select_symbols, unify_ticks,
+    align_columns, parse_crypto, parse_rejects, parse_stock, select_symbols, unify_ticks,
 )

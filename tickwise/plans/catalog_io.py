@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from tickwise import schemas as S
 from tickwise.functions.columns import recent, round_cols, threshold_band
 from tickwise.operators.ticks import (
-    align_columns, parse_crypto, parse_stock, select_symbols, unify_ticks,
+    CRYPTO, STOCK, align_columns, parse_crypto, parse_messages, parse_rejects, parse_stock, select_symbols, unify_ticks,
 )
 from tickwise.plans import oracle as O
 from tickwise.plans.catalog import FEAT_COLS, FEAT_ROUND, _clean, register
-from tickwise.session import scratch_path
-from tickwise.sinks.lake import read_lake, write_lake
+from tickwise.session import materialize, scratch_path
+from tickwise.sinks.lake import compact_lake, read_lake, vacuum_lake, write_lake
 from tickwise.sources import payloads as P
 from tickwise.sources import tables as T
 
@@ -72,6 +72,59 @@ def q_unify_ticks(spark, sf):
     return _ntz(u, *_TS)
 
 
+_BAD = f"""WITH {O.TICKS}, messages AS (
+  SELECT *, CASE WHEN symbol <> 'view' THEN volume END AS told,
+    CASE asset_type WHEN 'stock' THEN 'raw_stock_ticks' ELSE 'raw_crypto_ticks' END AS topic FROM ticks),
+graded AS (SELECT *, CASE CAST(told AS INT) WHEN 0 THEN 'empty' WHEN 1 THEN 'empty' WHEN 2 THEN 'malformed'
+    WHEN 3 THEN 'malformed' WHEN 4 THEN 'malformed' WHEN 5 THEN 'no_symbol' WHEN 6 THEN 'no_symbol' WHEN 7 THEN 'no_time' END AS reason
+  FROM messages)
+"""
+
+
+def _bad_messages(spark, sf):
+    return {STOCK: T.with_bad_messages(T.raw_stock_messages(spark, sf)),
+            CRYPTO: T.with_bad_messages(T.raw_crypto_messages(spark, sf))}
+
+
+@register("parse_rejects", _BAD + """SELECT topic, symbol AS msg_key, event_id AS "offset", reason,
+  CASE WHEN reason <> 'no_time' THEN event_time END AS kafka_timestamp FROM graded WHERE reason IS NOT NULL""")
+def q_parse_rejects(spark, sf):
+    """Messages of all kinds that give no tick, with the reason."""
+    stock, crypto = (parse_rejects(raw, shape) for shape, raw in _bad_messages(spark, sf).items())
+    return _ntz(stock.unionByName(crypto).select("topic", "msg_key", "offset", "reason", "kafka_timestamp"), "kafka_timestamp")
+
+
+@register("parse_accounting", _BAD + """SELECT topic, count(*) AS messages, count(*) FILTER (reason IS NULL) AS ticks,
+  count(*) FILTER (reason IS NOT NULL) AS rejects, true AS complete FROM graded GROUP BY topic""")
+def q_parse_accounting(spark, sf):
+    """Per topic: messages, ticks and rejects, each counted on its own."""
+    parts = []
+    for (shape, raw), topic in zip(_bad_messages(spark, sf).items(), (S.TOPIC_RAW_STOCK, S.TOPIC_RAW_CRYPTO)):
+        count = F.count(F.lit(1))
+        # one row each: the cross join is a broadcast of a single row
+        parts.append(raw.agg(count.alias("messages")).crossJoin(parse_messages(raw, shape).agg(count.alias("ticks")))
+                     .crossJoin(parse_rejects(raw, shape).agg(count.alias("rejects")))
+                     .select(F.lit(topic).alias("topic"), "messages", "ticks", "rejects",
+                             (F.col("messages") == F.col("ticks") + F.col("rejects")).alias("complete")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("parse_crypto_candles_only", f"""WITH {O.TICKS}
+SELECT symbol, event_time, price, 0.0 AS volume FROM ticks WHERE asset_type = 'crypto'""")
+def q_parse_crypto_candles_only(spark, sf):
+    """Volumes of candles alone (they have none here): spot messages count as no volume."""
+    t = parse_crypto(T.raw_crypto_messages(spark, sf), volume_source="volume")
+    return _ntz(t.select("symbol", "event_time", "price", "volume"), "event_time")
+
+
+@register("parse_crypto_spot_only", f"""WITH {O.TICKS}
+SELECT symbol, event_time, price, CASE WHEN symbol = 'view' THEN 0.0 ELSE coalesce(volume, 0.0) END AS volume
+FROM ticks WHERE asset_type = 'crypto'""")
+def q_parse_crypto_spot_only(spark, sf):
+    t = parse_crypto(T.raw_crypto_messages(spark, sf), volume_source="volume_24h")
+    return _ntz(t.select("symbol", "event_time", "price", "volume"), "event_time")
+
+
 def _with_tie(sql: str) -> str:
     return sql.replace("event_time AS kafka_timestamp", "event_id").replace(
         "price AS open, price AS high, price AS low, price AS close, volume", "volume").replace(
@@ -267,6 +320,67 @@ def q_read_lake(spark, sf):
                             F.col("total_volume").alias("volume")), "window_start")
 
 
+def _lake_in_batches(spark, sf):
+    """A lake as a stream leaves it: windows of five days a batch, one file for each day and type."""
+    path = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    windows = materialize(T.windows_from_events(spark, sf), "lake-windows")
+    for k in range(6):
+        lo, hi = (F.expr(f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + INTERVAL {5 * d} DAYS") for d in (k, k + 1))
+        part = windows.filter(((F.col("window_start") >= lo) | F.lit(k == 0)) & ((F.col("window_start") < hi) | F.lit(k == 5)))
+        write_lake(part, path, batch_id=k, by_symbol=False)
+    return path
+
+
+@register("read_lake_compacted", O.with_clean(
+    "SELECT symbol, asset_type, window_start, close_price, volume, CAST(window_start AS DATE) AS date FROM clean"))
+def q_read_lake_compacted(spark, sf):
+    """A lake whose days before the 20th are compacted, the covered folders removed and the
+    first batch written once more: the same rows as the windows."""
+    path = _lake_in_batches(spark, sf)
+    compact_lake(spark, path, "2024-01-20")
+    vacuum_lake(spark, path)
+    first = T.windows_from_events(spark, sf).filter("window_start < TIMESTAMP_NTZ'2024-01-06 00:00:00'")
+    write_lake(first, path, batch_id=0, by_symbol=False)
+    return _ntz(read_lake(spark, path).select("symbol", "asset_type", "window_start", "close_price",
+                                              F.col("total_volume").alias("volume"), "date"), "window_start")
+
+
+@register("lake_inventory_counts", O.with_clean(
+    "SELECT count(DISTINCT (CAST(window_start AS DATE), asset_type)) AS files, "
+    "count(DISTINCT (CAST(window_start AS DATE), asset_type)) AS partitions, 'SUCCESS' AS status FROM clean"))
+def q_lake_inventory_counts(spark, sf):
+    """Files and partition folders of a lake with one writer for each day and type."""
+    from tickwise.plans.quality import lake_inventory
+    return lake_inventory(spark, _lake_in_batches(spark, sf)).select("files", "partitions", "status")
+
+
+_NEWEST = O.with_clean(
+    "SELECT strftime(CAST(window_start AS DATE), '%Y-%m-%d') AS day, asset_type, 1::BIGINT AS files FROM clean "
+    "WHERE window_start >= TIMESTAMP '2024-01-26 00:00:00' GROUP BY 1, 2")
+
+
+def _day_and_type(col):
+    return (F.regexp_extract(col, "date=([0-9-]+)", 1).alias("day"), F.regexp_extract(col, "asset_type=([a-z]+)", 1).alias("asset_type"))
+
+
+@register("newest_partitions", _NEWEST)
+def q_newest_partitions(spark, sf):
+    """The partition folders of the last batch, which are the newest ones; as many as it wrote."""
+    from tickwise.plans.quality import lake_files, newest_partitions
+    path = _lake_in_batches(spark, sf)
+    last = lake_files(spark, path).filter(F.col("path").contains("/batch_id=5/")).count()
+    return newest_partitions(spark, path, last).select(*_day_and_type("partition"), "files")
+
+
+@register("newest_files", _NEWEST.replace("1::BIGINT AS files", "count(*) > 0 AS has_rows"))
+def q_newest_files(spark, sf):
+    """The files of the last batch, which are the newest ones."""
+    from tickwise.plans.quality import lake_files, newest_files
+    path = _lake_in_batches(spark, sf)
+    last = lake_files(spark, path).filter(F.col("path").contains("/batch_id=5/")).count()
+    return newest_files(spark, path, last).select(*_day_and_type("path"), (F.col("length") > 0).alias("has_rows"))
+
+
 @register("lake_partitions", O.with_clean(
     "SELECT CAST(window_start AS DATE) AS date, asset_type, count(*) AS row_count FROM clean GROUP BY 1, 2"))
 def q_lake_partitions(spark, sf):

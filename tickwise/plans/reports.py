@@ -57,11 +57,15 @@ def _latest_per_symbol(clean: DataFrame) -> DataFrame:
     asset_type): every fixed-width column is taken with ``max_by`` on one
     packed decimal key, so the partial aggregate reduces a hot symbol to one
     row per map task without sorting. Level 2 picks across asset types on
-    that tiny result. Variable-width columns other than the keys are dropped.
+    that tiny result. A table with variable-width columns (``max_by`` of which would
+    sort) goes through ``latest_rows``.
     """
     key = _recency_key(clean)
+    names = [f.name for f in clean.schema.fields if f.name not in ("symbol", "asset_type")]
     cols = [f.name for f in clean.schema.fields
-            if f.name not in ("symbol", "asset_type") and isinstance(f.dataType, _FIXED_WIDTH)]
+            if f.name in names and isinstance(f.dataType, _FIXED_WIDTH)]
+    if cols != names:
+        return latest_rows(clean)
     lvl1 = clean.groupBy("symbol", "asset_type").agg(
         F.max(key).alias("_k"), *[F.max_by(c, key).alias(c) for c in cols])
     rest = ["asset_type"] + cols
@@ -70,6 +74,25 @@ def _latest_per_symbol(clean: DataFrame) -> DataFrame:
             .select("symbol", *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
+def latest_rows(clean: DataFrame) -> DataFrame:
+    """Whole rows of ``_latest_per_symbol``, columns of any type: the newest key of each
+    symbol by a hash aggregation, then one join back that only the rows with that key
+    pass. The keys' side has one row per symbol (Spark broadcasts it where that is
+    small). Rows that tie in all of key and asset type are compared by a hash of
+    their columns, so that the choice does not depend on their order.
+    """
+    key = _recency_key(clean)
+    newest = (clean.groupBy("symbol", "asset_type").agg(F.max(key).alias("_k"))
+              .groupBy("symbol").agg(F.max_by(F.struct("asset_type", "_k"), F.struct("_k", "asset_type")).alias("_n"))
+              .select(F.col("symbol").alias("_symbol"), F.col("_n.asset_type").alias("_type"), F.col("_n._k").alias("_key")))
+    same = (F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("asset_type").eqNullSafe(F.col("_type"))
+            & (key == F.col("_key")))
+    rows = clean.join(newest, same).select(*clean.columns)
+    tie = F.xxhash64(*[F.col(c) for c in clean.columns])
+    return (rows.groupBy("symbol").agg(F.max_by(F.struct(*clean.columns), tie).alias("_r"))
+            .select(*[F.col(f"_r.{c}").alias(c) for c in clean.columns]))
+
+
 # ---------------------------------------------------------------------------
 # stat panels
 # ---------------------------------------------------------------------------
@@ -182,6 +205,14 @@ def current_prices(clean: DataFrame) -> DataFrame:
             .orderBy("symbol"))
 
 
+def current_prices_short(clean: DataFrame) -> DataFrame:
+    """The short form of the table: symbol, type, price and return."""
+    return (_latest_per_symbol(clean)
+            .select("symbol", "asset_type", _r("close_price", 2, "price"), _r("price_return_pct", 4, "return_pct"),
+                    F.col("window_start").alias("updated_at"))
+            .orderBy("symbol"))
+
+
 def ohlc_latest_per_symbol(clean: DataFrame) -> DataFrame:
     return (_latest_per_symbol(clean)
             .select("symbol", "asset_type", _r("open_price", 2, "open"),

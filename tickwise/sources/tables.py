@@ -89,7 +89,7 @@ def clean_and_anomalies(spark, sf_dir, width: str = FIXTURE_WIDTH) -> tuple[Data
 # ---------------------------------------------------------------------------
 # A data-driven defect exercises the fallback on every scale factor:
 #   price <  2    -> unparsable timestamp text   -> broker timestamp used
-# (malformed JSON, which gives no tick, is tested on hand-made rows)
+# (messages that give no tick: ``with_bad_messages``)
 BAD_TS_MAX_PRICE = 2.0
 CANDLE_SYMBOL = "view"
 
@@ -132,6 +132,26 @@ def raw_crypto_messages(spark, sf_dir) -> DataFrame:
                     .otherwise(F.to_json(spot)))
 
 
+#: Kinds of messages that give no tick, by the volume of the event they stand for
+#: (0 to 99), so that every scale factor has all of them.
+BAD_MESSAGES = ("none", "blank", "cut off", "array", "number", "no symbol", "null symbol", "no time")
+
+
+def with_bad_messages(messages: DataFrame) -> DataFrame:
+    """``messages`` in which those of events with ``k`` < 8 are bad, each ``k`` in its own way
+    (candles carry no ``k``, and all of them are good)."""
+    js = F.col("json_value")
+    field = F.when(F.col("topic") == "raw_stock_ticks", "$.volume").otherwise("$.volume_24h")
+    k = F.get_json_object(js, field).try_cast("double").cast("int")
+    forms = (F.lit(None).cast("string"), F.lit(" "), F.substring(js, F.lit(1), F.length(js) - 3), F.concat(F.lit("["), js, F.lit("]")),
+             F.lit("17"), F.regexp_replace(js, '"symbol":"[a-z]+",', ""), F.regexp_replace(js, '"symbol":"[a-z]+"', '"symbol":null'),
+             F.regexp_replace(js, '"timestamp":"[^"]+"', '"timestamp":"never"'))
+    bad = js
+    for i, form in enumerate(forms):
+        bad = F.when(k == i, form).otherwise(bad)
+    return messages.withColumns({"json_value": bad, "kafka_timestamp": F.when(~F.coalesce(k == 7, F.lit(False)), F.col("kafka_timestamp"))})
+
+
 # ---------------------------------------------------------------------------
 # vendor payloads derived from events (for the payload flatteners)
 # ---------------------------------------------------------------------------
