@@ -65,37 +65,41 @@ def _num(x: float) -> str:
         else f"{float(x)!r}D"
 
 
+# Each scoring expression has one form, SQL text, so that many columns are built in one
+# call; the functions give it as a Column.
+
 def z_score_sql(value: str, mean: str, std: str) -> str:
-    """SQL text of ``z_score`` (for building many columns in one call)."""
+    """(x - mean) / std when std is known and positive, else 0.0."""
     return (f"CASE WHEN {std} IS NOT NULL AND {std} > 0D THEN ({value} - {mean}) / {std} "
             f"ELSE 0D END")
 
 
-PCT_FALLBACK_SQL = (f"(abs(price_return_pct) > {_num(S.FALLBACK_RETURN_PCT)} "
-                    f"OR rolling_volatility > avg_price * {_num(S.FALLBACK_VOL_RATIO)})")
-SEVERITY_SQL = (f"CASE WHEN abs(z_score) > {_num(S.SEVERITY_HIGH_Z)} THEN 'high' "
-                f"WHEN abs(z_score) > {_num(S.SEVERITY_MEDIUM_Z)} THEN 'medium' ELSE 'low' END")
+def pct_fallback_sql(return_col: str = "price_return_pct", vol_col: str = "rolling_volatility",
+                     avg_col: str = "avg_price") -> str:
+    """Early-window rule: big return or volatility above 2 % of the average price."""
+    return (f"(abs({return_col}) > {_num(S.FALLBACK_RETURN_PCT)} "
+            f"OR {vol_col} > {avg_col} * {_num(S.FALLBACK_VOL_RATIO)})")
 
 
-def z_score(value, mean, std) -> Column:
-    """(x - mean) / std when std is known and positive, else 0.0."""
-    std = _c(std)
-    return (F.when(std.isNotNull() & (std > 0), (_c(value) - _c(mean)) / std)
-            .otherwise(F.lit(0.0)))
+def severity_sql(z: str = "z_score") -> str:
+    return (f"CASE WHEN abs({z}) > {_num(S.SEVERITY_HIGH_Z)} THEN 'high' "
+            f"WHEN abs({z}) > {_num(S.SEVERITY_MEDIUM_Z)} THEN 'medium' ELSE 'low' END")
 
 
-def pct_fallback(return_col="price_return_pct", vol_col="rolling_volatility",
-                 avg_col="avg_price") -> Column:
-    """Early-window rule: big return or volatility above 2 % of the average price."""
-    return ((F.abs(_c(return_col)) > F.lit(S.FALLBACK_RETURN_PCT))
-            | (_c(vol_col) > _c(avg_col) * F.lit(S.FALLBACK_VOL_RATIO)))
+PCT_FALLBACK_SQL, SEVERITY_SQL = pct_fallback_sql(), severity_sql()
+
+
+def z_score(value: str, mean: str, std: str) -> Column:
+    return F.expr(z_score_sql(value, mean, std))
+
+
+def pct_fallback(return_col: str = "price_return_pct", vol_col: str = "rolling_volatility",
+                 avg_col: str = "avg_price") -> Column:
+    return F.expr(pct_fallback_sql(return_col, vol_col, avg_col))
 
 
-def severity(z="z_score") -> Column:
-    az = F.abs(_c(z))
-    return (F.when(az > S.SEVERITY_HIGH_Z, "high")
-            .when(az > S.SEVERITY_MEDIUM_Z, "medium")
-            .otherwise("low"))
+def severity(z: str = "z_score") -> Column:
+    return F.expr(severity_sql(z))
 
 
 def threshold_band(value, bands: Sequence[float],
@@ -141,6 +145,7 @@ def symbol_list(csv: str) -> Column:
 
 
 SNAP_DIGITS = 9
+ROUNDED_BELOW = 1e15
 
 
 def round_half_away(col, digits: int) -> Column:
@@ -153,18 +158,23 @@ def round_half_away(col, digits: int) -> Column:
     Step 2 (decimal): the snapped value becomes ``DECIMAL(38,9)`` and is
     rounded there, so 2.675 -> 2.68 and 1037.0821875 -> 1037.082188, as a
     store computing ``ROUND(x::numeric, n)`` shows them. Returns a double.
+    NaN, the infinities and values from 10^15 on, which have no such places as
+    doubles, are returned as they are.
     """
-    snap = F.lit(float(10 ** SNAP_DIGITS))
-    y = F.round(_c(col).cast("double") * snap, 0) / snap
-    return F.round(y.cast(f"decimal(38,{SNAP_DIGITS})"), digits).cast("double")
+    snap, x = F.lit(float(10 ** SNAP_DIGITS)), _c(col).cast("double")
+    y = F.round(x * snap, 0) / snap
+    rounded = F.round(y.cast(f"decimal(38,{SNAP_DIGITS})"), digits).cast("double")
+    return F.when(F.abs(x) < F.lit(ROUNDED_BELOW), rounded).otherwise(x)
 
 
 def round_sql(expr: str, digits: int) -> str:
     """SQL text of ``round_half_away`` (DuckDB dialect). The double -> decimal
     step goes through the shortest decimal text, as Spark's cast does; a
     direct cast would scale in binary and lose halves of large values."""
-    return (f"CAST(round(CAST(CAST(round({expr}, {SNAP_DIGITS}) AS VARCHAR) "
-            f"AS DECIMAL(38,{SNAP_DIGITS})), {digits}) AS DOUBLE)")
+    rounded = (f"CAST(round(CAST(CAST(round({expr}, {SNAP_DIGITS}) AS VARCHAR) "
+               f"AS DECIMAL(38,{SNAP_DIGITS})), {digits}) AS DOUBLE)")
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"CASE WHEN isfinite({x}) AND abs({x}) < {ROUNDED_BELOW!r} THEN {rounded} ELSE {x} END"
 
 
 def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame:

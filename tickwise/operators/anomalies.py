@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickwise import schemas as S
 from tickwise.functions.columns import PCT_FALLBACK_SQL, SEVERITY_SQL, _num, z_score_sql
 from tickwise.operators.rolling import FEATURES, merge_moments, moments, rolling_stats
+from tickwise.session import materialize
 
 
 def z_scores(stats: DataFrame, features=FEATURES) -> DataFrame:
@@ -47,12 +48,14 @@ def detect_anomalies(windows: DataFrame, threshold: float = S.Z_SCORE_THRESHOLD,
 
     ``detected_at``: column name or Column; default ``current_timestamp()``.
     ``min_rows``: no anomalies if the input has fewer window rows (the
-    reference skips batches with fewer than two); evaluated as an
-    uncorrelated scalar subquery, so no single-partition window is needed.
+    reference skips batches with fewer than two); the count is an uncorrelated
+    scalar subquery over the stored windows that the statistics are read from.
     ``stats``: pre-computed rolling stats (e.g. from ``score_with_history``).
     """
     if mode not in ("compat", "strict"):
         raise ValueError("mode must be 'compat' or 'strict'")
+    if min_rows is not None:
+        windows = materialize(windows, "guard-input")
     if stats is None:
         stats = rolling_stats(windows, FEATURES, lookback=lookback,
                               strategy=strategy, chunk_seconds=chunk_seconds)
@@ -123,30 +126,43 @@ def score_with_tail(batch: DataFrame, tail: DataFrame | None, lookback: int,
     return anomalies, last_rows(u.select(*keep), lookback)
 
 
+#: Groups of one level of ``last_rows`` that make one of the next.
+FAN = 64
+
+
 def last_rows(df: DataFrame, n: int, keys=("symbol", "asset_type"),
               order: str = "window_start", chunk_rows: int = 256) -> DataFrame:
-    """The newest ``n`` rows of every key, in two bounded steps: top-n inside
-    each (key, time chunk), then top-n per key over at most n rows per chunk."""
+    """The newest ``n`` rows of every key, by a tree of bounded groups: the newest n of
+    each (key, time chunk), then of each (key, FAN chunks), and so on until one
+    group spans the whole time. No group has more than FAN * n rows, whatever the
+    number of a key's rows, and none is of the key alone."""
     from pyspark.sql.window import Window
     from tickwise.operators.rolling import _chunk_col
-    from tickwise.session import materialize
     df = materialize(df, "tail-input")
-    c = df.withColumn("_c", _chunk_col(df, order, None, chunk_rows))
-    w1 = Window.partitionBy(*keys, "_c").orderBy(F.col(order).desc())
-    top = c.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return (top.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= n)
-            .drop("_r", "_c"))
+    top = df.withColumn("_c", _chunk_col(df, order, None, chunk_rows))
+    low, high = top.agg(F.min("_c"), F.max("_c")).first()
+    if low is None:
+        return df
+    while True:
+        newest = Window.partitionBy(*keys, "_c").orderBy(F.col(order).desc())
+        top = top.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= n).drop("_r")
+        if low == high:
+            return top.drop("_c")
+        low, high = low // FAN, high // FAN
+        top = top.withColumn("_c", F.floor(F.col("_c") / FAN).cast("long"))
 
 
 def with_row_defaults(df: DataFrame, kind: str = "anomalies") -> DataFrame:
     """Columns the relational store fills in: id (uuid), created_at (now),
-    severity 'medium' for anomalies, record_count 0 for clean rows."""
+    severity 'medium' and metadata (JSON text, null unless given) for anomalies,
+    record_count 0 for clean rows."""
     out = df.withColumn("id", F.expr("uuid()"))
     if "created_at" not in df.columns:
         out = out.withColumn("created_at", F.current_timestamp())
     if kind == "anomalies":
         out = out.withColumn("severity", F.coalesce(F.col("severity"), F.lit("medium")))
+        if "metadata" not in df.columns:
+            out = out.withColumn("metadata", F.lit(None).cast("string"))
     else:
         out = out.withColumn("record_count",
                              F.coalesce(F.col("record_count").cast("int"), F.lit(0)))

@@ -19,7 +19,9 @@ one key spread over all reducers:
 2. per-chunk moments (count, sum, M2, min, max) — one row per key and chunk;
 3. an exclusive prefix over that small table per key (sums of counts, sums
    and shifted squares; shift = the key's first chunk mean, which keeps the
-   squares well conditioned);
+   squares well conditioned). For a large input, whose hottest key may have
+   millions of chunks, this is a scan of two levels: inside groups of
+   GROUP_CHUNKS chunks, then over the totals of the groups;
 4. join 3 back on (key, chunk) and merge prefix and local moments with the
    parallel-variance formula. If all values seen are equal, the stddev is
    exactly 0, as in a sequential update.
@@ -51,12 +53,14 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
                   keys: Sequence[str] = ("symbol", "asset_type"),
                   order: str = "window_start", strategy: str = "chunked",
                   chunk_seconds: int | None = None, block_rows: int = 4096,
-                  base: DataFrame | None = None, chunk_rows: int = 256) -> DataFrame:
+                  base: DataFrame | None = None, chunk_rows: int = 256,
+                  levels: int | None = None) -> DataFrame:
     """Add ``{f}_mean`` and ``{f}_std`` for every feature ``f``.
 
     ``base``: moments of earlier rows per key (``moments()`` output), e.g. the
     stored history of a stream; they count as rows before every input row.
-    A null key value is a key like any other. ``direct`` is the reference for
+    A null key value is a key like any other. ``levels``: 1 scans the chunks of a
+    key in one task, 2 in groups (default: 2 for a large stored input). ``direct`` is the reference for
     tests; production plans use ``chunked``.
     """
     if lookback is not None and lookback < 1:
@@ -68,7 +72,7 @@ def rolling_stats(windows: DataFrame, features: Sequence[str] = FEATURES,
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
     return _chunked(windows, features, lookback, list(keys), order,
-                    chunk_seconds, max(block_rows, lookback or 1), base, chunk_rows)
+                    chunk_seconds, max(block_rows, lookback or 1), base, chunk_rows, levels)
 
 
 def moments(windows: DataFrame, features: Sequence[str] = FEATURES,
@@ -151,73 +155,131 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Chunks in a group of the second level, and the stored bytes of an input from which
+#: there is one (some millions of windows). A choice of plan: results are the same.
+GROUP_CHUNKS, TWO_LEVELS_FROM = 256, 256 << 20
+
+
+def _moments_of(p: str, i: int) -> tuple[str, ...]:
+    return tuple(f"{p}{m}{i}" for m in ("n", "s", "m", "min", "max"))
+
+
+def _joined_moments(a: str, b: str, i: int, out: str) -> list[str]:
+    """Moments of feature ``i`` of two row sets, from columns with the prefixes ``a`` and ``b``
+    (count, sum, squared deviations, least, greatest), by the parallel-variance formula."""
+    (na, sa, ma, la, ga), (nb, sb, mb, lb, gb) = _moments_of(a, i), _moments_of(b, i)
+    n, s, m, least, most = _moments_of(out, i)
+    delta = f"(try_divide({sa}, {na}) - try_divide({sb}, {nb}))"
+    return [f"{na} + {nb} AS {n}",
+            f"CASE WHEN {na} = 0 THEN {sb} WHEN {nb} = 0 THEN {sa} ELSE {sa} + {sb} END AS {s}",
+            f"CASE WHEN {na} = 0 THEN {mb} WHEN {nb} = 0 THEN {ma} "
+            f"ELSE {ma} + {mb} + try_divide({delta} * {delta} * {na} * {nb}, {na} + {nb}) END AS {m}",
+            f"least({la}, {lb}) AS {least}", f"greatest({ga}, {gb}) AS {most}"]
+
+
+def _before(table: DataFrame, part: str, order: str, features: int, a: str, out: str) -> DataFrame:
+    """Adds the moments of all earlier rows of the partition (prefix ``out``; count of rows
+    ``{out}cnt``) to a table of moments (prefix ``a``). Squares are shifted by the
+    first mean of the partition, which keeps them well conditioned."""
+    w = f"OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    whole = f"OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    table = table.selectExpr("*", *[
+        f"first(CASE WHEN {a}n{i} > 0 THEN try_divide({a}s{i}, {a}n{i}) END, true) {whole} AS _c{i}" for i in range(features)])
+    sums = [f"coalesce(sum({a}cnt) {w}, 0) AS {out}cnt"]
+    for i in range(features):
+        n, s, m, least, most = _moments_of(a, i)
+        y = f"(CASE WHEN {n} > 0 THEN try_divide({s}, {n}) - _c{i} END)"
+        sums += [f"coalesce(sum({n}) {w}, 0) AS {out}n{i}", f"sum({s}) {w} AS {out}s{i}",
+                 f"sum({n} * {y}) {w} AS _t{i}", f"sum(CASE WHEN {n} > 0 THEN {m} + {n} * {y} * {y} END) {w} AS _q{i}",
+                 f"min({least}) {w} AS {out}min{i}", f"max({most}) {w} AS {out}max{i}"]
+    done = table.selectExpr("*", *sums)
+    # about the prefix's own mean: Q - T^2 / N
+    about = [f"coalesce(greatest(_q{i} - try_divide(_t{i} * _t{i}, {out}n{i}), 0D), 0D) AS {out}m{i}" for i in range(features)]
+    return done.selectExpr("*", *about).drop(*[f"{c}{i}" for c in ("_c", "_t", "_q") for i in range(features)])
+
+
+def _two_levels(chunks: DataFrame, K: str, features: int) -> DataFrame:
+    """``_before`` over the chunks of every key, in groups of GROUP_CHUNKS chunks: prefixes
+    inside each group, prefixes over the totals of the groups, and their sum. No
+    task holds the chunks of one key."""
+    keys = K.split(", ")
+    grouped = materialize(chunks.selectExpr("*", f"CAST(floor(_chunk / {GROUP_CHUNKS}) AS BIGINT) AS _group"), "rolling-chunks")
+    inner = _before(grouped, f"{K}, _group", "_chunk", features, "_", "_i")
+    # a group's total is what is before its last chunk and that chunk
+    columns = [c for c in inner.columns if c not in (*keys, "_group", "_chunk")]
+    last = inner.groupBy(*keys, "_group").agg(F.max_by(F.struct(*columns), F.col("_chunk")).alias("_l"))
+    totals = last.selectExpr(*keys, "_group", "_l.*").selectExpr(
+        *keys, "_group", "_icnt + _cnt AS _gcnt", *[e for i in range(features) for e in _joined_moments("_i", "_", i, "_g")])
+    outer = _before(totals, K, "_group", features, "_g", "_o").drop(
+        "_gcnt", *[c for i in range(features) for c in _moments_of("_g", i)])
+    return inner.join(outer, [*keys, "_group"]).selectExpr(
+        *keys, "_chunk", "_ocnt + _icnt AS _pcnt", *[e for i in range(features) for e in _joined_moments("_o", "_i", i, "_p")])
+
+
+def _large(df: DataFrame) -> bool:
+    """True when the stored input is large (False where its size is not known)."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return False
+    return TWO_LEVELS_FROM <= size < 1 << 60
+
+
 def _chunked(df, features, lookback, keys, order, chunk_seconds, block_rows, base=None,
-             chunk_rows=256):
+             chunk_rows=256, levels=None):
     # Expressions are SQL text through selectExpr: the same plan as Column
     # objects, built with a few JVM calls instead of thousands.
     # both branches below read the input: store it once unless it is stored
     df = materialize(df, "rolling-input")
     base_cols = df.columns
-    # the key as one struct: it is never null itself, so rows with a null key
-    # value meet their prefix in the join below
-    key = f"named_struct({', '.join(f'{k!r}, {_q(k)}' for k in keys)}) AS _key"
-    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows)).selectExpr("*", key)
-    K = "_key"
+    # the key as values that are never null, and flags, so that rows with a null key
+    # value meet their prefix in a plain equi-join that reuses their partitioning
+    key = [f"coalesce(CAST({_q(k)} AS STRING), '') AS _k{j}" for j, k in enumerate(keys)] + [
+        f"{_q(k)} IS NULL AS _z{j}" for j, k in enumerate(keys)]
+    K = ", ".join(f"_{x}{j}" for x in "kz" for j in range(len(keys)))
+    df = df.withColumn("_chunk", _chunk_col(df, order, chunk_seconds, chunk_rows)).selectExpr("*", *key)
     KC = f"{K}, _chunk"
     o = _q(order)
-    fs = [_q(f) for f in features]
+    fs = [_q(f) for f in features] if lookback is None else []
 
     # (1) local running moments inside (key, chunk)
     wl = (f"OVER (PARTITION BY {KC} ORDER BY {o} "
           f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     local = [f"row_number() OVER (PARTITION BY {KC} ORDER BY {o}) AS _rn"]
-    if lookback is None:
-        for i, f in enumerate(fs):
-            local += [f"count({f}) {wl} AS _ln{i}", f"sum({f}) {wl} AS _ls{i}",
-                      f"var_samp({f}) {wl} AS _lv{i}", f"min({f}) {wl} AS _lmin{i}",
-                      f"max({f}) {wl} AS _lmax{i}"]
+    for i, f in enumerate(fs):
+        local += [f"count({f}) {wl} AS _ln{i}", f"sum({f}) {wl} AS _ls{i}",
+                  f"var_samp({f}) {wl} AS _lv{i}", f"min({f}) {wl} AS _lmin{i}",
+                  f"max({f}) {wl} AS _lmax{i}"]
     rows = df.selectExpr("*", *local)
 
     # (2) per-chunk moments: the rows are already clustered by (key, chunk),
     # so this aggregate adds no exchange.
     aggs = ["count(1) AS _cnt"]
-    if lookback is None:
-        for i, f in enumerate(fs):
-            aggs += [f"count({f}) AS _n{i}", f"sum({f}) AS _s{i}", f"var_samp({f}) AS _v{i}",
-                     f"min({f}) AS _min{i}", f"max({f}) AS _max{i}"]
-    chunks = rows.groupBy("_key", "_chunk").agg(*[F.expr(a) for a in aggs])
+    for i, f in enumerate(fs):
+        aggs += [f"count({f}) AS _n{i}", f"sum({f}) AS _s{i}",
+                 f"coalesce(var_samp({f}), 0D) * greatest(count({f}) - 1, 0) AS _m{i}",
+                 f"min({f}) AS _min{i}", f"max({f}) AS _max{i}"]
+    chunks = rows.groupBy(*K.split(", "), "_chunk").agg(*[F.expr(a) for a in aggs])
     if base is not None:
         # prior history enters as one more chunk that precedes all others
-        pseudo = [key, f"CAST({_BEFORE_ALL} AS BIGINT) AS _chunk",
-                                          "CAST(0 AS BIGINT) AS _cnt"]
+        pseudo = [*key, f"CAST({_BEFORE_ALL} AS BIGINT) AS _chunk", "CAST(0 AS BIGINT) AS _cnt"]
         for i, f in enumerate(features):
             n = _q(f"{f}_n")
             pseudo += [f"CAST({n} AS BIGINT) AS _n{i}", f"{_q(f + '_sum')} AS _s{i}",
-                       f"CASE WHEN {n} > 1 THEN try_divide({_q(f + '_m2')}, {n} - 1) END AS _v{i}",
+                       f"coalesce({_q(f + '_m2')}, 0D) AS _m{i}",
                        f"{_q(f + '_min')} AS _min{i}", f"{_q(f + '_max')} AS _max{i}"]
         chunks = chunks.unionByName(base.selectExpr(*pseudo))
 
-    # (3) exclusive prefix per key over the chunk table (one row per key/chunk);
-    # sums of squares are shifted by the key's first chunk mean.
-    wk = f"OVER (PARTITION BY {K} ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    wk_all = (f"OVER (PARTITION BY {K} ORDER BY _chunk "
-              f"ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
-    pre = [f"coalesce(sum(_cnt) {wk}, 0) AS _pcnt"]
-    if lookback is None:
-        chunks = chunks.selectExpr("*", *[
-            f"first(CASE WHEN _n{i} > 0 THEN try_divide(_s{i}, _n{i}) END, true) {wk_all} AS _c{i}"
-            for i in range(len(fs))])
-        for i in range(len(fs)):
-            y = f"(CASE WHEN _n{i} > 0 THEN try_divide(_s{i}, _n{i}) - _c{i} END)"
-            q = f"(CASE WHEN _n{i} > 0 THEN coalesce(_v{i}, 0D) * (_n{i} - 1) + _n{i} * {y} * {y} END)"
-            pre += [f"coalesce(sum(_n{i}) {wk}, 0) AS _pn{i}", f"sum(_s{i}) {wk} AS _ps{i}",
-                    f"sum(_n{i} * {y}) {wk} AS _pt{i}", f"sum({q}) {wk} AS _pq{i}",
-                    f"min(_min{i}) {wk} AS _pmin{i}", f"max(_max{i}) {wk} AS _pmax{i}"]
-    prefix = chunks.selectExpr("_key", "_chunk", *pre)
+    # (3) exclusive prefix per key over the chunk table (one row per key/chunk)
+    if (levels or (2 if _large(df) else 1)) == 2:
+        prefix = _two_levels(chunks, K, len(fs))
+    else:
+        prefix = _before(chunks, K, "_chunk", len(fs), "_", "_p").drop(
+            "_cnt", *[c for i in range(len(fs)) for c in _moments_of("_", i)])
 
     # (4) merge. The prefix table has one row per key and chunk; AQE turns
     # the join into a broadcast only when its measured size is small.
-    joined = rows.join(prefix, on=["_key", "_chunk"], how="inner")
+    joined = rows.join(prefix, on=[*K.split(", "), "_chunk"], how="inner")
     if lookback is None:
         out = [_q(c) for c in base_cols]
         for i, f in enumerate(features):
@@ -233,8 +295,7 @@ def _merge(i, f):
     mean = (f"CASE WHEN {n} > 0 THEN try_divide(coalesce({sp}, 0D) + coalesce({sl}, 0D), {n}) "
             f"END AS {_q(f + '_mean')}")
     m2_l = f"(coalesce(_lv{i}, 0D) * ({nl} - 1))"
-    # prefix M2 about its own mean from shifted sums: Q - T^2 / N
-    m2_p = f"greatest(_pq{i} - try_divide(_pt{i} * _pt{i}, {np_}), 0D)"
+    m2_p = f"_pm{i}"
     delta = f"(try_divide({sl}, {nl}) - try_divide({sp}, {np_}))"
     m2 = (f"(CASE WHEN {np_} = 0 THEN {m2_l} WHEN {nl} = 0 THEN {m2_p} "
           f"ELSE {m2_p} + {m2_l} + try_divide({delta} * {delta} * {np_} * {nl}, {n}) END)")

@@ -151,6 +151,13 @@ def q_rolling_stats_20(spark, sf):
     return _stats(spark, sf, 20)
 
 
+@register("rolling_stats_two_levels", O.with_anomalies(_STAT_SQL))
+def q_rolling_stats_two_levels(spark, sf):
+    """Chunks of 4 windows, scanned in groups and then over the groups."""
+    st = rolling_stats(T.windows_from_events(spark, sf), levels=2, chunk_rows=4)
+    return round_cols(st.select("symbol", "asset_type", "window_start", *_STAT_COLS), _STAT_COLS)
+
+
 @register("z_scores", O.with_anomalies(
     "SELECT symbol, asset_type, window_start, round(r_z, 6) AS price_return_pct_z, "
     "round(v_z, 6) AS total_volume_z, round(s_z, 6) AS rolling_volatility_z FROM zs"))
@@ -345,14 +352,44 @@ _LATEST = ("(SELECT DISTINCT ON (symbol) * FROM clean "
            "ORDER BY symbol, window_start DESC, record_count DESC, asset_type DESC) l")
 
 
+# a symbol's rows by recency: place 1 is its newest one
+_PLACED = """, placed AS (SELECT *, row_number() OVER (PARTITION BY symbol
+    ORDER BY window_start DESC, record_count DESC, asset_type DESC) AS place FROM clean)
+"""
+
+
+def _rounded(**digits: int) -> str:
+    return ", ".join(f"round({c}, {n}) AS {c}" for c, n in digits.items())
+
+
 @register("current_prices", O.with_clean(
-    "SELECT symbol, asset_type, round(close_price, 2) AS close_price, round(high_price, 2) AS high, "
-    "round(low_price, 2) AS low, round(volume, 0) AS volume, round(price_return_pct, 4) AS return_pct, "
-    f"round(rolling_volatility, 6) AS volatility, window_start AS updated_at FROM {_LATEST}"))
+    _PLACED + "SELECT symbol, asset_type, updated_at, "
+    + _rounded(high=2, low=2, return_pct=4, volatility=6, close_price=2, volume=0) + """ FROM (
+  SELECT symbol, asset_type, window_start AS updated_at, high_price AS high, low_price AS low, price_return_pct AS return_pct,
+         rolling_volatility AS volatility, close_price, volume FROM placed WHERE place = 1) newest"""))
 def q_current_prices(spark, sf):
     return R.current_prices(_clean(spark, sf))
 
 
+@register("current_prices_short", O.with_clean(
+    _PLACED + "SELECT symbol, updated_at, " + _rounded(price=2, volume=0, return_pct=4) + " FROM (SELECT symbol, "
+    "window_start AS updated_at, close_price AS price, volume, price_return_pct AS return_pct FROM placed WHERE place = 1) newest"))
+def q_current_prices_short(spark, sf):
+    return R.current_prices_short(_clean(spark, sf))
+
+
+@register("latest_rows", O.with_clean(
+    _PLACED + "SELECT symbol, asset_type, window_start, round(close_price, 6) AS close_price, record_count, "
+    "strftime(window_start, '%Y-%m-%d') || ' ' || symbol AS note, [symbol, asset_type] AS tags FROM placed WHERE place = 1"))
+def q_latest_rows(spark, sf):
+    """Newest rows of a table that has text and array columns."""
+    c = _clean(spark, sf)
+    c = c.withColumns({"note": F.concat_ws(" ", F.date_format("window_start", "yyyy-MM-dd"), "symbol"),
+                       "tags": F.array("symbol", "asset_type")})
+    return round_cols(R.latest_rows(c).select("symbol", "asset_type", "window_start", "close_price", "record_count",
+                                              "note", "tags"), ["close_price"])
+
+
 @register("ohlc_latest_per_symbol", O.with_clean(
     "SELECT symbol, asset_type, round(open_price, 2) AS open, round(high_price, 2) AS high, "
     "round(low_price, 2) AS low, round(close_price, 2) AS close, round(volume, 0) AS volume, "
@@ -386,12 +423,16 @@ def q_recent_activity(spark, sf):
     return R.recent_activity(_clean(spark, sf))
 
 
+# alerts in display order: time first, then the columns that name the row
+_ALERTS = """, shown AS (SELECT *, row_number() OVER (
+    ORDER BY detected_at DESC, symbol, asset_type, anomaly_type, window_start DESC) AS place
+  FROM anomalies WHERE symbol <> 'SYSTEM')
+"""
+
+
 @register("active_alerts", O.with_anomalies(
-    "SELECT detected_at, symbol, asset_type, anomaly_type, severity, round(z_score, 2) AS z_score, "
-    "round(current_value, 4) AS current_value, round(mean_value, 4) AS mean_value, "
-    "round(price, 2) AS price, round(volume, 0) AS volume FROM anomalies "
-    "WHERE symbol <> 'SYSTEM' "
-    "ORDER BY detected_at DESC, symbol, asset_type, anomaly_type, window_start DESC LIMIT 100"))
+    _ALERTS + "SELECT detected_at, symbol, asset_type, anomaly_type, severity, "
+    + _rounded(z_score=2, current_value=4, mean_value=4, price=2, volume=0) + " FROM shown WHERE place <= 100"))
 def q_active_alerts(spark, sf):
     return R.active_alerts(_anoms(spark, sf))
 
@@ -454,12 +495,15 @@ def q_z_scores_in_range(spark, sf):
     return round_cols(R.z_scores_in_range(_anoms(spark, sf)), ["z_score"])
 
 
+_LAST_HOUR = """, since AS (SELECT max(detected_at) - INTERVAL 1 HOUR AS bound FROM anomalies),
+strength AS (SELECT anomaly_type, severity, abs(z_score) AS z FROM anomalies, since
+  WHERE symbol <> 'SYSTEM' AND detected_at > bound)
+"""
+
+
 @register("anomaly_statistics", O.with_anomalies(
-    "SELECT anomaly_type, severity, count(*) AS count, "
-    "round(avg(abs(z_score)), 2) AS avg_abs_zscore, round(max(abs(z_score)), 2) AS max_abs_zscore "
-    "FROM anomalies WHERE symbol <> 'SYSTEM' "
-    "AND detected_at > (SELECT max(detected_at) FROM anomalies) - INTERVAL 1 HOUR "
-    "GROUP BY 1, 2"))
+    _LAST_HOUR + "SELECT anomaly_type, severity, n AS count, round(mid, 2) AS avg_abs_zscore, round(top, 2) AS max_abs_zscore "
+    "FROM (SELECT anomaly_type, severity, count(*) AS n, avg(z) AS mid, max(z) AS top FROM strength GROUP BY ALL) s"))
 def q_anomaly_statistics(spark, sf):
     return R.anomaly_statistics(_anoms(spark, sf))
 
@@ -511,22 +555,22 @@ def q_dq_duplicates_by_hour(spark, sf):
                            keys=("event_type", "h"))
 
 
-@register("dq_price_sanity", O.with_clean(
-    "SELECT symbol, min(close_price) AS min_price, max(close_price) AS max_price, "
-    "round(avg(close_price), 2) AS avg_price, CASE WHEN min(close_price) <= 0 "
-    "THEN 'FAIL: negative/zero prices' WHEN max(close_price) / nullif(min(close_price), 0) > 100 "
-    "THEN 'WARN: extreme range' ELSE 'PASS' END AS status FROM clean "
-    "WHERE window_start > (SELECT max(window_start) FROM clean) - INTERVAL 1 HOUR GROUP BY 1"))
+def _price_sanity_sql(interval: str) -> str:
+    """Status of each symbol from the extent of its closes since ``interval`` before the newest window."""
+    return O.with_clean(f""", since AS (SELECT max(window_start) - INTERVAL {interval} AS bound FROM clean),
+extent AS (SELECT symbol, min(close_price) AS lo, max(close_price) AS hi, avg(close_price) AS mid
+  FROM clean, since WHERE window_start > bound GROUP BY ALL)
+SELECT symbol, lo AS min_price, hi AS max_price, round(mid, 2) AS avg_price,
+  CASE WHEN lo <= 0 THEN '{Q.NEGATIVE_PRICES}' WHEN hi > 100 * lo THEN '{Q.EXTREME_RANGE}' ELSE 'PASS' END AS status
+FROM extent""")
+
+
+@register("dq_price_sanity", _price_sanity_sql("1 HOUR"))
 def q_dq_price_sanity(spark, sf):
     return Q.dq_price_sanity(_clean(spark, sf))
 
 
-@register("dq_price_sanity_all", O.with_clean(
-    "SELECT symbol, min(close_price) AS min_price, max(close_price) AS max_price, "
-    "round(avg(close_price), 2) AS avg_price, CASE WHEN min(close_price) <= 0 "
-    "THEN 'FAIL: negative/zero prices' WHEN max(close_price) / nullif(min(close_price), 0) > 100 "
-    "THEN 'WARN: extreme range' ELSE 'PASS' END AS status FROM clean "
-    "WHERE window_start > (SELECT max(window_start) FROM clean) - INTERVAL 30 DAY GROUP BY 1"))
+@register("dq_price_sanity_all", _price_sanity_sql("30 DAY"))
 def q_dq_price_sanity_all(spark, sf):
     return Q.dq_price_sanity(_clean(spark, sf), interval="30 days")
 

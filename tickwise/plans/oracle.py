@@ -92,13 +92,18 @@ CLEAN = """clean AS (
   FROM feat)"""
 
 
+def _after(ctes: str, body: str) -> str:
+    """A query after its CTEs; a body that begins with a comma goes on with more of them."""
+    return f"WITH {ctes}{body}" if body.startswith(",") else f"WITH {ctes}\n{body}"
+
+
 def with_clean(body: str, width: str = "1 hour") -> str:
-    return f"WITH {TICKS},\n{windows_cte(width)},\n{CLEAN}\n{body}"
+    return _after(f"{TICKS},\n{windows_cte(width)},\n{CLEAN}", body)
 
 
 def with_anomalies(body: str, width: str = "1 hour", lookback: int | None = None) -> str:
-    return f"WITH {TICKS},\n{windows_cte(width)},\n{anomalies_cte(lookback)}\n{body}"
+    return _after(f"{TICKS},\n{windows_cte(width)},\n{anomalies_cte(lookback)}", body)
 
 
 def with_both(body: str, width: str = "1 hour") -> str:
-    return (f"WITH {TICKS},\n{windows_cte(width)},\n{CLEAN},\n{anomalies_cte()}\n{body}")
+    return _after(f"{TICKS},\n{windows_cte(width)},\n{CLEAN},\n{anomalies_cte()}", body)

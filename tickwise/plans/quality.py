@@ -17,6 +17,11 @@ from tickwise.plans.reports import _as_of
 from tickwise.session import materialize
 
 
+# Status texts (fixed values)
+NEGATIVE_PRICES = "FAIL: negative/zero prices"
+EXTREME_RANGE = "WARN: extreme range"
+
+
 def dq_nulls(clean: DataFrame) -> DataFrame:
     """Rows with a null symbol, close, volume or window_start; PASS at 0."""
     bad = (F.col("symbol").isNull() | F.col("close_price").isNull()
@@ -40,8 +45,8 @@ def dq_price_sanity(clean: DataFrame, as_of=None, interval: str = "1 hour") -> D
     """Per symbol over the last ``interval``: min, max, avg close and a status."""
     a = _as_of(clean, "window_start", as_of)
     lo, hi = F.min("close_price"), F.max("close_price")
-    status = (F.when(lo <= 0, "FAIL: negative/zero prices")
-              .when(safe_ratio(hi, lo) > S.PRICE_RANGE_RATIO, "WARN: extreme range")
+    status = (F.when(lo <= 0, NEGATIVE_PRICES)
+              .when(safe_ratio(hi, lo) > S.PRICE_RANGE_RATIO, EXTREME_RANGE)
               .otherwise("PASS"))
     return (clean.filter(recent("window_start", a, interval)).groupBy("symbol")
             .agg(lo.alias("min_price"), hi.alias("max_price"),

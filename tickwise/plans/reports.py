@@ -206,9 +206,9 @@ def current_prices(clean: DataFrame) -> DataFrame:
 
 
 def current_prices_short(clean: DataFrame) -> DataFrame:
-    """The short form of the table: symbol, type, price and return."""
+    """The short form of the table: price, volume and return."""
     return (_latest_per_symbol(clean)
-            .select("symbol", "asset_type", _r("close_price", 2, "price"), _r("price_return_pct", 4, "return_pct"),
+            .select("symbol", _r("close_price", 2, "price"), _r("volume", 0), _r("price_return_pct", 4, "return_pct"),
                     F.col("window_start").alias("updated_at"))
             .orderBy("symbol"))
 

@@ -141,8 +141,8 @@ def with_bad_messages(messages: DataFrame) -> DataFrame:
     """``messages`` in which those of events with ``k`` < 8 are bad, each ``k`` in its own way
     (candles carry no ``k``, and all of them are good)."""
     js = F.col("json_value")
-    field = F.when(F.col("topic") == "raw_stock_ticks", "$.volume").otherwise("$.volume_24h")
-    k = F.get_json_object(js, field).try_cast("double").cast("int")
+    told = F.when(F.col("topic") == "raw_stock_ticks", F.get_json_object(js, "$.volume")).otherwise(F.get_json_object(js, "$.volume_24h"))
+    k = told.try_cast("double").cast("int")
     forms = (F.lit(None).cast("string"), F.lit(" "), F.substring(js, F.lit(1), F.length(js) - 3), F.concat(F.lit("["), js, F.lit("]")),
              F.lit("17"), F.regexp_replace(js, '"symbol":"[a-z]+",', ""), F.regexp_replace(js, '"symbol":"[a-z]+"', '"symbol":null'),
              F.regexp_replace(js, '"timestamp":"[^"]+"', '"timestamp":"never"'))
