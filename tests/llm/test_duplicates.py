@@ -27,8 +27,9 @@ def test_near_duplicates_equal_all_pairs(spark, rows):
     assert sum(n > 1 for n in X.Counter(g for _, g in groups if g is not None).values()) > 5
 
 
-def test_large_buckets_are_compared_whole(spark, monkeypatch):
-    """One group of near copies at all distances: the prefix filter's pairs are needed and found."""
+@pytest.mark.parametrize("block", [minhash.BLOCK_TOKENS, 500])
+def test_large_buckets_are_compared_whole(spark, monkeypatch, block):
+    """One group of near copies at all distances, whole and in blocks of a few documents."""
     rnd = random.Random(2)
     base = [f"w{i}" for i in range(90)]
     rows = []
@@ -37,7 +38,7 @@ def test_large_buckets_are_compared_whole(spark, monkeypatch):
         for _ in range(rnd.randrange(0, 12)):
             words[rnd.randrange(len(words))] = f"x{rnd.random()}"
         rows.append((1000 - i, " ".join(words)))
-    monkeypatch.setattr(minhash, "SMALL", 4)
+    monkeypatch.setattr(minhash, "BLOCK_TOKENS", block)
     got = [tuple(r) for r in minhash.near_duplicates(X.frame(spark, rows), words=4).select("id", "component_id").collect()]
     groups = X.near_groups(rows)
     least = {}
@@ -47,6 +48,65 @@ def test_large_buckets_are_compared_whole(spark, monkeypatch):
     assert 1 < len(least) < 150
 
 
+def test_links_inside_a_bucket_equal_all_pairs():
+    rnd = np.random.default_rng(3)
+    for _ in range(60):
+        base = rnd.integers(0, 1 << 62, 60)
+        m = int(rnd.integers(2, 30))
+        sets = [np.unique(np.r_[rnd.choice(base, int(rnd.integers(40, 60)), replace=False), rnd.integers(0, 1 << 62, int(rnd.integers(0, 6)))])
+                for _ in range(m)]
+        labels = rnd.integers(0, m, m)
+        sides = rnd.integers(0, 2, m) if rnd.random() < 0.5 else np.zeros(m, int)
+        two = sides.min() != sides.max()
+
+        def joined(pairs):
+            top = {int(x): int(x) for x in labels}
+
+            def root(x):
+                while top[x] != x:
+                    x = top[x]
+                return x
+            for i, j in pairs:
+                top[root(int(labels[i]))] = root(int(labels[j]))
+            return [root(int(x)) for x in labels]
+
+        def partition(roots):
+            return [min(j for j, y in enumerate(roots) if y == x) for x in roots]
+        every = [(i, j) for i in range(m) for j in range(i) if not two or sides[i] != sides[j]
+                 if 100 * (k := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - k)]
+        got = minhash.links_inside(np.arange(m), labels, sets, sides, 80)
+        assert set(map(tuple, map(sorted, got))) <= {tuple(sorted(x)) for x in every}
+        assert partition(joined(got)) == partition(joined(every))
+
+
+@pytest.mark.parametrize("n", [200, 400])
+def test_unlinked_copies_travel_once_a_bucket(spark, monkeypatch, n):
+    """Near copies of one text that stay unlinked (0.73): components as by all pairs, and what
+    is sent grows with the members of buckets, not with their pairs."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rnd.sample(range(200), 4):
+            words[at] = f"x{rnd.random()}"
+        rows.append((i, " ".join(words)))
+    sent = []
+    real = minhash.links_of_buckets
+
+    def counted(members, sets, percent):
+        sent.append(members.count())
+        return real(members, sets, percent)
+    monkeypatch.setattr(minhash, "links_of_buckets", counted)
+    got = {r["id"]: r["component_id"] for r in minhash.near_duplicates(X.frame(spark, rows), words=4).collect()}
+    least = {}
+    groups = X.near_groups(rows)
+    for (i, _), (_, g) in zip(rows, groups):
+        least[g] = min(least.get(g, i), i)
+    assert got == {i: least[g] for (i, _), (_, g) in zip(rows, groups)}
+    assert len(least) > 20 and sent[0] <= 32 * n
+
+
 def test_signatures_estimate_similarity():
     rnd = np.random.default_rng(0)
     both, a, b = (rnd.integers(0, 1 << 63, n, dtype=np.uint64) for n in (800, 100, 100))

@@ -11,15 +11,17 @@ signatures vary less than with independent hashes, and a document stops at the
 first level that leaves no slot which the next could lower.
 
 Classes that agree in a band share a bucket. Links are confirmed on full sets
-with integers, and components are grown in steps, each of which compares only
+with integers, and components are grown in two steps, each of which compares only
 what is not yet known to be connected:
 
-1. every member of a bucket with the bucket's first member;
-2. in buckets of at most SMALL members, members of different components;
-3. for larger buckets, an exact prefix filter over the shingles of their members,
-   rarest first: a shingle near the front of both sets is needed for a link, and
-   only pairs of different components, with sizes and positions that allow the
-   similarity, are confirmed.
+1. every member of a bucket with the bucket's first member, where the sizes of the
+   two sets allow the similarity;
+2. in buckets that still hold several components, all members of different ones. A
+   bucket is cut into blocks of about BLOCK_TOKENS shingles, and a task gets two blocks
+   of it with their full sets. It counts the shingles that sets have in common through
+   the shingles' posting lists, joins by union-find as it goes, and puts out links
+   only. What travels grows with the blocks of a bucket and never with its pairs; the
+   counting inside a task does grow with the square of a group that stays unlinked.
 
 No step drops a candidate. Links become components by union-find in every task
 and by minimum labels with pointer jumping across tasks; every round is written
@@ -41,15 +43,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import as_bytes, release, store
+from tickwise.llm.common import as_bytes, store
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Slots of a signature; 32 bands of 4 miss a pair of similarity 0.8 once in 20 million.
 SLOTS, BANDS = 128, 32
-#: Members up to which a bucket's remaining pairs are compared one by one.
-SMALL = 16
-#: Tokens before a common one that are looked at, lest a pair is met at each.
-BEFORE = 64
+#: Shingles of a block of a bucket's members: 8 MB of sets.
+BLOCK_TOKENS = 1_000_000
 #: Elements whose signatures are made at once.
 ELEMENTS = 200_000
 
@@ -145,20 +145,94 @@ def sketch_column(text: Column, words: int) -> Column:
     return sketch(text)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets are similar enough."""
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose full sets are similar enough. ``a`` is a bucket's first member."""
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([linked(shingles(x, words), shingles(y, words), percent) for x, y in zip(left, right)])
+        out = []
+        for x, y in zip(left, right):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(100 * both >= percent * (len(x) + len(y) - both))
+        return pd.Series(out, dtype=bool)
+
+    own = sets.filter("is_first").select(F.col("node").alias("a"), F.col("tokens").alias("set_a"))
+    other = sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b"))
+    return pairs.join(other, "b").join(own, "a").filter(similar("set_a", "set_b")).select("a", "b")
+
+
+def links_inside(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, percent: int
+                 ) -> list[tuple[int, int]]:
+    """Links between members of one bucket that join its components. ``sides``: with two of
+    them (two blocks), only members of different sides are compared. The members
+    of the largest component are not compared with one another."""
+    _, group = np.unique(labels, return_inverse=True)
+    top = list(range(group.max() + 1))
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+    sizes = np.array([len(x) for x in sets], np.int64)
+    tokens, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    holders = row[np.argsort(tokens, kind="stable")]       # posting lists, one after another
+    _, place, many = np.unique(tokens, return_inverse=True, return_counts=True)
+    first = np.cumsum(many) - many
+    ends = np.cumsum(sizes)
+    main = np.bincount(group).argmax()
+    two = sides.min() != sides.max()
+    out = []
+    for i in np.flatnonzero(group != main).tolist():
+        mine = place[ends[i] - sizes[i]:ends[i]]
+        n, start = many[mine], first[mine]
+        n, start = n[n > 1], start[n > 1]
+        if not len(n):
+            continue
+        at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(holders[at], minlength=len(sets))
+        near = 100 * both >= percent * (sizes[i] + sizes - both)
+        near[i] = False
+        if two:
+            near &= sides != sides[i]
+        for j in np.flatnonzero(near).tolist():
+            x, y = root(group[i]), root(group[j])
+            if x != y:
+                top[y] = x
+                out.append((int(nodes[i]), int(nodes[j])))
+    return out
+
 
-    own = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(own, "a").join(other, "b").filter(similar("text_a", "text_b")).select("a", "b")
+def links_of_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that join the components inside buckets (key, node, label, size, total: members
+    and shingles of the bucket)."""
+    blocks = F.ceil(F.col("total") / BLOCK_TOKENS).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = members.withColumn("blocks", blocks).withColumn("block", mine)
+    other = placed.select("key", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = (other.select("key", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+            .join(sets.select("node", "tokens"), "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high"))
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, known = [], None
+
+        def links() -> pd.DataFrame:
+            part = pd.concat(held) if len(held) > 1 else held[0]
+            found = links_inside(part["node"].to_numpy(), part["label"].to_numpy(), list(part["tokens"]),
+                                 part["block"].to_numpy(), percent) if part["label"].nunique() > 1 else []
+            return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        for frame in frames:
+            change = np.flatnonzero((frame[["key", "low", "high"]] != frame[["key", "low", "high"]].shift()).any(axis=1))
+            for begin, end in zip(change, [*change[1:], len(frame)]):
+                part = frame.iloc[begin:end]
+                mark = tuple(part[["key", "low", "high"]].iloc[0])
+                if held and mark != known:
+                    yield links()
+                    held = []
+                known = mark
+                held.append(part)
+        if held:
+            yield links()
+    return rows.select("key", "low", "high", "node", "label", "block", "tokens").mapInPandas(compare, "a long, b long")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -207,60 +281,14 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, label, size of the members of buckets that hold several components."""
+    """key, node, label, total (shingles) of the members of buckets that hold several components."""
     rows = store(_labelled(members, labels), "near-members")
-    buckets = store(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"),
-                                            F.max("label").alias("high")).filter("low <> high").select("key", "size"),
+    buckets = store(rows.groupBy("key").agg(F.sum("n").alias("total"), F.min("label").alias("low"),
+                                            F.max("label").alias("high")).filter("low <> high").select("key", "total"),
                     "near-open")
     return rows.join(buckets, "key")
 
 
-def _small_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components in small buckets."""
-    few = rows.filter(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("node", "label")).alias("m"))
-    one = few.select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter(
-        "m", lambda y: (y["node"] > F.col("x.node")) & (y["label"] != F.col("x.label")))).alias("y"))
-    return one.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
-def _large_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of different components in large buckets that the prefix filter leaves."""
-    nodes = store(rows.filter(F.col("size") > SMALL).select("node", "label").distinct(), "near-large")
-
-    @F.pandas_udf("array<bigint>")
-    def tokens(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, words).view(np.int64) for t in texts], dtype=object)
-
-    sets = texts.join(nodes, "node").select("node", "label", tokens("text").alias("s"))
-    items = store(sets.select("node", "label", F.size("s").alias("n"), F.explode("s").alias("token")).distinct(), "near-tokens")
-    counts = store(items.groupBy("token").agg(F.count(F.lit(1)).alias("c")), "near-counts")
-    ranked = (items.join(counts, "token").groupBy("node", "label", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("s")))
-    ends = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    placed = F.transform(F.slice("s", 1, ends.cast("int")), lambda x, i: F.struct(i.alias("at"), x["c"].alias("c"), x["token"].alias("token")))
-    common = ranked.select("node", "label", "n", F.filter(placed, lambda x: x["c"] > 1).alias("s"))
-    # the tokens before one: a pair that has one of them in common is met there already
-    with_before = F.transform("s", lambda x, i: F.struct(
-        x["at"].alias("at"), x["token"].alias("token"),
-        F.transform(F.slice("s", F.greatest(F.lit(1), i - (BEFORE - 1)), F.least(i, F.lit(BEFORE))), lambda y: y["token"]).alias("before")))
-    front = store(common.select("node", "label", "n", F.explode(with_before).alias("x")).select("node", "label", "n", "x.*"), "near-front")
-    # of a token, the component with the largest label stays on one side of the join
-    main = store(front.groupBy("token").agg(F.max("label").alias("main"), F.min("label").alias("low"))
-                 .filter("low <> main").select("token", "main"), "near-main")
-    mixed = front.join(main, "token")
-    rest = mixed.filter("label <> main").select("token", F.col("node").alias("a"), F.col("label").alias("la"),
-                                                F.col("n").alias("na"), F.col("at").alias("pa"),
-                                                F.col("before").alias("ea"))
-    full = mixed.select("token", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
-                        F.col("at").alias("pb"), F.col("before").alias("eb"))
-    need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - F.lit(1e-9))
-    return (rest.join(full, "token").filter((F.col("la") != F.col("lb"))
-                                            & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                                            & (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need)
-                                            & ~F.arrays_overlap("ea", "eb"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                     percent: int = PERCENT) -> DataFrame:
     """id, t (hash of the text), n_shingles, component_id (least id of the
@@ -271,23 +299,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketched = store(rows.select("id", t.alias("t"), sketch_column(F.col("text"), words).alias("s"))
                      .select("id", "t", "s.*"), "near-sketches")
     full = sketched.filter("n > 0")
-    classes = store(full.groupBy("digest").agg(F.min("id").alias("least"), F.min("t").alias("t"), F.any_value("bands").alias("bands"))
+    classes = store(full.groupBy("digest").agg(F.min("id").alias("least"), F.min("t").alias("t"), F.any_value("n").alias("n"),
+                                               F.any_value("bands").alias("bands"))
                     .withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    members = classes.select("node", F.explode("bands").alias("key"))
-    first = store(members.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("c"))
+    members = classes.select("node", "n", F.explode("bands").alias("key"))
+    first = store(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("c"))
                   .filter("c > 1").select("key", "first"), "near-buckets")
     shared = store(members.join(first, "key"), "near-shared")
-    needed = store(shared.select("node").distinct().join(classes.select("node", "t"), "node"), "near-needed")
-    texts = store(rows.withColumn("t", t).join(needed, "t").dropDuplicates(["node"]).select("node", "text"), "near-texts")
-    release(docs.sparkSession)
-    links = store(confirm(shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(),
-                          texts, words, percent), "near-links")
-    release(docs.sparkSession)
-    members = shared.select("key", "node")
-    for pairs in (_small_pairs, lambda rows: _large_pairs(rows, texts, words, percent)):
-        links = links.unionByName(store(confirm(pairs(_open_buckets(members, components(links))), texts, words, percent),
-                                        "near-links"))
-        release(docs.sparkSession)
+    needed = store(shared.groupBy("node").agg(F.max(F.col("node") == F.col("first.node")).alias("is_first"))
+                   .join(classes.select("node", "t"), "node"), "near-needed")
+
+    @F.pandas_udf("array<bigint>")
+    def tokens(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(x, words).view(np.int64) for x in texts], dtype=object)
+    texts = rows.withColumn("t", t).join(needed, "t").dropDuplicates(["node"])
+    sets = store(texts.select("node", "is_first", tokens("text").alias("tokens")), "near-sets")
+    sizes_allow = F.least("n", "first.n") * 100 >= F.greatest("n", "first.n") * percent
+    stars = shared.filter((F.col("node") != F.col("first.node")) & sizes_allow).select(
+        F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+    links = store(confirm(stars, sets, percent), "near-links")
+    left = store(links_of_buckets(_open_buckets(shared.select("key", "node", "n"), components(links)), sets, percent), "near-links")
+    links = links.unionByName(left)
     labels = components(links)
     named = _labelled(classes.select("digest", "node", "least"), labels)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
