@@ -14,14 +14,15 @@ Classes that agree in a band share a bucket. Links are confirmed on full sets
 with integers, and components are grown in two steps, each of which compares only
 what is not yet known to be connected:
 
-1. every member of a bucket with the bucket's first member, where the sizes of the
-   two sets allow the similarity;
-2. in buckets that still hold several components, all members of different ones. A
-   bucket is cut into blocks of about BLOCK_TOKENS shingles, and a task gets two blocks
-   of it with their full sets. It counts the shingles that sets have in common through
-   the shingles' posting lists, joins by union-find as it goes, and puts out links
-   only. What travels grows with the blocks of a bucket and never with its pairs; the
-   counting inside a task does grow with the square of a group that stays unlinked.
+1. every class with the first member of its buckets that it meets most often, where
+   the sizes of the two sets allow the similarity;
+2. in buckets that still hold several components, all members of different ones.
+   Buckets that hang together are compared as one where that sends fewer shingles. A
+   unit of either kind is cut into blocks of about BLOCK_TOKENS shingles, and a task
+   gets two blocks of it with their full sets. It counts the shingles that sets have
+   in common through the shingles' posting lists, joins by union-find as it goes, and
+   puts out links only. What travels grows with the pairs of blocks, not of members;
+   the counting in tasks does grow with the square of a group that stays unlinked.
 
 No step drops a candidate. Links become components by union-find in every task
 and by minimum labels with pointer jumping across tasks; every round is written
@@ -203,14 +204,15 @@ def links_inside(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray],
 
 
 def links_of_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that join the components inside buckets (key, node, label, size, total: members
-    and shingles of the bucket)."""
+    """a, b: links that join the components inside the units of ``_open_units``."""
     blocks = F.ceil(F.col("total") / BLOCK_TOKENS).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = members.withColumn("blocks", blocks).withColumn("block", mine)
-    other = placed.select("key", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = (other.select("key", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-            .join(sets.select("node", "tokens"), "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high"))
+    other = placed.select("whole", "key", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    unit = ["whole", "key", "low", "high"]
+    rows = (other.select("whole", "key", "node", "label", "block", F.least("block", "other").alias("low"),
+                         F.greatest("block", "other").alias("high"))
+            .join(sets.select("node", "tokens"), "node").repartition(*unit).sortWithinPartitions(*unit))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, known = [], None
@@ -221,10 +223,10 @@ def links_of_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataF
                                  part["block"].to_numpy(), percent) if part["label"].nunique() > 1 else []
             return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
         for frame in frames:
-            change = np.flatnonzero((frame[["key", "low", "high"]] != frame[["key", "low", "high"]].shift()).any(axis=1))
+            change = np.flatnonzero((frame[unit] != frame[unit].shift()).any(axis=1))
             for begin, end in zip(change, [*change[1:], len(frame)]):
                 part = frame.iloc[begin:end]
-                mark = tuple(part[["key", "low", "high"]].iloc[0])
+                mark = tuple(part[unit].iloc[0])
                 if held and mark != known:
                     yield links()
                     held = []
@@ -232,7 +234,7 @@ def links_of_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataF
                 held.append(part)
         if held:
             yield links()
-    return rows.select("key", "low", "high", "node", "label", "block", "tokens").mapInPandas(compare, "a long, b long")
+    return rows.select(*unit, "node", "label", "block", "tokens").mapInPandas(compare, "a long, b long")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -280,13 +282,31 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, label, total (shingles) of the members of buckets that hold several components."""
+def _open_units(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """whole, key, node, label, total (shingles) of the members of what is compared: buckets that
+    hold several components (but none of two members whose sizes rule a link out), or
+    all buckets that hang together, as one, where that sends fewer shingles."""
     rows = store(_labelled(members, labels), "near-members")
-    buckets = store(rows.groupBy("key").agg(F.sum("n").alias("total"), F.min("label").alias("low"),
-                                            F.max("label").alias("high")).filter("low <> high").select("key", "total"),
-                    "near-open")
-    return rows.join(buckets, "key")
+    buckets = store(rows.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("size"), F.min("node").alias("first"),
+                                            F.min("n").alias("least"), F.max("n").alias("most"),
+                                            F.min("label").alias("low"), F.max("label").alias("high"))
+                    .filter((F.col("low") != F.col("high"))
+                            & ((F.col("size") > 2) | (F.col("least") * 100 >= F.col("most") * percent)))
+                    .select("key", "total", "first"), "near-open")
+    rows = store(rows.join(buckets, "key"), "near-open-members")
+    groups = components(rows.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))).select(
+        "node", F.col("label").alias("group"))
+
+    def sent(total: str):
+        return F.col(total) * F.ceil(F.col(total) / BLOCK_TOKENS)
+    apart = (buckets.join(groups.withColumnRenamed("node", "first"), "first").groupBy("group")
+             .agg(F.sum(sent("total")).alias("apart")))
+    nodes = rows.select("node", "label", "n").distinct().join(groups, "node")
+    whole = nodes.groupBy("group").agg(F.sum("n").alias("all"))
+    chosen = store(whole.join(apart, "group").select("group", "all", (sent("all") <= F.col("apart")).alias("whole")), "near-groups")
+    one = nodes.join(chosen.filter("whole"), "group").select("whole", F.col("group").alias("key"), "node", "label", F.col("all").alias("total"))
+    each = rows.join(groups, "node").join(chosen.filter("NOT whole"), "group").select("whole", "key", "node", "label", "total")
+    return one.unionByName(each)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
@@ -315,10 +335,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = rows.withColumn("t", t).join(needed, "t").dropDuplicates(["node"])
     sets = store(texts.select("node", "is_first", tokens("text").alias("tokens")), "near-sets")
     sizes_allow = F.least("n", "first.n") * 100 >= F.greatest("n", "first.n") * percent
-    stars = shared.filter((F.col("node") != F.col("first.node")) & sizes_allow).select(
-        F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+    # of the first members that a class meets, the one that it meets most often
+    met = shared.filter((F.col("node") != F.col("first.node")) & sizes_allow).groupBy(
+        F.col("first.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    stars = met.groupBy("b").agg(F.max_by("a", F.col("times") * F.lit(1 << 32) - F.col("a") % F.lit(1 << 32)).alias("a"))
     links = store(confirm(stars, sets, percent), "near-links")
-    left = store(links_of_buckets(_open_buckets(shared.select("key", "node", "n"), components(links)), sets, percent), "near-links")
+    left = store(links_of_buckets(_open_units(shared.select("key", "node", "n"), components(links), percent), sets, percent), "near-links")
     links = links.unionByName(left)
     labels = components(links)
     named = _labelled(classes.select("digest", "node", "least"), labels)
