@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in E.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_entry_module_works_without_the_package(tmp_path):

@@ -146,6 +146,11 @@ def sketch_column(text: Column, words: int) -> Column:
     return sketch(text)
 
 
+def _by_shuffle(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """A join that is planned alike at every size: neither side has a bound, so none is broadcast."""
+    return left.join(right.hint("merge"), on)
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b of the pairs whose full sets are similar enough. ``a`` is a bucket's first member."""
     @F.pandas_udf("boolean")
@@ -158,7 +163,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     own = sets.filter("is_first").select(F.col("node").alias("a"), F.col("tokens").alias("set_a"))
     other = sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b"))
-    return pairs.join(other, "b").join(own, "a").filter(similar("set_a", "set_b")).select("a", "b")
+    return _by_shuffle(_by_shuffle(pairs, other, "b"), own, "a").filter(similar("set_a", "set_b")).select("a", "b")
 
 
 def links_inside(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, percent: int
@@ -211,8 +216,8 @@ def links_of_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     other = placed.select("whole", "key", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     unit = ["whole", "key", "low", "high"]
     rows = (other.select("whole", "key", "node", "label", "block", F.least("block", "other").alias("low"),
-                         F.greatest("block", "other").alias("high"))
-            .join(sets.select("node", "tokens"), "node").repartition(*unit).sortWithinPartitions(*unit))
+                         F.greatest("block", "other").alias("high")))
+    rows = _by_shuffle(rows, sets.select("node", "tokens"), "node").repartition(*unit).sortWithinPartitions(*unit)
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, known = [], None
@@ -332,7 +337,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     @F.pandas_udf("array<bigint>")
     def tokens(texts: pd.Series) -> pd.Series:
         return pd.Series([shingles(x, words).view(np.int64) for x in texts], dtype=object)
-    texts = rows.withColumn("t", t).join(needed, "t").dropDuplicates(["node"])
+    texts = _by_shuffle(rows.withColumn("t", t), needed, "t").dropDuplicates(["node"])
     sets = store(texts.select("node", "is_first", tokens("text").alias("tokens")), "near-sets")
     sizes_allow = F.least("n", "first.n") * 100 >= F.greatest("n", "first.n") * percent
     # of the first members that a class meets, the one that it meets most often
