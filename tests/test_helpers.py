@@ -60,7 +60,7 @@ def test_rounding_of_values_without_places(spark):
     values = [2.675, -2.675, 0.0, 1e14 + 0.5, 1e15, 1e30, -1e300, float("inf"), float("-inf"), float("nan"), None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r[0] for r in df.select(round_half_away("x", 2)).collect()]
-    sql = [duckdb.sql(f"SELECT {round_sql('x', 2)} FROM (SELECT CAST('{v}' AS DOUBLE) AS x)").fetchone()[0]
+    sql = [duckdb.sql(f"SELECT {round_sql('x', 2)} FROM (SELECT CAST('{v}' AS DOUBLE) AS x)").fetchall()[0][0]
            if v is not None else None for v in values]
     assert got[:2] == [2.68, -2.68] and got[4:9] == values[4:9] and math.isnan(got[9]) and got[10] is None
     assert repr(got) == repr(sql)
