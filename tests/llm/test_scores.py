@@ -92,7 +92,9 @@ def test_misspelled_members_of_a_family_are_found(spark):
     forms = ["idiot", "idiots", "idiott", "idioot"]
     rows = [(i, f"text{'abcdefgh'[i % 8] * 3} {forms[i % 4]} ending{'klmnopqrst'[i // 8] * 3}", 1) for i in range(40)]
     rows += [(100 + i, f"plain{'abcdefgh'[i % 8] * 3} words here ending{'klmnopqrst'[i // 8] * 3}", 0) for i in range(80)]
-    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"))
+    terms, left_out = toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert left_out == 0
+    assert toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"), max_terms=1)[1] > 0
     assert any(t.beginning and t.text.startswith("idio") for t in terms)
     finder = toxicity.Finder(toxicity.Lexicon(terms))
     for word, distance in (("idiotic", 0), ("idiot", 0), ("idjot", 1), ("iidiot", 1), ("idjots", 1)):
@@ -106,7 +108,7 @@ def test_quoted_and_rare_terms_are_learned(spark):
     # of 700 toxic texts, 40 have a term that 10 clean ones quote, and 6 have one of their own; half of all have a common word
     rows = [(i, f"{own(i)} {'zounds' * (i < 40 or 700 <= i < 710)} {'grubble' * (40 <= i < 46)} {'common' * (i % 2)}", int(i < 700))
             for i in range(7000)]
-    found = {t.text for t in toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int")) if not t.beginning}
+    found = {t.text for t in toxicity.learn_lexicon(spark.createDataFrame(rows, "id long, text string, label int"))[0] if not t.beginning}
     assert {"zounds", "grubble"} <= found and "common" not in found
 
 
@@ -123,6 +125,21 @@ def test_beginnings_are_found_within_distance():
         assert lexicon.lookup(word) == (min(near)[::-1] if near else None)
 
 
+def test_words_of_any_length_are_looked_up():
+    terms = [toxicity.Term("idiot", 4.0), toxicity.Term("lowei", 4.0, True), toxicity.Term("abcdefgh" * 3, 4.0)]
+    finder = toxicity.Finder(toxicity.Lexicon(terms))
+    for n in (26, 27, 28, 40, 41, 5_000, 300_000):
+        for word, term, d in (("lowei", "lowei*", 0), ("l0wei", "lowei*", 0), ("lawei", "lowei*", 1), ("idiot", None, 0),
+                              ("abcdefgh" * 3, None if n > 26 else "abcdefgh" * 3, 2), ("00000", None, 0)):
+            text = "x " + word + "z" * (n - len(word))
+            ((_, hits),) = finder.find([text])
+            assert [(h["term"], h["distance"], h["end"]) for h in hits] == ([(term, d, n + 2)] if term else []), (n, word)
+    digits = "9" * 60
+    for text in (digits, digits + "a", "0" * 60 + "a", "l0wei" + digits):
+        ((values, hits),) = finder.find([text])
+        assert len(hits) == text.startswith("l0wei") == values[toxicity.VALUES.index("disguised")]
+
+
 def test_context_separates_quotation_from_abuse():
     finder = toxicity.Finder(toxicity.Lexicon([toxicity.Term("idiot", 4.0), toxicity.Term("lowei", 4.0, True)]))
     texts = ["You are such an idiot today", 'He wrote the word "idiot" in a report', "an idi0t and an idiott, loweisch", "none"]

@@ -15,7 +15,8 @@ Sums over a text are the values that gradient-boosted trees score.
 
 Defined cases: a null or empty text has no findings and gets the score of such
 texts; labels that are null do not count; without labels, or with labels of one
-class, there is no lexicon and the score is constant; repeated rows score row by
+class, there is no lexicon and the score is constant; a word of any length is looked
+up, by as many letters as a term can reach; repeated rows score row by
 row (in training they are one row); empty tables give empty results; other
 columns are passed on or not read.
 """
@@ -43,8 +44,8 @@ MAX_TERMS, MIN_TEXTS, MIN_FORMS, MIN_LOG_ODDS = 1_000, 5, 4, 3.0
 #: A longer beginning is preferred if it has this share of the toxic texts of a shorter one.
 SAME_TEXTS = 0.95
 WORD_CHARS, PREFIX_CHARS = (4, 24), (4, 8)
-#: Longest token that is looked up.
-MAX_WORD = 40
+#: Most edits that a term allows.
+MOST_EDITS = 2
 #: Words on either side that make the context of a finding.
 CONTEXT_WORDS = 6
 
@@ -65,7 +66,7 @@ RESULT = "struct<score:double,hits:array<struct<term:string,start:int,end:int,di
 
 def edits(length: int) -> int:
     """Edits allowed in a term of that many letters."""
-    return 0 if length < 5 else 1 if length < 8 else 2
+    return 0 if length < 5 else 1 if length < 8 else MOST_EDITS
 
 
 class Automaton:
@@ -114,15 +115,18 @@ class Lexicon:
         self.exact = {t.text: i for i, t in enumerate(terms) if not t.beginning}
         #: By place in the word, and by its letters: terms that have this part unharmed there.
         self.parts: list[dict[str, int]] = []
+        #: Letters of a word that decide: a longer word is too long for every whole term, and
+        #: the nearest place where a beginning may end lies within them.
+        self.reads = max((len(t.text) for t in terms), default=0) + MOST_EDITS + 1
         #: By length of the word: terms within the allowed edits of words of that length.
-        self.fits = [0] * (MAX_WORD + 1)
+        self.fits = [0] * (self.reads + 1)
         for i, t in enumerate(terms):
             node, bit, most, size = self.trie, 1 << i, edits(len(t.text)), len(t.text)
             for c in t.text:
                 node = node[0].setdefault(c, [{}, [], 0])
                 node[2] |= bit
             node[1].append(i)
-            for n in range(max(0, size - most), MAX_WORD + 1 if t.beginning else min(MAX_WORD, size + most) + 1):
+            for n in range(max(0, size - most), (self.reads if t.beginning else size + most) + 1):
                 self.fits[n] |= bit
             cut = [size * k // (most + 1) for k in range(most + 2)]
             for a, b in zip(cut, cut[1:]):
@@ -141,16 +145,17 @@ class Lexicon:
                     break
                 if terms := parts.get(word[at:at + n]):
                     found |= terms
-        return found & self.fits[min(size, MAX_WORD)]
+        return found & self.fits[size]
 
     def lookup(self, word: str) -> tuple[int, int] | None:
         """(term, distance) of the nearest term, the first of equals; an exact word
-        before a beginning."""
+        before a beginning. A word may have any length."""
+        word = word[:self.reads]
         if (i := self.exact.get(word)) is not None:
             return i, 0
         if not (terms := self.possible(word)):
             return None
-        auto, found = Automaton(word, 2), []
+        auto, found = Automaton(word, MOST_EDITS), []
 
         def walk(node: list, state: tuple) -> None:
             for i in node[1]:
@@ -175,20 +180,25 @@ def fold(token: str) -> str:
 
 
 class Finder:
-    """Findings and values of texts; remembers which words match a term."""
+    """Findings and values of texts; remembers which words match a term, a long word by
+    the letters that decide."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.known: dict[str, tuple[int, int]] = {}
         self.others: set[str] = set()
 
+    def shortened(self, tokens: list[str]) -> list[str]:
+        n = self.lexicon.reads
+        return [t if len(t) <= n else fold(t)[:n] for t in tokens]
+
     def learn(self, tokens: set[str]) -> None:
         for memory in (self.known, self.others):
             if len(memory) > 300_000:
                 memory.clear()
         lookup = self.lexicon.lookup
         for t in tokens:
-            if 4 <= len(t) <= MAX_WORD and t not in self.known and t not in self.others:
+            if len(t) >= 4 and t not in self.known and t not in self.others:
                 if found := lookup(t if t.isalpha() else fold(t)):
                     self.known[t] = found
                 else:
@@ -198,16 +208,17 @@ class Finder:
         """Values and hits of each text."""
         if not self.lexicon.terms:
             return [([0.0] * len(VALUES), []) for _ in texts]
-        tokens = [_TOKEN.findall(t.lower()) for t in texts]
+        tokens = [self.shortened(_TOKEN.findall(t.lower())) for t in texts]
         self.learn(set().union(*tokens))
         return [self.weigh(t, w) if not self.known.keys().isdisjoint(w) else (
             [float(np.log1p(len(w)))] + [0.0] * (len(VALUES) - 1), []) for t, w in zip(texts, tokens)]
 
     def weigh(self, text: str, tokens: list[str]) -> tuple[list[float], list[dict]]:
         places = [(m.start(), m.end(), m[0].lower()) for m in _TOKEN.finditer(text)]
+        keys = self.shortened([token for _, _, token in places])
         v, hits, seen = dict.fromkeys(VALUES, 0.0), [], set()
-        for at, (a, b, token) in enumerate(places):
-            if (found := self.known.get(token)) is None:
+        for at, ((a, b, token), key) in enumerate(zip(places, keys)):
+            if (found := self.known.get(key)) is None:
                 continue
             term, distance = self.lexicon.terms[found[0]], found[1]
             seen.add(found[0])
@@ -246,10 +257,10 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
     return first.select("r.label", "r.text")
 
 
-def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
+def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> tuple[list[Term], int]:
     """Terms from training rows (id, text, label), counted by Spark over the
-    distinct words of each text, copies apart. At most ``max_terms`` candidates of
-    either kind come to the driver."""
+    distinct words of each text, copies apart, and how many candidates were left out:
+    at most ``max_terms`` of either kind, those in most toxic texts, come to the driver."""
     rows = store(one_of_copies(rows), "lexicon-texts")
     least, most = WORD_CHARS
     words = (rows.select("label", F.explode(F.array_distinct(
@@ -267,26 +278,29 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[Term]:
     toxic, clean = rows.select(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     base = np.log(toxic + 0.5) - np.log(clean + 0.5)
 
-    def best(counts: DataFrame) -> list:
+    def best(counts: DataFrame) -> tuple[list, int]:
         odds = F.log((F.col("toxic") + 0.5) / (F.col("all") - F.col("toxic") + 0.5))
-        good = counts.filter((F.col("toxic") >= MIN_TEXTS) & (odds - float(base) >= MIN_LOG_ODDS))
-        return good.orderBy(F.desc("toxic"), "term").limit(max_terms).collect()
+        good = store(counts.filter((F.col("toxic") >= MIN_TEXTS) & (odds - float(base) >= MIN_LOG_ODDS)), "lexicon-terms")
+        return good.orderBy(F.desc("toxic"), "term").limit(max_terms).collect(), max(0, good.count() - max_terms)
 
     def weight(r) -> float:
         return float(np.log(r["toxic"] + 0.5) - np.log(r["all"] - r["toxic"] + 0.5))
     out: dict[str, Term] = {}
-    found = sorted(best(prefixes), key=lambda r: (len(r["term"]), r["term"]))
+    (whole, more), (found, further) = best(words), best(prefixes)
+    found.sort(key=lambda r: (len(r["term"]), r["term"]))
     for r in found:
         if not any(r["term"].startswith(t) for t in out):
             longer = [x for x in found if x["term"].startswith(r["term"]) and x["toxic"] >= SAME_TEXTS * r["toxic"]]
             out[r["term"]] = Term(longer[-1]["term"], weight(longer[-1]), True)
-    return [*(Term(r["term"], weight(r)) for r in best(words)), *out.values()]
+    return [*(Term(r["term"], weight(r)) for r in whole), *out.values()], more + further
 
 
 @dataclass
 class Model:
     terms: list[Term]
     trees: Trees
+    #: Candidates for the lexicon beyond MAX_TERMS.
+    left_out: int = 0
 
 
 def values_column(df: DataFrame, terms: list[Term], text: Column) -> Column:
@@ -304,10 +318,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Lexicon and trees from the labels of rows that are not held out."""
     rows = training_rows(docs, labels, label, max_rows, id_col, text_col)
-    terms = learn_lexicon(rows)
+    terms, left_out = learn_lexicon(rows)
     got = one_for_each_id(rows.select("id", "label", values_column(docs, terms, F.col("text")).alias("x")))
     x = np.array(got["x"].tolist(), dtype=float) if len(got) else np.zeros((0, len(VALUES)))
-    return Model(terms, fit(x, got["label"].to_numpy(dtype=float), depth=3, trees=40))
+    return Model(terms, fit(x, got["label"].to_numpy(dtype=float), depth=3, trees=40), left_out)
 
 
 def score_column(df: DataFrame, model: Model, text: Column) -> Column:
