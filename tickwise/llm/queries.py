@@ -220,7 +220,7 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
-w AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS w, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
 l AS (SELECT doc_id, max(quality) AS good, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 m AS (SELECT r, part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
        CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
