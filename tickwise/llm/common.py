@@ -10,6 +10,7 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,14 +54,22 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(BATCH, str(rows))
 
 
-def shared(df: DataFrame, value: Any) -> Callable[[], Any]:
-    """A function that gives ``value`` in a task. It is broadcast once; callers
-    pass only what has a bounded size (a model, a block of a query set).
-    Classes of this package travel with it."""
-    sent = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+def send(df: DataFrame, value: Any) -> Broadcast:
+    """``value``, pickled and broadcast once; callers pass only what has a bounded
+    size (a model, a block of a query set). Classes of this package travel with it."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> Callable[[], Any]:
+    """A function that gives in a task what was sent."""
     return lambda: pickle.loads(sent.value)
 
 
+def shared(df: DataFrame, value: Any) -> Callable[[], Any]:
+    """A function that gives ``value`` in a task, for as long as the session lasts."""
+    return received(send(df, value))
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, lengthened until no column of ``df`` has that name in any case."""
     taken = {c.lower() for c in df.columns}

@@ -13,8 +13,12 @@ bucket of that hash, and bytes are compared directly with each pattern of the
 bucket. Many places of the buffer are searched in step, one numpy lane each.
 
 The benchmark is a stated query set. It is cut into blocks of a bounded number
-of bytes by a hash of the item; each block is compiled and broadcast, and every
-text is searched for every block. No text is shuffled.
+of bytes by a hash of the item, and every text is searched for every block, one
+block after another: a block is compiled and broadcast, the places that it hits are
+written under the hash of their text, and its broadcast is dropped before the next
+one comes. The last block is searched as the result is read, which adds what was
+written. So a task, an executor and the driver hold one block, however many there
+are; with a single block nothing is written and no text is shuffled.
 
 Defined cases: null or empty texts have no words; a document without words is
 not contaminated; repeated rows are answered row by row; an item without words
@@ -27,13 +31,14 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import as_bytes, shared
+from tickwise.llm.common import as_bytes, free_name, received, send, shared, store
 
 WINDOW_WORDS = 10
 #: Bytes of item text in one block of the query set.
@@ -176,18 +181,19 @@ def _parts(texts, size: int = BUFFER_BYTES) -> Iterator[list[bytes]]:
 
 
 def _search_udf(load):
+    """One block for each text, added to what the blocks before it have found."""
     @F.pandas_udf(FOUND)
-    def search(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         index = load()
-        for texts, before in batches:
+        for texts, old_spans, old_items in batches:
             found = [x for part in _parts(texts) for x in index.search(part)]
             spans = [merged([*((s["start"], s["end"]) for s in old), *hits.items()]) if hits or len(old) else []
-                     for old, (_, hits, _) in zip(before["spans"], found)]
+                     for old, (_, hits, _) in zip(old_spans, found)]
             yield pd.DataFrame({
                 "n_words": [n for n, _, _ in found],
                 "spans": [[{"start": a, "end": b} for a, b in x] for x in spans],
                 "items": [sorted({*old, *(i for i in items if i is not None)})
-                          for old, (_, _, items) in zip(before["items"], found)]})
+                          for old, (_, _, items) in zip(old_items, found)]})
     return search
 
 
@@ -202,18 +208,41 @@ def query_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
         yield [(r["id"], bytes(r["text"])) for r in rows]
 
 
-def found_column(benchmark: DataFrame, text: Column, window_words: int = WINDOW_WORDS,
-                 id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Column:
-    """struct n_words, spans (disjoint hit word ranges, end exclusive), items (ids as sorted strings)."""
-    found = F.from_json(F.lit('{"n_words":0,"spans":[],"items":[]}'), FOUND)
-    for items in query_blocks(benchmark, id_col, text_col, block_bytes):
-        found = _search_udf(shared(benchmark, Index(items, window_words)))(as_bytes(text), found)
-    return found
-
-
-def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "found", **kw) -> DataFrame:
-    """``docs`` with what of the benchmark occurs in each whole text (see ``found_column``)."""
-    return docs.withColumn(out_col, found_column(benchmark, F.col(text_col), **kw))
+def _found_before(docs: DataFrame, hits: list[DataFrame], key: str, old: str) -> DataFrame:
+    """``docs`` with spans and items, in ``old``, that earlier blocks have found in texts of that
+    key. Texts that are hit have one row each on the right, so a text of many copies costs no
+    more there, and Spark may split its copies on the left."""
+    @F.pandas_udf("array<struct<start:bigint,end:bigint>>")
+    def joined(parts: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "end": b} for a, b in merged([(s["start"], s["end"]) for s in x])] for x in parts])
+    rows = reduce(DataFrame.unionByName, hits)
+    one = rows.groupBy(key).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return docs.join(one.select(key, F.struct(joined("spans").alias("spans"), F.array_distinct("items").alias("items")).alias(old)),
+                     key, "left")
+
+
+def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "found",
+           window_words: int = WINDOW_WORDS, id_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with what of the benchmark occurs in each whole text: struct n_words, spans
+    (disjoint hit word ranges, end exclusive), items (ids as sorted strings)."""
+    spans, items = (f"array<{t}>" for t in ("struct<start:bigint,end:bigint>", "string"))
+    text, key, old = as_bytes(text_col), free_name(docs, "text_key"), free_name(docs, "found_before")
+    nothing = F.array().cast(spans), F.array().cast(items)
+    blocks, hits = query_blocks(benchmark, id_col, block_bytes=block_bytes), []
+    block = next(blocks)
+    for following in blocks:
+        sent = send(benchmark, Index(block, window_words))
+        found = docs.select(F.sha2(text, 256).alias(key), _search_udf(received(sent))(text, *nothing).alias("f"))
+        hits.append(store(found.filter(F.size("f.spans") > 0).select(key, "f.spans", "f.items").dropDuplicates([key]),
+                          "benchmark-hits"))
+        sent.destroy()
+        block = following
+    last = _search_udf(shared(benchmark, Index(block, window_words)))
+    if not hits:
+        return docs.withColumn(out_col, last(text, *nothing))
+    before = _found_before(docs.withColumn(key, F.sha2(text, 256)), hits, key, old)
+    known = F.coalesce(F.col(old)["spans"], nothing[0]), F.coalesce(F.col(old)["items"], nothing[1])
+    return before.withColumn(out_col, last(text, *known)).drop(key, old)
 
 
 def hit_words(found: Column) -> Column:
