@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,67 @@ def test_repeated_bytes_equal_brute_force(spark, rows):
     assert X.multiset(got) == X.multiset(want) and sum(r[2] for r in want) > 3000
 
 
+def test_repeated_grams_over_batch_borders():
+    """Rows of a gram that go on over many batches: what a task keeps of them doesn't matter."""
+    rnd = random.Random(3)
+    for _ in range(200):
+        rows = []
+        for key in range(rnd.randrange(1, 6)):
+            ids = rnd.choice([[1], [1, 2, 3]])
+            rows += [(key, rnd.choice(ids), rnd.randrange(50)) for _ in range(rnd.randrange(1, 12))]
+            rows += [(key, 0, suffix_dedup.MARK)] * rnd.choice([0, 0, 1])
+            rows += [(key, 9, -2 - rnd.randrange(50))] * rnd.choice([0, 1])
+        rnd.shuffle(rows)
+        rows.sort(key=lambda r: r[0])
+        batches, rest = [], rows
+        while rest:
+            n = rnd.randrange(0, 4)
+            batches.append(pa.record_batch([pa.array([r[i] for r in rest[:n]], f.type) for i, f in
+                                              enumerate(suffix_dedup._ANCHORS)], schema=suffix_dedup._ANCHORS))
+            rest = rest[n:]
+        got = [(r["id"], r["at"]) for b in suffix_dedup._repeated(iter(batches)) for r in b.to_pylist()]
+        want = [(i, -2 - at) for _, i, at in rows if at < suffix_dedup.MARK]
+        for key in {r[0] for r in rows}:
+            own = [r[1:] for r in rows if r[0] == key and r[2] >= 0]
+            if len({i for i, _ in own}) > 1 or any(r[0] == key and r[2] == suffix_dedup.MARK for r in rows):
+                want += own
+        assert X.multiset(got) == X.multiset(want)
+
+
+def test_spans_come_from_leaves(monkeypatch):
+    """Equal contexts of a gram are sorted as one set of suffixes; a byte goes if a leaf that
+    covers it has a smaller id."""
+    sorted_sets, real = [], suffix_dedup.sort_suffixes
+
+    def counted(buffer, starts, group):
+        order, label = real(buffer, starts, group)
+        sorted_sets.append((len(starts), int(label.max()) + 1))
+        return order, label
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", counted)
+    rnd = random.Random(9)
+    for _ in range(100):
+        base = bytes(rnd.choice(b"ab") for _ in range(70))
+        rows = []
+        for i in range(rnd.randrange(2, 9)):
+            a = rnd.randrange(0, 10)
+            c = base[a:a + 50 + rnd.randrange(0, 11)]
+            if rnd.random() < 0.5:
+                c = c[:-3] + bytes(rnd.choice(b"ab") for _ in range(3))
+            rows += [(7, rnd.randrange(4), 100 + i, 5, len(c), c)] * rnd.choice([1, 1, 2])
+        least = {}
+        for _, i, _, _, _, c in rows:
+            for x in range(len(c) - 49):
+                least[c[x:x + 50]] = min(least.get(c[x:x + 50], i), i)
+        want = {(i, t, lo + x + k) for _, i, t, lo, _, c in rows for x in range(len(c) - 49)
+                if least[c[x:x + 50]] < i for k in range(50)}
+        before = len(sorted_sets)
+        got = {(i, t, lo + k) for i, t, lo, n in suffix_dedup._covered(rows) for k in range(n)}
+        assert got == want
+        if want:
+            suffixes, leaves = sorted_sets[before]
+            assert leaves == len(least) and suffixes == sum(len(c) - 49 for c in {r[5] for r in rows})
+
+
 def test_blind_trie_orders_and_groups():
     rnd = random.Random(5)
     for _ in range(300):

@@ -12,12 +12,13 @@ Only suffixes that can repeat are sorted:
    that repeat in one batch are proven there; one row per gram and batch goes on,
    sorted by gram, and a task sees in passing which grams repeat.
 2. The documents of repeated anchors send, for each, the bytes of the strings
-   assigned to it. Equal contexts of a batch, and then of a gram, are collapsed:
-   all but those of the smallest id are covered whole.
-3. The suffixes that start in the remaining contexts of a gram are sorted to
-   SPAN bytes: multikey sorting by eight bytes at a time to a shallow depth, then
-   blind tries for groups that are still equal. Suffixes that end in one leaf
-   are equal strings, and the smallest id among them covers the others.
+   assigned to it. Equal contexts of a batch are combined before the shuffle: the one
+   of the smallest id goes on, the others are covered whole.
+3. Equal contexts of a gram are one set of suffixes with several owners. The suffixes
+   of all sets of a gram are sorted to SPAN bytes: multikey sorting by eight bytes at
+   a time to a shallow depth, then blind tries for groups that are still equal.
+   Suffixes that end in one leaf are equal strings, and the smallest id among their
+   owners covers all others.
 
 Equal texts are found by two hashes beforehand: of equal texts all but those of
 the smallest id are repeated whole, and take no part in 2 and 3.
@@ -144,27 +145,36 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key: id, at of the anchors whose gram is in two documents."""
+    """From rows sorted by key: id, at of the anchors whose gram is in two documents.
+    Of the gram that a batch ends in, its least and greatest id are kept; its anchors
+    wait only as long as all of them are of one document."""
     out = pa.schema([("id", pa.int64()), ("at", pa.int32())])
-    carry = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int32))
-
-    def closed(key, who, at) -> pa.RecordBatch:
-        known = at < MARK
-        runs = _runs(key)
-        if len(key):
-            single = at >= 0
-            mark = np.logical_or.reduceat(at == MARK, runs[:-1])
-            low = np.minimum.reduceat(np.where(single, who, np.iinfo(np.int64).max), runs[:-1])
-            high = np.maximum.reduceat(np.where(single, who, np.iinfo(np.int64).min), runs[:-1])
-            known = known | single & np.repeat(mark | (low < high), np.diff(runs))
-        places = at[known]
-        return pa.record_batch([who[known], np.where(places < 0, -2 - places, places).astype(np.int32)], schema=out)
+    bounds = np.iinfo(np.int64)
+    last, least, most, marked = None, bounds.max, bounds.min, False
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        rows = [np.concatenate([c, batch.column(i).to_numpy(zero_copy_only=False)]) for i, c in enumerate(carry)]
-        end = _runs(rows[0])[-2] if len(rows[0]) else 0
-        yield closed(*(c[:end] for c in rows))
-        carry = tuple(c[end:] for c in rows)
-    yield closed(*carry)
+        key, who, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        if not len(key):
+            continue
+        runs, single = _runs(key), at >= 0
+        mark = np.logical_or.reduceat(at == MARK, runs[:-1])
+        low = np.minimum.reduceat(np.where(single, who, bounds.max), runs[:-1])
+        high = np.maximum.reduceat(np.where(single, who, bounds.min), runs[:-1])
+        if key[0] == last:
+            mark[0], low[0], high[0] = mark[0] | marked, min(low[0], least), max(high[0], most)
+        else:
+            waiting = []
+        twice = mark | (low < high)
+        known = (at < MARK) | single & np.repeat(twice, np.diff(runs))
+        found = [*(waiting if twice[0] else []), (who[known], at[known])]
+        if twice[0] or len(runs) > 2:
+            waiting = []
+        if not twice[-1]:
+            own = np.flatnonzero(single[runs[-2]:]) + runs[-2]
+            waiting.append((who[own], at[own]))
+        last, least, most, marked = key[-1], low[-1], high[-1], mark[-1]
+        ids, places = (np.concatenate(c) for c in zip(*found))
+        yield pa.record_batch([ids, np.where(places < 0, -2 - places, places).astype(np.int32)], schema=out)
 
 
 def blind_trie(strings: list[bytes]) -> list[list[int]]:
@@ -265,40 +275,44 @@ def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _covered(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-    """Spans (id, t, lo, n) from whole groups of (key, id, t, lo, n, context)."""
-    out, classes = [], {}
+    """Spans (id, t, lo, n) from whole groups of (key, id, t, lo, n, context). Equal
+    contexts of a gram are one set of suffixes with all of its owners; the suffixes of
+    all sets are sorted, and the least id of a leaf covers the others that are in it."""
+    out = [r[1:5] for r in rows if r[5] is None]
+    of_key: dict[int, dict[bytes, list]] = {}
     for r in rows:
-        if r[5] is None:
-            out.append(r[1:5])
-        else:
-            classes.setdefault((r[0], r[5]), []).append(r)
-    of_key: dict[int, list] = {}
-    for (key, context), members in classes.items():
-        least = min(r[1] for r in members)
-        out += [r[1:5] for r in members if r[1] > least]
-        of_key.setdefault(key, []).append((context, least, [r for r in members if r[1] == least]))
-    several = [c for c in of_key.values() if len(c) > 1 and len({least for _, least, _ in c}) > 1]
-    mine = [c for group in several for c in group]
+        if r[5] is not None:
+            of_key.setdefault(r[0], {}).setdefault(r[5], []).append(r)
+    several = [sets for sets in of_key.values() if len({r[1] for owners in sets.values() for r in owners}) > 1]
+    mine = [c for sets in several for c in sets.items()]
     if not mine:
         return out
-    buffer = b"".join([*(c[0] for c in mine), bytes(SPAN)])
-    sizes = np.array([len(c[0]) for c in mine])
+    buffer = b"".join([*(context for context, _ in mine), bytes(SPAN)])
+    sizes = np.array([len(context) for context, _ in mine])
     windows = sizes - SPAN + 1
+    begin = np.cumsum(windows) - windows
     own = np.repeat(np.arange(len(mine)), windows)
-    offset = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
-    group = np.repeat(np.arange(len(several)), [len(g) for g in several])[own]
+    offset = np.arange(len(own)) - np.repeat(begin, windows)
+    group = np.repeat(np.arange(len(several)), [len(sets) for sets in several])[own]
     order, label = sort_suffixes(buffer, (np.cumsum(sizes) - sizes)[own] + offset, group)
-    ids = np.array([c[1] for c in mine])[own]
+    ids = np.array([min(r[1] for r in owners) for _, owners in mine])[own]
     least = np.full(label.max() + 1, NO_ID)
     np.minimum.at(least, label, ids[order])
-    hit = np.zeros(len(own), bool)
-    hit[order] = least[label] < ids[order]
-    at = np.flatnonzero(hit)
-    if len(at):
-        cut = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (own[at[1:]] != own[at[:-1]])])
-        for x, y in zip(at[cut].tolist(), at[np.r_[cut[1:] - 1, len(at) - 1]].tolist()):
-            for r in mine[own[x]][2]:
-                out.append((r[1], r[2], r[3] + int(offset[x]), int(y - x) + SPAN))
+    of_leaf = np.empty(len(own), np.int64)
+    of_leaf[order] = least[label]
+    greatest = np.maximum.reduceat(of_leaf, begin)
+    # runs of places in a set whose leaf has a smaller id than every owner of the set
+    at = np.flatnonzero(of_leaf < ids)
+    cut = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (own[at[1:]] != own[at[:-1]])]) if len(at) else at
+    runs: dict[int, list[tuple[int, int]]] = {}
+    for x, y in zip(at[cut].tolist(), at[np.r_[cut[1:] - 1, len(at) - 1]].tolist() if len(at) else []):
+        runs.setdefault(int(own[x]), []).append((int(offset[x]), int(y - x) + SPAN))
+    for i, ((_, owners), top) in enumerate(zip(mine, greatest.tolist())):
+        for r in owners:
+            if top < r[1]:
+                out.append(r[1:5])
+            else:  # the owner with the least id
+                out += [(r[1], r[2], r[3] + x, n) for x, n in runs.get(i, [])]
     return out
 
 
