@@ -15,7 +15,7 @@ Only suffixes that can repeat are sorted:
    assigned to it. Equal contexts of a batch are combined before the shuffle: the one
    of the smallest id goes on, the others are covered whole.
 3. Equal contexts of a gram are one set of suffixes with several owners. The suffixes
-   of all sets of a gram are sorted to SPAN bytes: multikey sorting by eight bytes at
+   of a gram's sets, where it has more than one, are sorted to SPAN bytes: multikey sorting by eight bytes at
    a time to a shallow depth, then blind tries for groups that are still equal.
    Suffixes that end in one leaf are equal strings, and the smallest id among their
    owners covers all others.
@@ -277,13 +277,22 @@ def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _covered(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
     """Spans (id, t, lo, n) from whole groups of (key, id, t, lo, n, context). Equal
     contexts of a gram are one set of suffixes with all of its owners; the suffixes of
-    all sets are sorted, and the least id of a leaf covers the others that are in it."""
+    a gram's sets are sorted, and the least id of a leaf covers the others that are in it."""
     out = [r[1:5] for r in rows if r[5] is None]
     of_key: dict[int, dict[bytes, list]] = {}
     for r in rows:
         if r[5] is not None:
             of_key.setdefault(r[0], {}).setdefault(r[5], []).append(r)
-    several = [sets for sets in of_key.values() if len({r[1] for owners in sets.values() for r in owners}) > 1]
+    several = []
+    for sets in of_key.values():
+        if len(sets) > 1:
+            if len({r[1] for owners in sets.values() for r in owners}) > 1:
+                several.append(sets)
+        else:  # all leaves have the same owners, there is nothing to sort
+            owners = next(iter(sets.values()))
+            if len(owners) > 1:
+                least = min(r[1] for r in owners)
+                out += [r[1:5] for r in owners if r[1] > least]
     mine = [c for sets in several for c in sets.items()]
     if not mine:
         return out
