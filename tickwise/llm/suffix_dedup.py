@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,7 +259,7 @@ def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for a, b in _parts(texts):
             doc, h, at, lo, hi = anchors(texts[a:b])
             places = wanted.slice(a, b - a)
-            owner = np.repeat(np.arange(b - a), pa.compute.list_value_length(places).fill_null(0).to_numpy())
+            owner = np.repeat(np.arange(b - a), pc.list_value_length(places).fill_null(0).to_numpy())
             chosen = np.isin(doc * (1 << 32) + at, owner * (1 << 32) + places.flatten().to_numpy())
             doc, key, lo, hi = doc[chosen], h[chosen].view(np.int64).tolist(), lo[chosen], hi[chosen]
             who, t, doc, lo, hi = ids[a:b][doc], ts[a:b][doc], doc.tolist(), lo.tolist(), (hi + SPAN).tolist()
@@ -278,11 +279,10 @@ def _covered(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
     """Spans (id, t, lo, n) from whole groups of (key, id, t, lo, n, context). Equal
     contexts of a gram are one set of suffixes with all of its owners; the suffixes of
     a gram's sets are sorted, and the least id of a leaf covers the others that are in it."""
-    out = [r[1:5] for r in rows if r[5] is None]
+    out: list[tuple[int, int, int, int]] = []
     of_key: dict[int, dict[bytes, list]] = {}
     for r in rows:
-        if r[5] is not None:
-            of_key.setdefault(r[0], {}).setdefault(r[5], []).append(r)
+        of_key.setdefault(r[0], {}).setdefault(r[5], []).append(r)
     several = []
     for sets in of_key.values():
         if len(sets) > 1:
@@ -326,7 +326,8 @@ def _covered(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
 
 
 def _sorted_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From contexts sorted by key: the covered spans."""
+    """From contexts sorted by key: the covered spans. Rows without a context are spans
+    already and pass."""
     rows: list[tuple] = []
 
     def spans(part: list[tuple]) -> pa.RecordBatch:
@@ -334,6 +335,10 @@ def _sorted_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         columns = list(zip(*found)) if found else [[]] * 4
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SPANS)], schema=_SPANS)
     for batch in batches:
+        has = pc.is_valid(batch.column(5))
+        passing = batch.filter(pc.invert(has))
+        yield pa.record_batch([passing.column(i) for i in range(1, 5)], schema=_SPANS)
+        batch = batch.filter(has)
         rows += zip(*(batch.column(i).to_pylist() for i in range(6)))
         if len(rows) >= CONTEXTS:
             last = rows[-1][0]
