@@ -1,7 +1,11 @@
 """Pure helpers: oracle SQL rounding rewrite, interval parsing, rounding rule."""
 
+import os
+
 import pytest
 
+from conftest import SF_SMALL
+
 from tickwise.functions.columns import interval_seconds, round_half_away, round_sql
 from tickwise.plans.catalog import snap_rounds
 
@@ -64,3 +68,34 @@ def test_rounding_of_values_without_places(spark):
            if v is not None else None for v in values]
     assert got[:2] == [2.68, -2.68] and got[4:9] == values[4:9] and math.isnan(got[9]) and got[10] is None
     assert repr(got) == repr(sql)
+
+
+def test_scratch_removes_what_a_run_wrote(spark):
+    """Tables of nested blocks and of a registered query, after errors too; others stay."""
+    from tickwise.plans import catalog
+    from tickwise.session import checkpoint_dir, materialize, scratch, scratch_path
+    root = checkpoint_dir(spark)
+    before = set(os.listdir(root))
+    plain = catalog.queries()["z_scores"](spark, SF_SMALL).count()
+    left = set(os.listdir(root)) - before
+    assert left
+    with scratch(spark) as outer:
+        assert catalog.queries()["z_scores"](spark, SF_SMALL).count() == plain and os.listdir(outer)
+        with pytest.raises(ValueError), scratch(spark) as inner:
+            materialize(spark.range(5).groupBy("id").count(), "x")
+            assert os.path.dirname(inner) == outer and len(os.listdir(inner)) == 1
+            raise ValueError
+        assert not os.path.exists(inner) and scratch_path(spark, "a") == os.path.join(outer, "a")
+    assert set(os.listdir(root)) == before | left and scratch_path(spark, "a") == os.path.join(root, "a")
+
+
+def test_batches_of_a_scorer_leave_no_tables(spark, tmp):
+    from tickwise.session import checkpoint_dir
+    from tickwise.sources import tables as T
+    from tickwise.streaming.pipeline import make_batch_scorer
+    root = checkpoint_dir(spark)
+    before = set(os.listdir(root))
+    windows = T.windows_from_events(spark, SF_SMALL)
+    make_batch_scorer(spark, f"{tmp}/lake", f"{tmp}/anomalies", f"{tmp}/state", lookback=20)(windows, 0)
+    assert spark.read.parquet(f"{tmp}/lake").count() == windows.count()
+    assert set(os.listdir(root)) == before

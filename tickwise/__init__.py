@@ -6,6 +6,6 @@ Every operator takes and returns DataFrames (batch or streaming where the
 semantics allow), built from built-in Spark expressions only.
 """
 
-from tickwise.session import get_session, checkpoint_dir
+from tickwise.session import checkpoint_dir, get_session, scratch
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["checkpoint_dir", "get_session", "scratch"]

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +70,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: The folder of the innermost ``scratch`` block, below the checkpoint folder.
+_RUN: ContextVar[str] = ContextVar("tickwise_run", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A sub-folder of the shared checkpoint folder for written intermediate tables;
+    inside a ``scratch`` block, one that goes with it."""
+    return os.path.join(checkpoint_dir(spark), _RUN.get(), name)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Owns the intermediate tables that are written in its block: they lie in one folder
+    of the shared checkpoint folder, which is removed at the end, after errors too. Results
+    have to be written or collected inside, as they read these tables. Blocks may be nested,
+    and each thread has its own. What has to outlive a run (checkpoints and state of
+    streams, lakes) has paths of its own and is not touched."""
+    run = os.path.join(_RUN.get(), f"run-{uuid.uuid4().hex}")
+    folder = os.path.join(checkpoint_dir(spark), run)
+    outer = _RUN.set(run)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(outer)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # logical nodes that are cheap to evaluate twice (a stored or cached relation

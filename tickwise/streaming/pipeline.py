@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import json
 import logging
+import os
 import time
 from collections.abc import Callable
 
@@ -46,7 +47,7 @@ from tickwise.functions.columns import interval_seconds
 from tickwise.operators.anomalies import score_with_history, score_with_tail
 from tickwise.operators.features import window_features
 from tickwise.operators.ticks import CRYPTO, STOCK, Shape, align_columns, graded_messages, parse_messages, unify_ticks
-from tickwise.session import scratch_path
+from tickwise.session import checkpoint_dir, scratch
 from tickwise.sinks.lake import write_lake
 
 
@@ -181,6 +182,14 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, run_id: int =
      .partitionBy("run_id", "batch_id").parquet(path))
 
 
+def _owning(spark: SparkSession, process: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``process``, with the intermediate tables of each batch removed at its end."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch(spark):
+            process(batch, batch_id)
+    return run
+
+
 def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
                       state_path: str, threshold: float = S.Z_SCORE_THRESHOLD,
                       mode: str = "compat", extra_sinks: list[Callable] | None = None,
@@ -233,7 +242,7 @@ def make_batch_scorer(spark: SparkSession, lake_path: str, anomalies_path: str,
         finally:
             batch.unpersist()
 
-    return process
+    return _owning(spark, process)
 
 
 class JdbcSink:
@@ -309,7 +318,7 @@ def make_per_batch_processor(spark: SparkSession, lake_path: str, anomalies_path
         finally:
             ticks.unpersist()
 
-    return process
+    return _owning(spark, process)
 
 
 def backfill(ticks: DataFrame, lake_path: str, anomalies_path: str, state_path: str,
@@ -430,8 +439,8 @@ def stream_anomalies(features: DataFrame, lake_path: str, anomalies_path: str,
     ``with_side_output``.
     """
     spark = features.sparkSession
-    state_path = state_path or scratch_path(spark, "moments")
-    checkpoint = checkpoint or scratch_path(spark, "pipeline")
+    state_path = state_path or os.path.join(checkpoint_dir(spark), "moments")
+    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "pipeline")
     run_id = run_of(spark, checkpoint, registry or state_path)
     fn = make_batch_scorer(spark, lake_path, anomalies_path, state_path, threshold, mode,
                            extra_sinks, lookback, width, run_id, registry)
@@ -476,8 +485,8 @@ def run_pipeline(stock_raw: DataFrame, crypto_raw: DataFrame, lake_path: str,
     left as it was: a query keeps the settings it was started with.
     """
     spark, strict = stock_raw.sparkSession, mode == "strict"
-    state_path = state_path or scratch_path(spark, "moments")
-    checkpoint = checkpoint or scratch_path(spark, "pipeline")
+    state_path = state_path or os.path.join(checkpoint_dir(spark), "moments")
+    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "pipeline")
     raws: dict[str, tuple[DataFrame, Shape, str]] = {
         "stock": (stock_raw, STOCK, delay), "crypto": (crypto_raw, CRYPTO, crypto_delay or delay)}
 
