@@ -34,7 +34,7 @@ def _matches(spark, tmp, name, rows):
 
 
 @pytest.mark.parametrize("rows", [SAME_TIME, SAME_FETCH, NO_TIME], ids=["same_time", "same_fetch", "no_time"])
-@pytest.mark.parametrize("name", ["classify_payload", "flatten_intraday"])
+@pytest.mark.parametrize("name", ["classify_payload", "flatten_intraday", "flatten_intraday_defects"])
 def test_payload_query_matches_oracle(spark, tmp, name, rows):
     r = _matches(spark, tmp, name, rows)
     assert r["ok"] and r["rows"], r
