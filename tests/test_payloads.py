@@ -34,7 +34,7 @@ def _matches(spark, tmp, name, rows):
 
 
 @pytest.mark.parametrize("rows", [SAME_TIME, SAME_FETCH, NO_TIME], ids=["same_time", "same_fetch", "no_time"])
-@pytest.mark.parametrize("name", ["classify_payload", "flatten_intraday", "flatten_intraday_defects"])
+@pytest.mark.parametrize("name", ["classify_payload", "flatten_intraday", "flatten_intraday_defects", "latest_tick_per_symbol"])
 def test_payload_query_matches_oracle(spark, tmp, name, rows):
     r = _matches(spark, tmp, name, rows)
     assert r["ok"] and r["rows"], r
@@ -56,3 +56,18 @@ def test_flatten_keeps_entries_that_repeat(spark):
     df = spark.createDataFrame([("A", payload, T0)], "symbol string, payload string, fetched_at timestamp")
     got = [(r["timestamp"], r["open"], r["volume"]) for r in flatten_intraday(df).collect()]
     assert sorted(got, key=repr) == [("t", 1.0, 0.0), ("t", 1.0, 0.0), ("t", 2.0, None), (None, 0.0, 0.0)]
+
+
+def test_latest_tick_of_each_response(spark):
+    """Responses of one fetch time stay apart by the columns that name them; ticks without time come last."""
+    from tickwise.sources.payloads import flatten_intraday, latest_tick_per_symbol
+    series = '{"Time Series (5min)":{%s}}'
+    rows = [("A", 1, series % '"t1":{"1. open":"1"},"t2":{"1. open":"2"}', T0), ("A", 2, series % '"t1":{"1. open":"3"},"":{"1. open":"4"}', T0),
+            ("A", 3, series % '"":{"1. open":"5"}', T0), ("A", 4, series % "", T0)]
+    df = spark.createDataFrame(rows, "symbol string, id long, payload string, fetched_at timestamp")
+    assert flatten_intraday(df, keep_fetch=True).columns[:3] == ["symbol", "fetched_at", "asset_type"]
+    flat = flatten_intraday(df, keep_fetch=True, response=("id",))
+    last = latest_tick_per_symbol(flat, keys=("symbol", "fetched_at", "id")).orderBy("id").collect()
+    assert [(r["id"], r["asset_type"], r["timestamp"], r["open"]) for r in last] == [
+        (1, "stock", "t2", 2.0), (2, "stock", "t1", 3.0), (3, "stock", None, 5.0)]
+    assert [r["open"] for r in latest_tick_per_symbol(flat).collect()] == [2.0]

@@ -178,8 +178,9 @@ SELECT symbol, fetched AS fetched_at, 'stock' AS asset_type,
   CASE WHEN price >= 5 THEN volume ELSE 0.0 END AS volume, {_iso('fetched')} AS ingested_at
 FROM p QUALIFY row_number() OVER (PARTITION BY symbol, event_id // 4 ORDER BY event_time DESC) = 1""")
 def q_latest_tick_per_symbol(spark, sf):
-    flat = P.flatten_intraday(T.intraday_payloads(spark, sf), keep_fetch=True)
-    return _ntz(P.latest_tick_per_symbol(flat), "fetched_at")
+    flat = P.flatten_intraday(T.intraday_payloads(spark, sf), keep_fetch=True, response=("grp",))
+    last = P.latest_tick_per_symbol(flat, keys=("symbol", "fetched_at", "grp"))
+    return _ntz(last.drop("grp"), "fetched_at")
 
 
 @register("classify_payload", f"""WITH {O.TICKS}
