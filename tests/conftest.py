@@ -22,6 +22,13 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _own_cache(spark):
+    """What the tests of a module cache is not found by the plans of the next."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
